@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from cinderspark.llm import sharding
+from cinderspark.llm import bpe, html_text, langid, line_dedup, sharding, token_counts
 
 
 def queries() -> dict:
     return {
+        "op4_html_extraction": html_text.query,
+        "op5_line_dedup": line_dedup.query,
         "op6_sharding": sharding.query,
+        "op7_byte_bpe": bpe.query,
+        "op8_language_id": langid.query,
+        "op10_token_counts": token_counts.query,
     }
 
 
