@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from cinderspark.llm import bpe, html_text, langid, line_dedup, sharding, token_counts
+from cinderspark.llm import bpe, decontaminate, embedding_dedup, html_text, langid, line_dedup, sharding, token_counts
 
 
 def queries() -> dict:
     return {
+        "op2_embedding_dedup": embedding_dedup.query,
+        "op3_decontamination": decontaminate.query,
         "op4_html_extraction": html_text.query,
         "op5_line_dedup": line_dedup.query,
         "op6_sharding": sharding.query,
