@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cinderspark.llm import bpe, decontaminate, embedding_dedup, html_text, langid, line_dedup, sharding, token_counts
+from cinderspark.llm import bpe, decontaminate, embedding_dedup, html_text, jaccard_join, langid, line_dedup, sharding, token_counts
 
 
 def queries() -> dict:
@@ -14,6 +14,7 @@ def queries() -> dict:
         "op6_sharding": sharding.query,
         "op7_byte_bpe": bpe.query,
         "op8_language_id": langid.query,
+        "op9_jaccard_join": jaccard_join.query,
         "op10_token_counts": token_counts.query,
     }
 
