@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from cinderspark.llm import bpe, decontaminate, embedding_dedup, html_text, jaccard_join, langid, line_dedup, sharding, token_counts
+from cinderspark.llm import bpe, decontaminate, embedding_dedup, html_text, jaccard_join, langid, line_dedup, pitman_yor, sharding, token_counts
 
 
 def queries() -> dict:
     return {
+        "op1_pitman_yor": pitman_yor.query,
         "op2_embedding_dedup": embedding_dedup.query,
         "op3_decontamination": decontaminate.query,
         "op4_html_extraction": html_text.query,
