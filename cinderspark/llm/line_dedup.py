@@ -75,58 +75,53 @@ def near_copies(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     places = shared.stored(
         lines.select(F.xxhash64("line").alias("lid"), "doc", "line_no", _halves(lines).alias("halves")), "line-places"
     )
-    first = places.groupBy("lid").agg(
-        F.min(F.struct("doc", "line_no")).alias("at"), F.min("halves").alias("halves")
+    # Least and greatest line of each half: copies of a line are summed up before the shuffle.
+    halves = places.select("lid", F.explode("halves").alias("half"))
+    meeting = shared.stored(_shared_keys(halves, "half"), "line-halves")
+    kin = halves.join(shared.checked_broadcast(meeting, meeting.count()), "half", "left_semi").select("lid").distinct()
+    kin = shared.stored(kin, "line-kin")
+    small = shared.checked_broadcast(kin, kin.count())
+    first = shared.stored(
+        places.join(small, "lid", "left_semi").groupBy("lid").agg(F.min(F.struct("doc", "line_no")).alias("at")), "line-first"
     )
-    first = shared.stored(first, "line-first")
-    halves = first.select("lid", F.explode("halves").alias("half"))
-    meeting = halves.groupBy("half").agg(F.min("lid").alias("lo"), F.max("lid").alias("hi")).where("lo <> hi")
-    kin = halves.join(meeting.select("half"), "half", "left_semi").select("lid").distinct()
-    kin = shared.stored(kin.join(first, "lid").select("lid", "at"), "line-kin")
-    small = shared.checked_broadcast(kin.select("lid"), kin.count())
-
     text = lines.select(F.xxhash64("line").alias("lid"), "line").join(small, "lid", "left_semi")
     text = shared.stored(text.groupBy("lid").agg(F.min("line").alias("line")), "line-text")
 
-    words = text.select("lid", F.posexplode(F.split("line", " ")).alias("i", "w"))
+    keys = shared.stored(_variants(text), "line-keys")
+    meeting = shared.stored(_shared_keys(keys, "key"), "line-meeting")
+    close = keys.join(shared.checked_broadcast(meeting, meeting.count()), "key", "left_semi")
+    close = shared.stored(close.join(first, "lid"), "line-close")
+    heads = close.groupBy("key").agg(F.min(F.struct("at", "lid")).alias("head")).select("key", F.col("head.lid").alias("earlier"))
+    ties = close.select("key", "lid").join(heads, "key").where("lid <> earlier").select("lid", "earlier").distinct()
+    mine = text.select("lid", F.split("line", " ").alias("own_words"))
+    theirs = text.select(F.col("lid").alias("earlier"), F.split("line", " ").alias("their_words"))
+    ties = ties.join(mine, "lid").join(theirs, "earlier").where(_word_gap("own_words", "their_words"))
+    return places, shared.stored(ties.select("lid", "earlier"), "line-ties")
+
+
+def _shared_keys(keyed: DataFrame, key: str) -> DataFrame:
+    """The keys that more than one distinct line has."""
+    return keyed.groupBy(key).agg(F.min("lid").alias("lo"), F.max("lid").alias("hi")).where("lo <> hi").select(key)
+
+
+def _variants(text: DataFrame) -> DataFrame:
+    """lid, key of every line less one word, and of the line itself split at every place."""
+    # The lines are dealt out before they become words; no window shuffles again.
+    words = text.repartition("lid").select("lid", F.posexplode(F.split("line", " ")).alias("i", "w"))
     line = Window.partitionBy("lid")
     forward = line.orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    n = F.count(F.lit(1)).over(line)
-    words = words.withColumn("n", n)
+    words = words.withColumn("n", F.count(F.lit(1)).over(line))
     ahead = F.xxhash64("w", "i").bitwiseAND(F.lit(MASK))
     back = F.xxhash64("w", F.col("i") - F.col("n")).bitwiseAND(F.lit(MASK))
-    words = words.withColumn("f", ahead).withColumn("g", back)
-    words = words.withColumn("left_to", F.sum("f").over(forward)).withColumn("right_of", F.sum("g").over(line) - F.sum("g").over(forward))
+    words = words.select("lid", "i", "n", ahead.alias("f"), back.alias("g"))
+    words = words.withColumn("all_g", F.sum("g").over(line))
+    words = words.withColumn("left_to", F.sum("f").over(forward)).withColumn("right_of", F.col("all_g") - F.sum("g").over(forward))
     before = F.col("left_to") - F.col("f")
-    keys = words.select(
-        "lid",
-        F.explode(
-            F.filter(
-                F.array(
-                    # the line without word i
-                    F.struct((F.col("n") - 1).alias("m"), F.col("i").alias("at_word"), F.xxhash64(before, "right_of").alias("v")),
-                    # the whole line, split before word i
-                    F.struct(F.col("n").alias("m"), F.col("i").alias("at_word"), F.xxhash64(before, F.col("right_of") + F.col("g")).alias("v")),
-                    # and split after its last word
-                    F.when(
-                        F.col("i") == F.col("n") - 1,
-                        F.struct(F.col("n").alias("m"), (F.col("i") + 1).alias("at_word"), F.xxhash64("left_to", F.lit(0).cast("long")).alias("v")),
-                    ),
-                ),
-                lambda key: key.isNotNull(),
-            )
-        ).alias("key"),
-    )
-    keys = shared.stored(keys.select("lid", F.xxhash64("key.m", "key.at_word", "key.v").alias("key")), "line-keys")
-    earliest = keys.join(kin, "lid").groupBy("key").agg(
-        F.min(F.struct("at", "lid")).alias("head"), F.min("lid").alias("lo"), F.max("lid").alias("hi")
-    )
-    heads = earliest.where("lo <> hi").select("key", F.col("head.lid").alias("earlier"))
-    ties = keys.join(heads, "key").where("lid <> earlier").select("lid", "earlier").distinct()
-    mine = text.select("lid", F.split("line", " ").alias("own_words"))
-    theirs = text.select(F.col("lid").alias("earlier"), F.split("line", " ").alias("their_words"))
-    ties = ties.join(mine, "lid").join(theirs, "earlier").where(_word_gap("own_words", "their_words"))
-    return places, ties.select("lid", "earlier")
+    without = F.xxhash64(F.col("n") - 1, "i", before, "right_of")
+    split_before = F.xxhash64("n", "i", before, F.col("right_of") + F.col("g"))
+    split_after = F.xxhash64("n", F.col("i") + 1, "left_to", F.lit(0).cast("long"))
+    last = F.col("i") == F.col("n") - 1
+    return words.select("lid", F.explode(F.when(last, F.array(without, split_before, split_after)).otherwise(F.array(without, split_before))).alias("key"))
 
 
 def dropped_lines(documents: DataFrame) -> DataFrame:
@@ -150,13 +145,14 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
         F.count_if(~F.col("near")).alias("_n_exact"),
         F.count_if("near").alias("_n_near"),
     )
-    gone = gone.select(
-        F.xxhash64("doc.id", "doc.t").alias("_key"), F.col("doc").alias("_doc"), "_gone", "_n_exact", "_n_near"
-    )
-    marked = documents.withColumn("_key", F.xxhash64("doc_id", F.xxhash64("text")))
-    joined = marked.join(
-        gone, (F.col("_doc.id").eqNullSafe(marked["doc_id"])) & (marked["_key"] == gone["_key"]), "left"
+    gone = shared.stored(
+        gone.select(F.col("doc.t").alias("_t"), F.col("doc.id").alias("_id"), "_gone", "_n_exact", "_n_near"), "line-gone"
     )
+    size = gone.agg(F.count(F.lit(1)).alias("docs"), F.sum(F.size("_gone")).alias("lines")).first()
+    # The list is broadcast only while its counted rows and line numbers are few.
+    listed = shared.checked_broadcast(gone, size["docs"] + (size["lines"] or 0) // 8)
+    marked = documents.withColumn("_t", F.xxhash64("text"))
+    joined = marked.join(listed, (marked["_t"] == listed["_t"]) & marked["doc_id"].eqNullSafe(F.col("_id")), "left")
     kept = F.when(
         F.col("_gone").isNull(), F.col("text")
     ).otherwise(
