@@ -129,8 +129,14 @@ def dropped_lines(documents: DataFrame) -> DataFrame:
     places, ties = near_copies(documents)
     near = ties.select("lid").distinct().withColumn("near", F.lit(True))
     head = places.groupBy("lid").agg(F.min(F.struct("doc", "line_no")).alias("head"), F.count(F.lit(1)).alias("copies"))
-    judged = head.join(near, "lid", "left").where("near or copies > 1")
-    found = places.select("lid", "doc", "line_no").join(judged, "lid")
+    judged = shared.stored(head.join(near, "lid", "left").where("near or copies > 1"), "line-judged")
+    # Lines with more than an eighth of a partition's share of copies: at most 8 a partition exist, whatever
+    # the input, so these few are broadcast and their copies stay where they are.
+    parts = shared.parallelism(documents.sparkSession)
+    hot = judged.where(F.col("copies") > max(1, places.count() // (8 * parts)))
+    places = places.select("lid", "doc", "line_no")
+    usual = places.join(F.broadcast(hot.select("lid")), "lid", "left_anti").join(judged.join(F.broadcast(hot.select("lid")), "lid", "left_anti"), "lid")
+    found = usual.unionByName(places.join(F.broadcast(hot), "lid"))
     found = found.where("near or doc <> head.doc or line_no <> head.line_no")
     return found.select("doc", "line_no", F.coalesce("near", F.lit(False)).alias("near"))
 
@@ -148,11 +154,8 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
     gone = shared.stored(
         gone.select(F.col("doc.t").alias("_t"), F.col("doc.id").alias("_id"), "_gone", "_n_exact", "_n_near"), "line-gone"
     )
-    size = gone.agg(F.count(F.lit(1)).alias("docs"), F.sum(F.size("_gone")).alias("lines")).first()
-    # The list is broadcast only while its counted rows and line numbers are few.
-    listed = shared.checked_broadcast(gone, size["docs"] + (size["lines"] or 0) // 8)
     marked = documents.withColumn("_t", F.xxhash64("text"))
-    joined = marked.join(listed, (marked["_t"] == listed["_t"]) & marked["doc_id"].eqNullSafe(F.col("_id")), "left")
+    joined = marked.join(gone, (marked["_t"] == gone["_t"]) & marked["doc_id"].eqNullSafe(F.col("_id")), "left")
     kept = F.when(
         F.col("_gone").isNull(), F.col("text")
     ).otherwise(
