@@ -25,12 +25,10 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    made = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if made.isDefined():
-        return made.get().rstrip("/")
-    folder = "file://" + tempfile.mkdtemp(prefix="cinderspark-shared-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    made = spark.sparkContext._jsc.sc().getCheckpointDir
+    if not made().isDefined():
+        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="cinderspark-shared-"))
+    return made().get().rstrip("/")
 
 
 def scratch(spark: SparkSession, label: str) -> str:
