@@ -35,8 +35,10 @@ def interleave(documents: DataFrame, shards: int = 40, seed: int = SEED, ranges:
         (F.octet_length(text) + F.lit(ROW_OVERHEAD)).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
     )
-    rows = rows.withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "text_crc32", "size"))
-    rows = shared.stored(rows.withColumn("r", F.floor(shared.unit(F.col("h")) * ranges).cast("int")), "shard-rows")
+    # Without its sign the hash has the order of its ranges.
+    rows = rows.withColumn("h", F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text_crc32", "size"), 1))
+    at = F.least(F.floor(F.col("h") / F.lit(float(1 << 63)) * ranges), F.lit(ranges - 1)).cast("int")
+    rows = shared.stored(rows.withColumn("r", at), "shard-rows")
 
     # Rank within the source = rows in lower hash ranges + rank within the range.
     counts = rows.groupBy("stratum", "r").agg(F.count(F.lit(1)).alias("n"))
