@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cinderspark.llm import bpe, decontaminate, embedding_dedup, html_text, jaccard_join, langid, line_dedup, pitman_yor, sharding, token_counts
+from cinderspark.llm import bpe, decontaminate, embedding_dedup, html_text, jaccard_join, langid, line_dedup, oracles, pitman_yor, sharding, token_counts
 
 
 def queries() -> dict:
@@ -21,4 +21,10 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {}
+    """The others' models, ids and digests have no SQL; their tests compare with plain versions."""
+    return {
+        "op2_embedding_dedup": oracles.EMBEDDINGS,
+        "op3_decontamination": oracles.LEAKS,
+        "op5_line_dedup": oracles.LINES,
+        "op9_jaccard_join": oracles.JACCARD,
+    }

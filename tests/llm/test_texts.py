@@ -366,3 +366,18 @@ def test_registered(spark):
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
     assert [k for k, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "near_duplicates", "decontamination", "byte_bpe"]
     assert set(queries.oracle_sql()) <= set(names)
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_matches_sql(spark, name):
+    import os
+
+    con = duckdb.connect()
+    for file in os.listdir(SMALL):
+        con.execute(f"CREATE VIEW {file.removesuffix('.parquet')} AS SELECT * FROM '{SMALL}/{file}'")
+    found = queries.queries()[name](spark, SMALL)
+    result = con.execute(queries.oracle_sql()[name])
+    names = [c[0] for c in result.description]
+    assert sorted(names) == sorted(found.columns)
+    want = Counter(tuple(map(str, (row[names.index(c)] for c in sorted(names)))) for row in result.fetchall())
+    assert Counter(tuple(str(r[c]) for c in sorted(names)) for r in found.collect()) == want
