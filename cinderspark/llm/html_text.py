@@ -7,8 +7,8 @@ or role names an advert, notice, comment section or the like, weigh nothing. Ove
 of ``WINDOW`` lines the remaining lengths are summed; the text surges where a window first
 reaches the threshold (a share of the best window) and dives where it falls below. The
 run with most text is the article's core. Its ends then move outward to the innermost
-element that holds the whole core and says it is the article (or, without one, the nearest
-block element holding it), so that short paragraphs and headings at its ends are kept.
+element that holds the core and says it is the article (or, without one, over adjoining
+paragraphs and headings), so that short paragraphs and headings at its ends are kept.
 
 Defined cases: null html is empty and gives empty text and 0; a page without text likewise;
 unclosed or stray tags, comments and declarations are passed over; character references
@@ -41,13 +41,15 @@ INLINE = {
 }
 NOISE = {"nav", "header", "footer", "aside", "form", "button", "select", "option", "svg", "canvas", "object", "dialog", "menu", "fieldset", "label", "head", "input"} | RAW
 CONTAINERS = {"article", "main"}
+PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "blockquote", "pre", "figcaption", "dd", "dt"}
 ENDS_PARAGRAPH = {
     "address", "article", "aside", "blockquote", "div", "dl", "fieldset", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6",
     "header", "hr", "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul",
 }
 NOISE_NAMES = re.compile(
-    r"(?:^|(?<!has)(?<!with)(?<!without)(?<!no)[\s_-])(?:ads?|adverts?|advertisements?|advertising|banner|sponsor(?:ed)?|promo(?:tion)?s?|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|subscribe|newsletter|"
-    r"signup|login|comments?|commentlist|comment-?section|replies|reply|respond|responses|discussion|disqus|nav|navbar|navigation|menus?|breadcrumbs?|sidebars?|side|rail|widgets?|footer|header|masthead|topbar|"
+    r"(?:^|(?<!has)(?<!with)(?<!without)(?<!no)[\s_-])(?:ad\d*|ads(?:bygoogle|ense)?|adverts?|advertisements?|advertising|ad(?:box|slot|unit|space)|\w*banner|sponsor(?:ed|s)?|promo(?:tion)?s?|"
+    r"cookies?(?:bar|notice|banner|law)?|consent|gdpr|notices?|notifications?|alerts?|popup|modal|overlay|paywall|subscribe|subscription|newsletter|signup|login|"
+    r"comments?|commentlist|replies|reply|respond|responses|discussion|disqus|\w*nav|navbar|navigation|\w*menus?|breadcrumbs?|\w*sidebars?|side|rail|widgets?|toc|\w*footer|\w*header|masthead|topbar|"
     r"share|sharing|social|related|recommended|recommendations|more-stories|trending|popular|pagination|pager|tags|toolbar|skip|legal|copyright|disclaimer|search|outbrain|taboola)(?=$|[\s_-])"
 )
 NOISE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar"}
@@ -68,12 +70,12 @@ class _Element:
         self.link = name == "a" or bool(parent and parent.link)
 
 
-def _judge(name: str, attributes: str) -> tuple[bool, bool]:
-    """(names itself noise, names itself the content)."""
+def _judge(name: str, attributes: str, by_name: bool) -> tuple[bool, bool]:
+    """(is noise, says it is the content); class, id and role count only ``by_name``."""
     if name in NOISE:
         return True, False
     noise, content = False, name in CONTAINERS
-    if attributes and not attributes.isspace():
+    if by_name and attributes and not attributes.isspace():
         for key, value in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), value.strip("\"'").lower()
             if key in ("class", "id"):
@@ -91,11 +93,11 @@ def _judge(name: str, attributes: str) -> tuple[bool, bool]:
     return noise, content and not noise
 
 
-def lines(page: str) -> tuple[list, list]:
-    """(lines, elements): each line is [text, weight, noise, element]; elements know their range of lines."""
+def lines(page: str, by_name: bool = True) -> list:
+    """Each line is [text, weight, noise, element]; elements know their range of lines."""
     found: list = []
     root = _Element("", None, False, False, 0)
-    elements, top = [root], root
+    top = root
     depth: dict[str, int] = {}
     buffer: list[str] = []
     linked = 0
@@ -159,16 +161,15 @@ def lines(page: str) -> tuple[list, list]:
             close(top)
         if name in VOID or tag[3].endswith("/") and name not in ("p", "div", "article", "main", "section"):
             continue
-        noise, content = _judge(name, tag[3])
+        noise, content = _judge(name, tag[3], by_name)
         top = _Element(name, top, top.noise or noise, content and not top.noise, len(found))
         depth[name] = depth.get(name, 0) + 1
-        elements.append(top)
     text(page[at:])
     flush()
     while top.parent is not None:
         top.last, top = len(found), top.parent
     root.last = len(found)
-    return found, elements
+    return found
 
 
 def any_block(inner: _Element, outer: _Element) -> bool:
@@ -204,11 +205,21 @@ def core(weights: list[int]) -> tuple[int, int] | None:
     return start, stop
 
 
+def _block(element: _Element) -> str:
+    while element.name in INLINE:
+        element = element.parent
+    return element.name
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
-    found, elements = lines(page)
+    found = lines(page)
     run = core([line[1] for line in found])
+    if run is None:
+        # A frame around everything may have a name that sounds like a menu's or a sidebar's.
+        found = lines(page, by_name=False)
+        run = core([line[1] for line in found])
     if run is None:
         return ""
     start, stop = run
@@ -219,14 +230,24 @@ def main_text(page: str | None) -> str:
         if element.content and (holder is None or element.name in CONTAINERS and holder.name not in CONTAINERS):
             holder = element
         element = element.parent
-    if holder is None:
-        element = found[heaviest][3]
-        while element.parent is not None and not (element.first <= start and element.last >= stop and element.name not in INLINE and element.name != "p"):
-            element = element.parent
-        holder = element
-    first, last = holder.first, holder.last
-    kept = [line[0] for line in found[first:last] if not line[2] and (line[1] or holder.content)]
-    return " ".join(kept)
+    if holder is not None:
+        return " ".join(line[0] for line in found[holder.first : holder.last] if not line[2])
+    # Else over the paragraphs and headings next to the core, as far as one element holds them all.
+    element = found[heaviest][3]
+    while element.parent is not None and not (element.first <= start and element.last >= stop and element.name not in INLINE and element.name != "p"):
+        element = element.parent
+    plain = lambda i: found[i][1] and _block(found[i][3]) in PROSE
+    # Where the core is paragraphs for the most part, lines of another kind at its ends are not of it.
+    if 2 * sum(found[i][1] for i in range(start, stop) if plain(i)) >= sum(found[i][1] for i in range(start, stop)):
+        while not plain(start):
+            start += 1
+        while not plain(stop - 1):
+            stop -= 1
+    while start > element.first and plain(start - 1):
+        start -= 1
+    while stop < element.last and plain(stop):
+        stop += 1
+    return " ".join(line[0] for line in found[start:stop] if line[1])
 
 
 def extract(pages: DataFrame) -> DataFrame:

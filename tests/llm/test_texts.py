@@ -154,6 +154,9 @@ FRAME = "<html><head><title>T</title><style>p{{}}</style><script>var t=\"</p><ar
         "<header><h2>Site</h2></header><main>{}</main><aside>A sidebar with a good deal of text inside it, more than one would like</aside>",
         "<div id='cookie-notice'>We use cookies for many purposes that are listed here</div><div class='content'>{}</div><div class='comments'><p>I liked this article very much, thank you for writing all this down</p></div>",
         "<article>{}<form><label>Your mail address here</label><input type=text></form><section id=comments><h3>Comments</h3><article class=comment><p>What a long and wonderful comment this is, is it not</p></article></section></article>",
+        "<table><tr><td><a href=x>Home page</a><br><a href=y>Other page</a></td><td>{}</td></tr></table><div>All rights reserved by someone</div>",
+        "<div>Home | About | Contact us now</div><div>{}</div><div>Somebody's imprint stands here with an address</div>",
+        "<div class='layout sidebar-left'>{}</div>",
         "<div><div class='sidebar-widget'><p>Other text of the site in a widget</p></div><div class='post-body'>{}</div></div><div class='related'><a href=x>Another story that you may like a lot</a></div>",
     ],
 )
