@@ -5,20 +5,25 @@ class; the join is among classes, and two link when
 ``100 * |A and B| >= share * |A or B|``.
 
 1. *Groups.* Shingles are hashed into G groups. Linked sets differ in at most
-   ``D = (|A| + |B|) (100 - share) / (100 + share)`` shingles, so with G > D groups some group
-   is equal in both. G is fixed for each class of sizes, and a set takes part in its own size
-   class and in those its larger partners may be in. Equal groups (by hash of their whole
-   content) are the partitions of the join. Two sets may meet in empty groups only; sets
-   with empty groups therefore take part in a second and a third grouping by other
-   hashes, and only there in the empty ones.
+   ``D = (|A| + |B|) (100 - share) / (100 + share)`` shingles, hence in at most D groups. G
+   is fixed for each class of sizes, and a set takes part in its own size class and in those
+   its larger partners may be in. Groups of few shingles say little (a common passage, or nothing at
+   all), so a set hands on its D + 1 largest groups only, ties in order of place: as in any
+   prefix filter, with one order for all, two sets that differ in D groups at most have one
+   of these in common. A set with fewer groups of ``FULL`` shingles than that hands on all
+   of them and goes on to a further grouping by other hashes, as do the partners that it has not met;
+   the last grouping hands on every group. Equal groups (by hash of their whole content) are the partitions of the join.
 2. *Stars.* In each partition the first set is paired with the others, and no others are:
-   pairs are linear in the rows. They are verified by exact intersection.
+   pairs are linear in the rows. Those that the bound of step 3 lets pass are verified by
+   exact intersection.
 3. *R-tree.* Sets that met but are not yet all connected (families) are cut into chunks of
-   at most ``CHUNK`` sets. For each pair of chunks an R-tree is packed over the vectors of
-   group counts (how many shingles of the set fall into each of ``COORDINATES`` groups);
+   at most about ``CHUNK`` sets. For each pair of chunks an R-tree is packed over the vectors
+   of group counts (how many shingles of the set fall into each of ``COORDINATES`` groups);
    ``sum of min(x, node's maximum)`` bounds the overlap with anything below a node, and
-   ``sum of min(x, y)`` that with a set. Pairs that pass, and are not connected yet, are
-   verified exactly. Families whose sets the stars have connected need no further pair.
+   ``sum of min(x, y)`` that with a set. First the vectors alone are searched; the sets
+   of those with a possible partner that they are not connected to follow, and pairs are
+   verified exactly until they are connected. A family's largest connected part is never paired with itself, so a
+   hot family that the stars have connected costs nothing more.
 4. Links become components with ``shared.connected``; copies join their class.
 
 Only pairs inside one component are ever left unverified, so no link between components
@@ -33,6 +38,7 @@ ignored. Whole texts are read.
 
 from __future__ import annotations
 
+import functools
 import math
 from typing import NamedTuple
 
@@ -44,12 +50,17 @@ from pyspark.sql import functions as F
 
 from cinderspark.llm import shared, words
 
-COORDINATES = 64
+COORDINATES = 256
 CHUNK = 512
 LEAF = 16
 #: Size classes are [RATIO^c, RATIO^(c+1)).
 RATIO = 1.25
-GROUPINGS = 3
+GROUPINGS = 5
+#: Least size of a group that tells sets apart.
+FULL = 2
+
+
+_HALF, _LOW = np.uint64(32), np.uint64(0xFFFFFFFF)
 
 
 class Rule(NamedTuple):
@@ -76,40 +87,64 @@ def size_class(n: int) -> int:
     return int(math.log(n) / math.log(RATIO) + 1e-9)
 
 
-def class_groups(c: int, rule: Rule) -> int:
-    """One group more than sets whose larger one is in size class c can differ in."""
-    top = math.ceil(RATIO ** (c + 1) + 1e-6)
-    # |A| <= |B| <= top and |A xor B| = |A| + |B| - 2 both.
-    return 2 * top * (100 - rule.share) // (100 + rule.share) + 1
+def _differ(a: int, b: int, rule: Rule) -> int:
+    """In how many shingles linked sets of sizes a and b differ at most: a + b less twice their overlap."""
+    return (a + b) * (100 - rule.share) // (100 + rule.share)
+
+
+@functools.cache
+def class_groupings(c: int, rule: Rule) -> tuple[int, list[tuple[int, int]]]:
+    """(greatest size, [(groups, least size of a full one) of each grouping]) of size class c.
+
+    The first grouping has few enough groups that nearly all sets of the class find more full
+    ones than can differ; where two shingles a group are too many to ask, and in the later groupings, one will do.
+    """
+    top, low = math.ceil(RATIO ** (c + 1) + 1e-6), max(1, math.floor(RATIO**c) * rule.share // 100)
+    need = _differ(low, top, rule) + 1
+
+    def found(groups: int, full: int) -> float:
+        """Full groups to be expected in the class's smallest set."""
+        mean = low / groups
+        return groups * (1 - math.exp(-mean) * (1 + mean * (full - 1)))
+
+    out = []
+    for full, slack in ((FULL, 1.04), *[(1, 1.2)] * (GROUPINGS - 1)):
+        sizes = sorted({max(1, round(need * x / 20)) for x in range(20, 81)})
+        out.append((next((g for g in sizes if found(g, full) >= slack * need), max(sizes, key=lambda g: found(g, full))), full))
+    return top, out
 
 
 def group_keys(shingles: np.ndarray, rule: Rule) -> np.ndarray:
-    """Keys of the set's groups, over its size classes and, where groups are empty, groupings."""
+    """Keys of the set's groups, over its size classes and as many groupings as it needs."""
     n, out = len(shingles), []
     if not n:
         return np.zeros(0, np.uint64)
     for c in range(size_class(n), size_class(n * 100 // rule.share) + 1):
-        groups = class_groups(c, rule)
-        for grouping in range(GROUPINGS):
-            salt = np.uint64(xxhash.xxh3_64_intdigest(f"{rule.width}/{c}/{grouping}".encode()))
-            # Independent of the shingle's own hash, so that content and place do not depend on each other.
-            place = (words.mix(shingles ^ salt) >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)
-            counts = np.bincount(place.astype(np.int64), minlength=groups)
-            content = np.zeros(groups, np.uint64)
+        top, groupings = class_groupings(c, rule)
+        least = _differ(n, top, rule) + 1
+        for grouping, (groups, full) in enumerate(groupings):
+            salt = np.uint64(xxhash.xxh3_64_intdigest(f"{rule.width}/{rule.share}/{c}/{grouping}".encode()))
+            spread = words.mix(shingles ^ salt)
+            place = ((spread >> _HALF) * np.uint64(groups) >> _HALF).astype(np.int64)
+            counts = np.bincount(place, minlength=groups)
+            # Exact sums of the halves of a second hash: below 2^53 for any set that fits memory.
+            inner = words.mix(spread + salt)
+            low = np.bincount(place, (inner & _LOW).astype(np.float64), groups).astype(np.uint64)
+            high = np.bincount(place, (inner >> _HALF).astype(np.float64), groups).astype(np.uint64)
             with np.errstate(over="ignore"):
-                np.add.at(content, place.astype(np.int64), words.mix(shingles + salt))
-                full = words.mix(words.mix(content + np.arange(groups, dtype=np.uint64)) ^ salt)
-            out.append(full[counts > 0])
-            empty = full[counts == 0]
-            if not len(empty):
+                content = words.mix(words.mix(low + salt) + words.mix(high ^ salt) + np.arange(groups, dtype=np.uint64))
+            # One order for all sets: the largest groups first, equal ones by place.
+            order = np.argsort(-counts, kind="stable")
+            enough = int((counts >= full).sum())
+            if enough >= least:
+                out.append(content[order[:least]])
                 break
-            if grouping == GROUPINGS - 1:
-                out.append(empty)
+            out.append(content[order[:enough]] if grouping < GROUPINGS - 1 else content)
     return np.concatenate(out)
 
 
 def count_vector(shingles: np.ndarray) -> np.ndarray:
-    return np.bincount((shingles >> np.uint64(58)).astype(np.int64), minlength=COORDINATES).astype(np.int32)
+    return np.bincount((shingles >> np.uint64(56)).astype(np.int64), minlength=COORDINATES).astype(np.int32)
 
 
 class RTree:
@@ -144,28 +179,46 @@ class RTree:
         return at[np.argsort(-bound, kind="stable")]
 
 
-def tree_links(sets: list[np.ndarray], groups: list[int], half: list[int], rule: Rule) -> list[tuple[int, int]]:
-    """Links (i, j) that connect sets of different ``groups``; with two halves, only those across."""
-    root = {g: g for g in groups}
-
-    def find(g):
-        while root[g] != g:
-            root[g] = root[root[g]]
-            g = root[g]
-        return g
-
-    points, sizes = np.array([count_vector(s) for s in sets]), np.array([len(s) for s in sets])
-    two = len(set(half)) > 1
-    left = [i for i, h in enumerate(half) if h == half[0]]
-    right = [i for i, h in enumerate(half) if h != half[0]] if two else left
-    tree, out = RTree(points[right], sizes[right]), []
-    for i in left:
-        for j in (right[k] for k in tree.search(points[i], int(sizes[i]), rule).tolist()):
-            if (two or j < i) and (a := find(groups[i])) != (b := find(groups[j])):
-                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if rule.linked(both, len(sets[i]), len(sets[j])):
+class Chunk(NamedTuple):
+    """Sets on one side of a join: their documents, connected parts, sizes, count vectors and, at last, contents."""
+
+    nodes: list[int]
+    parts: list[int]
+    sizes: np.ndarray
+    points: np.ndarray
+    sets: list[np.ndarray] | None = None
+
+
+def possible(left: Chunk, right: Chunk, rule: Rule) -> set[int]:
+    """Documents with a partner on the other side that the bound allows and that is not connected to them."""
+    tree, parts, out = RTree(right.points, right.sizes), np.array(right.parts), set()
+    for i, node in enumerate(left.nodes):
+        at = tree.search(left.points[i], int(left.sizes[i]), rule)
+        at = at[parts[at] != left.parts[i]]
+        if len(at):
+            out.add(node)
+            out.update(right.nodes[j] for j in at.tolist())
+    return out
+
+
+def tree_links(left: Chunk, right: Chunk, rule: Rule) -> list[tuple[int, int]]:
+    """Links of documents across that connect different parts; a part is connected once."""
+    root = {p: p for p in (*left.parts, *right.parts)}
+
+    def find(p):
+        while root[p] != p:
+            root[p] = root[root[p]]
+            p = root[p]
+        return p
+
+    tree, out = RTree(right.points, right.sizes), []
+    for i, node in enumerate(left.nodes):
+        for j in tree.search(left.points[i], int(left.sizes[i]), rule).tolist():
+            if (a := find(left.parts[i])) != (b := find(right.parts[j])):
+                both = len(np.intersect1d(left.sets[i], right.sets[j], assume_unique=True))
+                if rule.linked(both, int(left.sizes[i]), int(right.sizes[j])):
                     root[max(a, b)] = min(a, b)
-                    out.append((i, j))
+                    out.append((node, right.nodes[j]))
     return out
 
 
@@ -183,14 +236,37 @@ def _sets(documents: DataFrame, rule: Rule) -> DataFrame:
 
 
 #: What a task gathers before it hands its keys on; bounds its memory.
-KEYS_AT_ONCE = 4_000_000
+KEYS_AT_ONCE = 1_000_000
 _DIGEST = pa.schema(
-    [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.binary()), ("bucket", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary())]
+    [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.binary()), ("vector", pa.binary())]
+    + [("bucket", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary()), ("runs", pa.binary())]
 )
+_DIGEST_SQL = "doc_id long, n_shingles long, set_id binary, vector binary, bucket int, keys binary, docs binary, runs binary"
+#: Keys are handed on without their bucket's share, as five bytes: equal ones by chance cost a pair to verify.
+_KEY = np.dtype([("low", "<u4"), ("high", "u1")])
+
+
+def _short(keys: np.ndarray) -> bytes:
+    out = np.empty(len(keys), _KEY)
+    out["low"], out["high"] = keys & _LOW, (keys >> _HALF) & np.uint64(255)
+    return out.tobytes()
+
+
+def _long(raw: bytes) -> np.ndarray:
+    got = np.frombuffer(raw, _KEY)
+    return got["low"].astype(np.uint64) | got["high"].astype(np.uint64) << _HALF
+
+
+def _vector(counts: np.ndarray) -> bytes:
+    return counts.astype("<u2" if counts.max(initial=0) < 65536 else "<u4").tobytes()
+
+
+def _counts(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, "<u2" if len(raw) == 2 * COORDINATES else "<u4").astype(np.int32)
 
 
 def _digests(documents: DataFrame, rule: Rule, buckets: int) -> DataFrame:
-    """Rows of documents (doc_id, n_shingles, set_id), and rows of keys packed by bucket.
+    """Rows of documents (doc_id, n_shingles, set_id, vector), and rows of keys packed by bucket.
 
     Copies of a set within a task hand on one document's keys, and equal keys within it are
     tied there (rows of bucket -1: pairs), so a bucket gets a key once from each task.
@@ -204,31 +280,31 @@ def _digests(documents: DataFrame, rule: Rule, buckets: int) -> DataFrame:
         starts = np.flatnonzero(new)
         heads = np.repeat(docs[starts], np.diff(np.r_[starts, len(keys)]))
         tied = np.unique(np.stack([heads, docs])[:, ~new & (heads != docs)], axis=1)
-        rows = [(-1, tied[0].astype("<i8").tobytes(), tied[1].astype("<i8").tobytes())] if tied.size else []
+        rows = [(-1, tied[0].astype("<i8").tobytes(), tied[1].astype("<i8").tobytes(), b"")] if tied.size else []
         keys, docs = keys[starts], docs[starts]
         # In order of document, which packs well.
         order = np.lexsort((keys, docs))
         keys, docs = keys[order], docs[order]
-        bucket = (keys % np.uint64(buckets)).astype(np.int64)
+        bucket = ((keys >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
         for k in range(buckets):
             if edges[k] < edges[k + 1]:
                 at = order[edges[k] : edges[k + 1]]
-                rows.append((k, keys[at].astype("<u8").tobytes(), docs[at].astype("<i8").tobytes()))
+                own, runs = np.unique(docs[at], return_counts=True)
+                rows.append((k, _short(keys[at]), own.astype("<i8").tobytes(), runs.astype("<u4").tobytes()))
         n = len(rows)
-        none = [pa.nulls(n, kind) for kind in (pa.int64(), pa.int64(), pa.binary())]
-        return pa.RecordBatch.from_arrays(
-            [*none, pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], schema=_DIGEST
-        )
+        none = [pa.nulls(n, kind) for kind in _DIGEST.types[:4]]
+        return pa.RecordBatch.from_arrays([*none, *(pa.array([r[c] for r in rows], _DIGEST.types[4 + c]) for c in range(4))], schema=_DIGEST)
 
     def run(batches):
         keys, docs, held, met = [], [], 0, set()
         for batch in batches:
-            sizes, ids = [], []
+            sizes, ids, vectors = [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 own = shingle_set(text.as_py(), rule.width)
                 sizes.append(len(own))
+                vectors.append(_vector(count_vector(own)))
                 ids.append(xxhash.xxh3_128_digest(own.astype("<u8").tobytes()))
                 if doc is not None and len(own) and ids[-1] not in met:
                     met.add(ids[-1])
@@ -237,7 +313,7 @@ def _digests(documents: DataFrame, rule: Rule, buckets: int) -> DataFrame:
                     held += len(keys[-1])
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), *(pa.nulls(n, k) for k in (pa.int32(), pa.binary(), pa.binary()))], schema=_DIGEST
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), pa.array(vectors, pa.binary()), *(pa.nulls(n, k) for k in _DIGEST.types[4:])], schema=_DIGEST
             )
             if held >= KEYS_AT_ONCE:
                 yield packed(keys, docs)
@@ -245,13 +321,23 @@ def _digests(documents: DataFrame, rule: Rule, buckets: int) -> DataFrame:
         if held:
             yield packed(keys, docs)
 
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_id binary, bucket int, keys binary, docs binary")
+    return documents.select("doc_id", "text").mapInArrow(run, _DIGEST_SQL)
 
 
 def _met(table: pa.Table) -> pa.Table:
-    """The first document of each key in a bucket with each other one."""
-    keys = np.concatenate([np.frombuffer(k.as_py(), "<u8") for k in table["keys"]])
-    docs = np.concatenate([np.frombuffer(d.as_py(), "<i8") for d in table["docs"]])
+    """A document of each key in a bucket with each other one."""
+    keys = np.concatenate([_long(k.as_py()) for k in table["keys"]])
+    ordered = np.sort(keys)
+    twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    del ordered
+    if not len(twice):
+        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    # Most keys are one document's: only the others need their documents.
+    at = np.minimum(np.searchsorted(twice, keys), len(twice) - 1)
+    use = np.flatnonzero(twice[at] == keys)
+    keys = at[use]
+    del at
+    docs = np.concatenate([np.repeat(np.frombuffer(d.as_py(), "<i8"), np.frombuffer(n.as_py(), "<u4")) for d, n in zip(table["docs"], table["runs"], strict=True)])[use]
     order = np.lexsort((docs, keys))
     keys, docs = keys[order], docs[order]
     new = np.r_[True, keys[1:] != keys[:-1]]
@@ -285,20 +371,78 @@ def _verified(pairs: DataFrame, rule: Rule) -> DataFrame:
     return pairs.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
+def _bounded(pairs: DataFrame, rule: Rule) -> DataFrame:
+    """a, b of the pairs (a, b, m, n: sizes, x, y: vectors) whose overlap may suffice."""
+
+    def run(batches):
+        for batch in batches:
+            keep = [
+                int(np.minimum(_counts(x), _counts(y)).sum()) >= rule.need(m, n) and 100 * min(m, n) >= rule.share * max(m, n)
+                for m, n, x, y in zip(*(batch.column(c).to_pylist() for c in range(2, 6)), strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.select("a", "b", "m", "n", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+
+
+def _contents(documents: DataFrame, members: DataFrame, rule: Rule, label: str) -> DataFrame:
+    """doc_id, set of the members (doc_id, set_id), from their whole texts."""
+    members = shared.stored(members, f"{label}-ids")
+    small = shared.checked_broadcast(members.select("doc_id"), members.count())
+    sets = _sets(documents.join(small, "doc_id", "left_semi"), rule).join(members, ["doc_id", "set_id"], "left_semi")
+    # Rows that repeat a document have one set.
+    return shared.stored(sets.dropDuplicates(["doc_id"]).select("doc_id", "set"), f"{label}-sets")
+
+
+def _cells(state: DataFrame, least: int) -> DataFrame:
+    """Rows of families of ``least`` sets or more in more than one part, once for each pair of chunks they are in.
+
+    Columns: family, l, r, right, and those of ``state``.
+    """
+    parts = state.groupBy("family", "part").agg(F.count(F.lit(1)).alias("n"))
+    families = parts.groupBy("family").agg(F.sum("n").alias("n"), F.max(F.struct("n", "part")).alias("main"), F.count(F.lit(1)).alias("parts"))
+    families = families.where(f"n >= {least} and parts > 1").select(
+        "family", F.col("main.part").alias("main"), F.ceil((F.col("n") - F.col("main.n")) / CHUNK).cast("int").alias("lefts"), F.ceil(F.col("n") / CHUNK).cast("int").alias("rights")
+    )
+    rows = state.join(families, "family")
+    dealt = F.xxhash64("node")
+    right = rows.withColumn("r", F.pmod(dealt, "rights").cast("int")).withColumn("l", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)))
+    left = rows.where("part <> main").withColumn("l", F.pmod(dealt, "lefts").cast("int")).withColumn("r", F.explode(F.sequence(F.lit(0), F.col("rights") - 1)))
+    return right.withColumn("right", F.lit(True)).unionByName(left.withColumn("right", F.lit(False))).drop("main", "lefts", "rights")
+
+
+def _chunks(table: pa.Table) -> tuple[Chunk, Chunk]:
+    out = []
+    for side in (False, True):
+        rows = sorted((r for r in table.to_pylist() if r["right"] == side), key=lambda r: r["node"])
+        out.append(
+            Chunk(
+                [r["node"] for r in rows], [r["part"] for r in rows], np.array([r["n_shingles"] for r in rows], np.int64),
+                np.array([_counts(r["vector"]) for r in rows]).reshape(len(rows), COORDINATES),
+                [_numbers(r["set"]) for r in rows] if "set" in table.column_names else None,
+            )
+        )
+    return out[0], out[1]
+
+
 def components(documents: DataFrame, rule: Rule) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-
     spark = documents.sparkSession
-    digests = shared.stored(_digests(documents, rule, shared.parallelism(spark)), "jaccard-digests")
+    # A bucket takes the keys of about three shuffle partitions: sets that meet do so once in each bucket.
+    buckets = -(-shared.parallelism(spark) // 3)
+    digests = shared.stored(_digests(documents, rule, buckets), "jaccard-digests")
     # One row for each doc_id; then the first document of each set stands for it.
-    single = digests.where("bucket is null").groupBy("doc_id").agg(F.min(F.struct("set_id", "n_shingles")).alias("d"))
-    single = shared.stored(single.select("doc_id", "d.set_id", "d.n_shingles"), "jaccard-documents")
+    single = digests.where("bucket is null").groupBy("doc_id").agg(F.min(F.struct("set_id", "n_shingles", "vector")).alias("d"))
+    single = shared.stored(single.select("doc_id", "d.*"), "jaccard-documents")
     full = single.where("doc_id is not null and n_shingles > 0")
-    heads = full.groupBy("set_id").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("copies"))
-    heads = shared.stored(heads, "jaccard-heads")
+    heads = shared.stored(full.groupBy("set_id").agg(F.min("doc_id").alias("head")), "jaccard-heads")
 
-    keyed = digests.where("bucket is not null").select("bucket", "keys", "docs")
+    keyed = digests.where("bucket is not null").select("bucket", "keys", "docs", "runs")
     ties = keyed.where("bucket >= 0").groupBy("bucket").applyInArrow(_met, "a long, b long")
 
     def unpack(batches):
@@ -308,46 +452,43 @@ def components(documents: DataFrame, rule: Rule) -> DataFrame:
 
     ties = ties.unionByName(keyed.where("bucket < 0").select("keys", "docs").mapInArrow(unpack, "a long, b long"))
     # Pairs of documents become pairs of the sets' heads.
-    head_of = full.join(heads, "set_id").select("doc_id", "head")
+    head_of = full.select("doc_id", "set_id").join(heads, "set_id").select("doc_id", "head")
     met = ties.join(head_of.toDF("a", "x"), "a").join(head_of.toDF("b", "y"), "b")
     met = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct()
     met = shared.stored(met, "jaccard-met")
+    vectors = shared.stored(full.join(_ends(met), "doc_id", "left_semi"), "jaccard-vectors")
 
-    # Sets of all that met, from their whole texts.
-    members = met.select(F.col("a").alias("doc_id")).unionByName(met.select(F.col("b").alias("doc_id"))).distinct()
-    members = shared.stored(members.join(full.select("doc_id", "set_id"), "doc_id"), "jaccard-members")
-    small = shared.checked_broadcast(members.select("doc_id"), members.count())
-    sets = _sets(documents.join(small, "doc_id", "left_semi"), rule)
-    sets = sets.join(members, ["doc_id", "set_id"], "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "set")
-    sets = shared.stored(sets, "jaccard-member-sets")
-    left = sets.select(F.col("doc_id").alias("a"), F.col("set").alias("left"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("set").alias("right"))
-    star = shared.stored(_verified(met.join(right, "b").join(left, "a"), rule), "jaccard-stars")
-
-    linked = shared.connected(star, "jaccard-linked")
+    pairs = met.join(vectors.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("n"), F.col("vector").alias("y")), "b")
+    pairs = pairs.join(vectors.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("m"), F.col("vector").alias("x")), "a")
+    likely = shared.stored(_bounded(pairs, rule), "jaccard-likely")
+    ids = vectors.select("doc_id", "set_id")
+    sets = _contents(documents, _ends(likely).join(ids, "doc_id"), rule, "jaccard-stars")
+    pairs = likely.join(sets.toDF("b", "right"), "b").join(sets.toDF("a", "left"), "a")
+    star = shared.stored(_verified(pairs, rule), "jaccard-linked")
+
+    linked = shared.connected(star, "jaccard-parts")
     families = shared.connected(met, "jaccard-families").withColumnRenamed("component", "family")
     state = families.join(linked, "node", "left").select("node", "family", F.coalesce("component", "node").alias("part"))
+    state = state.join(vectors.withColumnRenamed("doc_id", "node"), "node")
     state = shared.stored(state, "jaccard-state")
+
+    def search(table: pa.Table) -> pa.Table:
+        return pa.table({"node": pa.array(sorted(possible(*_chunks(table), rule)), pa.int64())})
+
+    def join(table: pa.Table) -> pa.Table:
+        found = tree_links(*_chunks(table), rule)
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
     # Two sets have met their only partner already.
-    open_ = state.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("lo"), F.max("part").alias("hi")).where("n > 2 and lo <> hi")
-    open_ = open_.select("family", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
-    rest = state.join(open_, "family").join(sets, F.col("node") == F.col("doc_id"))
-    rest = rest.withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    rest = rest.select("family", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "node", "part", "set")
-
-    def tree(table: pa.Table) -> pa.Table:
-        rows = sorted(zip(table["own"].to_pylist(), table["node"].to_pylist(), table["part"].to_pylist(), map(_numbers, table["set"].to_pylist()), strict=True), key=lambda r: r[:2])
-        p, q = table["p"][0].as_py(), table["q"][0].as_py()
-        found = []
-        if p == q or len({r[0] for r in rows}) == 2:
-            found = tree_links([r[3] for r in rows], [r[2] for r in rows], [r[0] for r in rows], rule)
-        return pa.table({"a": pa.array([rows[i][1] for i, _ in found], pa.int64()), "b": pa.array([rows[j][1] for _, j in found], pa.int64())})
-
-    more = shared.stored(rest.groupBy("family", "p", "q").applyInArrow(tree, "a long, b long"), "jaccard-tree")
-    final = shared.connected(star.unionByName(more), "jaccard-final")
+    cells = _cells(state.drop("set_id"), 3).groupBy("family", "l", "r")
+    open_ = shared.stored(cells.applyInArrow(search, "node long").distinct(), "jaccard-open")
+    sets = _contents(documents, open_.join(ids.withColumnRenamed("doc_id", "node"), "node").select(F.col("node").alias("doc_id"), "set_id"), rule, "jaccard-open")
+    # Cells are dealt again for what is left of the families, with the contents.
+    rest = state.join(sets.withColumnRenamed("doc_id", "node"), "node")
+    more = _cells(rest.drop("set_id"), 2).groupBy("family", "l", "r").applyInArrow(join, "a long, b long")
+    final = shared.connected(star.unionByName(shared.stored(more, "jaccard-tree")), "jaccard-final")
     heads = heads.join(final, heads["head"] == final["node"], "left").select("set_id", F.coalesce("component", "head").alias("component_id"))
-    return single.join(heads, "set_id", "left").select(
+    return single.select("doc_id", "set_id", "n_shingles").join(heads, "set_id", "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
 
