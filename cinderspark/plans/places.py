@@ -9,6 +9,8 @@ from cinderspark.functions import scalar as S
 from cinderspark.operators import grid, joins
 from cinderspark.plans import raster as R
 from cinderspark.plans import tables as T
+from cinderspark.sources import sinks
+from cinderspark.sources.catalog import Catalog, Dataset
 
 _B = T.with_sql(b=T.BUILDINGS)
 GRID = grid.Grid(ny=400, nx=580, cy=60, cx=45, lat0=24.0, lon0=-125.0, dlat=0.1, dlon=0.1)
@@ -197,6 +199,54 @@ def ascending(spark, d):
 ASCENDING_SQL = T.with_sql(p=T.PIXELS, a="SELECT iy, max(lat) AS lat FROM p GROUP BY iy", s="SELECT lead(lat) OVER (ORDER BY iy) - lat AS step FROM a") + " SELECT coalesce(bool_and(step > 0), true) AS ascending FROM s"
 
 
+def semi_join(spark, d):
+    """Orders' boxes that any area touches: each once, whatever the number of areas."""
+    boxes = R.order_boxes(spark, d)
+    met = joins.overlapping_boxes(boxes, _counties(spark, d), 1.0, "o", "c").select(F.col("o_box_id").alias("box_id"))
+    kept = boxes.join(met, "box_id", "left_semi")
+    return kept.select("box_id", F.round("xmin", 6).alias("xmin"), F.round("ymax", 6).alias("ymax"))
+
+
+SEMI_SQL = T.with_sql(o=R.BOXES, c=COUNTIES) + """ SELECT box_id, round(xmin, 6) AS xmin, round(ymax, 6) AS ymax FROM o
+WHERE EXISTS (FROM c WHERE o.xmin <= c.xmax AND o.xmax >= c.xmin AND o.ymin <= c.ymax AND o.ymax >= c.ymin)"""
+
+
+def polygon_overlap(spark, d):
+    """Triangles against boxes (both WKB): candidates by cells, decided on the shapes."""
+    wkb = lambda df: df.withColumn("shape", geo.from_wkt_udf(F.format_string("POLYGON((%1$.17g %2$.17g, %3$.17g %2$.17g, %3$.17g %4$.17g, %1$.17g %4$.17g, %1$.17g %2$.17g))", "xmin", "ymin", "xmax", "ymax")))
+    areas = _counties(spark, d).join(_polygons(spark, d), "area_id")
+    met = joins.overlapping_boxes(wkb(R.order_boxes(spark, d)), areas, 1.0, "o", "c")
+    return met.where(geo.intersects_udf("o_shape", "c_geometry")).groupBy("c_area_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+# A box meets a right triangle if it meets its box and its lower left corner, held to the triangle's box, is below the long side.
+POLYGON_OVERLAP_SQL = T.with_sql(o=R.BOXES, c=COUNTIES) + """ SELECT area_id AS c_area_id, count(*) AS n FROM o JOIN c
+ON o.xmin <= c.xmax AND o.xmax >= c.xmin AND o.ymin <= c.ymax AND o.ymax >= c.ymin
+AND (c.xmax - c.xmin) * (greatest(o.ymin, c.ymin) - c.ymin) + (c.ymax - c.ymin) * (greatest(o.xmin, c.xmin) - c.xmin) <= (c.xmax - c.xmin) * (c.ymax - c.ymin) GROUP BY area_id"""
+
+
+def feature_lines(spark, d):
+    """Areas as the GeoJSON features that the writers make, read back field by field."""
+    made = sinks.features(_polygons(spark, d).withColumn("name", F.when(F.col("area_id") % 2 == 0, F.concat(F.lit("area "), F.col("area_id")))))
+    field = lambda path: F.get_json_object("value", path)
+    return made.select(
+        field("$.properties.area_id").cast("long").alias("area_id"), field("$.properties.name").alias("name"), field("$.geometry.type").alias("kind"),
+        F.round(field("$.geometry.coordinates[0][1][0]").cast("double"), 6).alias("x1"), F.col("value").contains('"name":null').alias("null_kept"),
+    )
+
+
+FEATURES_SQL = T.with_sql(c=COUNTIES) + """ SELECT area_id, CASE WHEN area_id % 2 = 0 THEN 'area ' || area_id END AS name, 'Polygon' AS kind, round(xmax, 6) AS x1, area_id % 2 <> 0 AS null_kept FROM c"""
+
+
+def catalog_query(spark, d):
+    """SQL over a named dataset, the latest of its versions."""
+    known = Catalog([Dataset("homes", f"{d}/customer.parquet", "parquet", "v2"), Dataset("homes", f"{d}/supplier.parquet", "parquet", "v10")])
+    return known.get("HOMES", case_sensitive=False, latest=True).query(spark, "SELECT s_nationkey AS nation, count(*) AS n, round(max(s_acctbal), 2) AS most FROM {source} GROUP BY s_nationkey")
+
+
+CATALOG_SQL = "SELECT s_nationkey AS nation, count(*) AS n, round(max(s_acctbal), 2) AS most FROM supplier GROUP BY s_nationkey"
+
+
 QUERIES = {
     "spatial_join_boxes": (box_join, BOX_SQL),
     "bbox_overlap_join": (overlap_join, OVERLAP_SQL),
@@ -213,5 +263,9 @@ QUERIES = {
     "valid_regions": (valid_regions, VALID_SQL),
     "chunk_starts": (starts, STARTS_SQL),
     "positive_centroids": (positive, POSITIVE_SQL),
+    "spatial_semi_join": (semi_join, SEMI_SQL),
+    "polygon_overlap": (polygon_overlap, POLYGON_OVERLAP_SQL),
+    "feature_lines": (feature_lines, FEATURES_SQL),
+    "catalog_query": (catalog_query, CATALOG_SQL),
     "ascending_check": (ascending, ASCENDING_SQL),
 }
