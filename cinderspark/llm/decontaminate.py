@@ -162,7 +162,8 @@ def contaminated_flag(documents: DataFrame, items: DataFrame) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that hold a benchmark item go."""
-    return contaminated_flag(docs, shared.read(spark, sf_dir, "benchmark")).where(~F.col("_leak")).select(*docs.columns)
+    flagged = contaminated_flag(shared.packed(docs, "text"), shared.read(spark, sf_dir, "benchmark"))
+    return flagged.where(~F.col("_leak")).select("_row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

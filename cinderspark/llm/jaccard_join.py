@@ -486,7 +486,8 @@ def components(documents: DataFrame, rule: Rule) -> DataFrame:
     # Cells are dealt again for what is left of the families, with the contents.
     rest = state.join(sets.withColumnRenamed("doc_id", "node"), "node")
     more = _cells(rest.drop("set_id"), 2).groupBy("family", "l", "r").applyInArrow(join, "a long, b long")
-    final = shared.connected(star.unionByName(shared.stored(more, "jaccard-tree")), "jaccard-final")
+    more = shared.stored(more, "jaccard-tree")
+    final = shared.connected(star.unionByName(more), "jaccard-final")
     heads = heads.join(final, heads["head"] == final["node"], "left").select("set_id", F.coalesce("component", "head").alias("component_id"))
     return single.select("doc_id", "set_id", "n_shingles").join(heads, "set_id", "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")

@@ -185,8 +185,8 @@ def training(documents: DataFrame) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents without a recognisable language go."""
-    judged = predict(docs, fit(training(docs)))
-    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    judged = predict(shared.packed(docs, "text"), fit(training(docs)))
+    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("_row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -77,8 +77,8 @@ def near_copies(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     # Least and greatest line of each half: copies of a line are summed up before the shuffle.
     halves = places.select("lid", F.explode("halves").alias("half"))
-    meeting = shared.stored(_shared_keys(halves, "half"), "line-halves")
-    kin = halves.join(shared.checked_broadcast(meeting, meeting.count()), "half", "left_semi").select("lid").distinct()
+    shared_halves = shared.stored(_shared_keys(halves, "half"), "line-halves")
+    kin = halves.join(shared.checked_broadcast(shared_halves, shared_halves.count()), "half", "left_semi").select("lid").distinct()
     kin = shared.stored(kin, "line-kin")
     small = shared.checked_broadcast(kin, kin.count())
     first = shared.stored(
@@ -96,7 +96,8 @@ def near_copies(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     mine = text.select("lid", F.split("line", " ").alias("own_words"))
     theirs = text.select(F.col("lid").alias("earlier"), F.split("line", " ").alias("their_words"))
     ties = ties.join(mine, "lid").join(theirs, "earlier").where(_word_gap("own_words", "their_words"))
-    return places, shared.stored(ties.select("lid", "earlier"), "line-ties")
+    ties = shared.stored(ties.select("lid", "earlier"), "line-ties")
+    return places, ties
 
 
 def _shared_keys(keyed: DataFrame, key: str) -> DataFrame:
@@ -126,19 +127,20 @@ def _variants(text: DataFrame) -> DataFrame:
 
 def dropped_lines(documents: DataFrame) -> DataFrame:
     """doc (id, text hash), line_no of each line that goes, and whether an equal one stays."""
-    places, ties = near_copies(documents)
+    all_places, ties = near_copies(documents)
     near = ties.select("lid").distinct().withColumn("near", F.lit(True))
-    head = places.groupBy("lid").agg(F.min(F.struct("doc", "line_no")).alias("head"), F.count(F.lit(1)).alias("copies"))
+    head = all_places.groupBy("lid").agg(F.min(F.struct("doc", "line_no")).alias("head"), F.count(F.lit(1)).alias("copies"))
     judged = shared.stored(head.join(near, "lid", "left").where("near or copies > 1"), "line-judged")
     # Lines with more than an eighth of a partition's share of copies: at most 8 a partition exist, whatever
     # the input, so these few are broadcast and their copies stay where they are.
     parts = shared.parallelism(documents.sparkSession)
-    hot = judged.where(F.col("copies") > max(1, places.count() // (8 * parts)))
-    places = places.select("lid", "doc", "line_no")
+    hot = judged.where(F.col("copies") > max(1, all_places.count() // (8 * parts)))
+    places = all_places.select("lid", "doc", "line_no")
     usual = places.join(F.broadcast(hot.select("lid")), "lid", "left_anti").join(judged.join(F.broadcast(hot.select("lid")), "lid", "left_anti"), "lid")
     found = usual.unionByName(places.join(F.broadcast(hot), "lid"))
     found = found.where("near or doc <> head.doc or line_no <> head.line_no")
-    return found.select("doc", "line_no", F.coalesce("near", F.lit(False)).alias("near"))
+    found = shared.stored(found.select("doc", "line_no", F.coalesce("near", F.lit(False)).alias("near")), "line-found")
+    return found
 
 
 def dedup_lines(documents: DataFrame) -> DataFrame:
@@ -146,7 +148,8 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
 
     ``n_lines`` counts the lines before, ``n_exact`` and ``n_near`` those that went.
     """
-    gone = dropped_lines(documents).groupBy("doc").agg(
+    found = dropped_lines(documents)
+    gone = found.groupBy("doc").agg(
         F.collect_set("line_no").alias("_gone"),
         F.count_if(~F.col("near")).alias("_n_exact"),
         F.count_if("near").alias("_n_near"),
@@ -171,9 +174,9 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: texts without repeated lines; a text of which no line is left goes."""
-    clean = dedup_lines(docs)
+    clean = dedup_lines(shared.packed(docs, "doc_id", "text"))
     kept = clean.where((F.col("n_exact") + F.col("n_near") == 0) | (F.trim(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) != ""))
-    return kept.select(*docs.columns)
+    return kept.select(F.col("_row").withField("text", F.col("text")).alias("_row")).select("_row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -299,7 +299,7 @@ def _blocks(documents: DataFrame, folder: str, buckets: int) -> DataFrame:
         table = pa.table({"doc_id": doc_ids, "train": pa.array(train, pa.bool_()), "codes": pa.LargeListArray.from_arrays(offsets, pa.array(codes.astype(np.int32)))})
         with fs.open_output_stream(draft) as out, pyarrow.ipc.new_file(out, table.schema, options=pyarrow.ipc.IpcWriteOptions(compression="zstd")) as sink:
             sink.write_table(table)
-        fs.move(draft, f"{base}/{block}.arrow")
+        shared.publish(fs, draft, f"{base}/{block}.arrow")
         dish = entries // LEAVES
         of = bucket[order][dish]
         edges = np.searchsorted(of, np.arange(buckets + 1))

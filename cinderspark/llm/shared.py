@@ -41,7 +41,27 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes the files of tables made by ``stored`` that nothing reads any more."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table._stored_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def publish(fs, draft: str, final: str) -> None:
+    """Moves a finished file into place; a repeated task's file is the same, so one that is there stays."""
+    try:
+        fs.move(draft, final)
+    except OSError:
+        if not fs.get_file_info(final).is_file:
+            raise
+        fs.delete_file(draft)
 
 
 def checked_broadcast(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -49,6 +69,11 @@ def checked_broadcast(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) ->
     return F.broadcast(df) if rows <= limit else df
 
 
+def packed(docs: DataFrame, *beside: str) -> DataFrame:
+    """``docs`` as one struct ``_row`` with some columns beside it, so that no name of theirs is in the way."""
+    return docs.select(*beside, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+
+
 def parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
@@ -82,7 +107,7 @@ def connected(edges: DataFrame, label: str) -> DataFrame:
         # Small star: u and its smaller neighbours are tied to the least of them.
         joined = large.join(least, "a")
         small = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-        current = stored(down(small), label)
+        last, current = current, stored(down(small), label)
         now = state(current)
         if now == seen:
             break

@@ -62,7 +62,7 @@ def write_files(documents: DataFrame, folder: str, path: str = bpe.RANKS, separa
                     ["file", "ordinal", "doc_id"],
                 )
                 n += batch.num_rows
-        fs.move(draft, f"{base}/{name}")
+        shared.publish(fs, draft, f"{base}/{name}")
 
     kind = dict(documents.dtypes)["doc_id"]
     listing = documents.select("doc_id", documents["text"].cast("string")).mapInArrow(run, f"file string, ordinal long, doc_id {kind}")

@@ -364,6 +364,16 @@ def test_stages_take_anything(spark):
             assert out.count() <= 8
 
 
+def test_stages_keep_columns_whose_names_are_theirs(spark):
+    names = ["score", "lang_pred", "_leak", "_t", "_id", "_row", "n_lines", "n_exact", "lid", "keys", "component_id", "doc"]
+    docs = shared.read(spark, SMALL, "documents").withColumns({c: F.concat(F.lit(c), F.col("doc_id")) for c in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SMALL)
+        assert out.columns == docs.columns
+        odd = out.where(" or ".join(f"`{c}` is null or `{c}` <> concat('{c}', doc_id)" for c in names))
+        assert out.count() > 0 and odd.count() == 0, name
+
+
 def test_registered(spark):
     names = queries.queries()
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
