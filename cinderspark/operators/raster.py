@@ -39,12 +39,28 @@ def rolling_mean_3x3(pixels: DataFrame, value: str, name: str) -> DataFrame:
 
 
 def gap_fill(pixels: DataFrame, value: str, name: str = "filled") -> DataFrame:
-    """Zero, negative or missing pixels whose four neighbours are all positive take the 3x3 mean."""
+    """Zero, negative or missing pixels whose four neighbours are all positive take the 3x3 mean.
+
+    All that looks along a row is done in one pass, then all that looks along a column: two shuffles.
+    """
     v = F.col(value)
-    around = rolling_mean_3x3(shifts(pixels, F.coalesce((v > 0), F.lit(False))), value, "_mean")
-    enclosed = F.col("west") & F.col("east") & F.col("south") & F.col("north")
-    gap = ~F.coalesce(v > 0, F.lit(False)) & F.coalesce(enclosed, F.lit(False))
-    return around.withColumn(name, F.when(gap, F.col("_mean")).otherwise(v.cast("double"))).drop("west", "east", "south", "north", "_mean")
+    row, column = Window.partitionBy("iy").orderBy("ix"), Window.partitionBy("ix").orderBy("iy")
+    fine = pixels.withColumn("_ok", F.coalesce(v > 0, F.lit(False)))
+    along = fine.withColumns(
+        {
+            "_sides": F.coalesce(F.lag("_ok").over(row) & F.lead("_ok").over(row), F.lit(False)),
+            "_s": F.sum(v.cast("double")).over(row.rowsBetween(-1, 1)),
+            "_n": F.count(value).over(row.rowsBetween(-1, 1)),
+        }
+    )
+    across = along.withColumns(
+        {
+            "_ends": F.coalesce(F.lag("_ok").over(column) & F.lead("_ok").over(column), F.lit(False)),
+            "_mean": F.try_divide(F.sum("_s").over(column.rowsBetween(-1, 1)), F.sum("_n").over(column.rowsBetween(-1, 1))),
+        }
+    )
+    gap = ~F.col("_ok") & F.col("_sides") & F.col("_ends")
+    return across.withColumn(name, F.when(gap, F.col("_mean")).otherwise(v.cast("double"))).drop("_ok", "_sides", "_s", "_n", "_ends", "_mean")
 
 
 # ---------------------------------------------------------------------- stencils

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinderspark.functions import scalar as S
+from cinderspark.operators.quantiles import exact_quantiles
 
 
 def _inversions(y: np.ndarray) -> int:
@@ -96,8 +97,8 @@ def skill(x: Column | str, y: Column | str) -> list[Column]:
 
 
 def hotspots(df: DataFrame, x: str, y: str, q: float, side: str = "high") -> DataFrame:
-    """Rows beyond the q-quantile of both columns; the two limits are one broadcast row."""
-    limits = df.agg(F.percentile(F.col(x).cast("double"), F.lit(q)).alias("_qx"), F.percentile(F.col(y).cast("double"), F.lit(q)).alias("_qy"))
+    """Rows beyond the exact q-quantile of both columns; the two limits are one broadcast row."""
+    limits = exact_quantiles(df, [], [x, y], [q]).select(F.col(f"{x}_q")[0].alias("_qx"), F.col(f"{y}_q")[0].alias("_qy"))
     joined = df.join(F.broadcast(limits))
     beyond = (F.col(x) > F.col("_qx")) & (F.col(y) > F.col("_qy")) if side == "high" else (F.col(x) < F.col("_qx")) & (F.col(y) < F.col("_qy"))
     return joined.where(beyond).drop("_qx", "_qy")

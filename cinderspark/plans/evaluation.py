@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cinderspark.operators import stats
+from cinderspark.operators.quantiles import exact_quantiles
 from cinderspark.plans import tables as T
 
 _B = T.with_sql(b=T.BUILDINGS)
@@ -58,7 +59,7 @@ SELECT l_orderkey, l_linenumber, round(CAST(rps_2011 AS DOUBLE), 6) AS rps_2011
 
 
 def percentiles(spark, d):
-    p = T.buildings(spark, d).groupBy("r_name").agg(F.percentile(F.col("rps_2011").cast("double"), F.array(*[F.lit(x) for x in PERCENTILES])).alias("p"))
+    p = exact_quantiles(T.buildings(spark, d), ["r_name"], ["rps_2011"], PERCENTILES).withColumnRenamed("rps_2011_q", "p")
     return p.select("r_name", *[F.round(F.col("p")[k], 6).alias(f"p{k}") for k in range(len(PERCENTILES))])
 
 

@@ -45,11 +45,12 @@ def _statistics_sql(values=VALUES, histograms=HISTOGRAMS) -> str:
 
 
 def by_nation(spark, d):
-    return _flat(regional.regional_statistics(T.buildings(spark, d), "n_name", VALUES, HISTOGRAMS))
+    return _flat(regional.regional_statistics(T.buildings(spark, d), "n_name", VALUES, HISTOGRAMS, large=True))
 
 
 def by_prefix(n: int):
-    return lambda spark, d: _flat(regional.regional_statistics(T.buildings(spark, d), F.substring("GEOID", 1, n), VALUES, HISTOGRAMS))
+    """States and counties are large; tracts are not."""
+    return lambda spark, d: _flat(regional.regional_statistics(T.buildings(spark, d), F.substring("GEOID", 1, n), VALUES, HISTOGRAMS, large=n <= 5))
 
 
 def prefix_sql(n: int) -> str:
