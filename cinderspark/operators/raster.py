@@ -1,6 +1,6 @@
 """Rasters as pixel tables (iy, ix, variables) and as tiles.
 
-Neighbourhoods of a few pixels are windows or tap joins and stay in SQL. Large stencils run on
+Neighbourhoods of a few pixels are windows or scattered sums and stay in SQL. Large stencils run on
 tiles: every pixel goes to the tiles whose halo it is in, and each tile is one Arrow group.
 """
 
@@ -66,40 +66,52 @@ def gap_fill(pixels: DataFrame, value: str, name: str = "filled") -> DataFrame:
 # ---------------------------------------------------------------------- stencils
 
 
-def _mirror(index: Column, n: int) -> Column:
-    """Index reflected at the grid's edges, the edge pixel not repeated."""
+def _images(axis: str, n: int, reach: int) -> Column:
+    """Places within ``reach`` of the grid where an index shows when the edges mirror (the edge itself not repeated)."""
     if n == 1:
-        return F.lit(0)
-    period = 2 * (n - 1)
-    wrapped = F.pmod(index, F.lit(period))
-    return F.when(wrapped < n, wrapped).otherwise(F.lit(period) - wrapped).cast("int")
+        return F.sequence(F.lit(-reach), F.lit(reach))
+    period, i = 2 * (n - 1), F.col(axis)
+    turns = range(-((reach + n) // period + 1), (reach + n) // period + 2)
+    places = F.array(*[c + k * period for k in turns for c in (i, -i)])
+    return F.array_distinct(F.filter(places, lambda x: (x >= -reach) & (x <= n - 1 + reach)))
 
 
-def correlate(pixels: DataFrame, value: str, weights: Sequence[tuple[int, int, float]], ny: int, nx: int, name: str) -> DataFrame:
-    """``sum(w * value(iy + dy, ix + dx))``, mirrored at the edges, by a tap join.
+def _scatter(pixels: DataFrame, weights: Sequence[tuple[int, int, float]], ny: int, nx: int) -> DataFrame:
+    """Each pixel's columns at every (iy, ix) that a tap reaches it from, with the tap's weight ``_w``.
 
-    Each pixel names its taps' source pixels and meets them in one equal join: for kernels
-    of some tens of taps. Larger ones go to ``directional_spread``.
+    Sources hand their values to their targets, so the sums that follow are combined before the
+    only shuffle; nothing is joined.
     """
+    reach_y, reach_x = max(abs(dy) for dy, _, _ in weights), max(abs(dx) for _, dx, _ in weights)
     taps = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx"), F.lit(float(w)).alias("w")) for dy, dx, w in weights])
-    asked = pixels.select("iy", "ix", F.explode(taps).alias("tap"))
-    asked = asked.select("iy", "ix", _mirror(F.col("iy") + F.col("tap.dy"), ny).alias("sy"), _mirror(F.col("ix") + F.col("tap.dx"), nx).alias("sx"), F.col("tap.w").alias("w"))
-    source = pixels.select(F.col("iy").alias("sy"), F.col("ix").alias("sx"), F.col(value).cast("double").alias("_v"))
-    return asked.join(source, ["sy", "sx"]).groupBy("iy", "ix").agg(F.sum(F.col("w") * F.col("_v")).alias(name))
+    kept = [c for c in pixels.columns if c not in ("iy", "ix")]
+    shown = pixels.withColumn("_y", F.explode(_images("iy", ny, reach_y))).withColumn("_x", F.explode(_images("ix", nx, reach_x)))
+    out = shown.select(*kept, "_y", "_x", F.explode(taps).alias("_t"))
+    out = out.select((F.col("_y") - F.col("_t.dy")).cast("int").alias("iy"), (F.col("_x") - F.col("_t.dx")).cast("int").alias("ix"), F.col("_t.w").alias("_w"), *kept)
+    return out.where(F.col("iy").between(0, ny - 1) & F.col("ix").between(0, nx - 1))
+
+
+def correlate(pixels: DataFrame, value: str, weights: Sequence[tuple[int, int, float]], ny: int, nx: int, name: str) -> DataFrame:
+    """``sum(w * value(iy + dy, ix + dx))``, mirrored at the edges, for kernels of some tens of taps.
+
+    Larger ones go to ``directional_spread``.
+    """
+    source = pixels.select("iy", "ix", F.col(value).cast("double").alias("_v"))
+    return _scatter(source, weights, ny, nx).groupBy("iy", "ix").agg(F.sum(F.col("_w") * F.col("_v")).alias(name))
 
 
 def masked_mean_step(pixels: DataFrame, value: str, weights, ny: int, nx: int) -> DataFrame:
     """One step of spreading: weighted mean of the positive pixels under the kernel, 0 where none; missing stays missing."""
-    known = pixels.select("iy", "ix", F.coalesce(S.missing(F.col(value).cast("double")), F.lit(0.0)).alias("_v"), S.missing(F.col(value).cast("double")).isNull().alias("_gap"))
-    known = known.withColumn("_m", (F.col("_v") > 0).cast("double"))
-    taps = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx"), F.lit(float(w)).alias("w")) for dy, dx, w in weights])
-    asked = known.select("iy", "ix", F.explode(taps).alias("tap"))
-    asked = asked.select("iy", "ix", _mirror(F.col("iy") + F.col("tap.dy"), ny).alias("sy"), _mirror(F.col("ix") + F.col("tap.dx"), nx).alias("sx"), F.col("tap.w").alias("w"))
-    sums = asked.join(known.select(F.col("iy").alias("sy"), F.col("ix").alias("sx"), "_v", "_m"), ["sy", "sx"]).groupBy("iy", "ix")
-    sums = sums.agg(F.sum(F.col("w") * F.col("_v")).alias("_a"), F.sum(F.col("w") * F.col("_m")).alias("_c"))
+    v = S.missing(F.col(value).cast("double"))
+    known = pixels.select("iy", "ix", F.coalesce(v, F.lit(0.0)).alias("_v"), (F.coalesce(v, F.lit(0.0)) > 0).cast("double").alias("_m"))
+    reached = _scatter(known, weights, ny, nx).withColumn("_own", F.lit(None).cast("boolean"))
+    # The pixel itself says whether it is missing.
+    own = pixels.select("iy", "ix", F.lit(0.0).alias("_w"), F.lit(0.0).alias("_v"), F.lit(0.0).alias("_m"), v.isNotNull().alias("_own"))
+    sums = reached.unionByName(own).groupBy("iy", "ix").agg(F.sum(F.col("_w") * F.col("_v")).alias("_a"), F.sum(F.col("_w") * F.col("_m")).alias("_c"), F.max("_own").alias("_own"))
     a, c = (F.when(F.col(x) < F.lit(TINY), F.lit(0.0)).otherwise(F.col(x)) for x in ("_a", "_c"))
     spread = F.when(c > 0, a / c).otherwise(F.lit(0.0))
-    return sums.join(known.select("iy", "ix", "_gap"), ["iy", "ix"]).select("iy", "ix", F.when(~F.col("_gap"), spread).alias(value))
+    # Taps may reach places that are no pixels.
+    return sums.where("_own is not null").select("iy", "ix", F.when(F.col("_own"), spread).alias(value))
 
 
 def correlate_array(a: np.ndarray, kernel: np.ndarray) -> np.ndarray:
