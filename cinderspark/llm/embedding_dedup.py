@@ -10,7 +10,7 @@ threshold are left, pairs that cannot miss it are taken, and only the rest is co
 again in double precision.
 
 A task returns its vectors' link counts and a spanning forest of its links, never the links
-themselves: a dense group costs a row for each vector and tile pair, not one for each pair.
+themselves: a dense group costs a row for each vector and pair of tiles, not one for each pair.
 Components of the forests are found by ``shared.connected``. A vector is replicated once
 for each tile, packed in binary rows.
 
@@ -32,8 +32,11 @@ from pyspark.sql import functions as F
 from cinderspark.llm import shared
 
 THRESHOLD = 0.9
+#: Tiles have at least so many rows, and at most so many numbers; between, some four pairs of tiles a partition.
 TILE_ROWS = 4096
-BLOCK_ROWS = 512
+TILE_NUMBERS = 4_000_000
+#: Numbers in a block of products.
+BLOCK_NUMBERS = 2_000_000
 #: 1040 * 127 * 127 < 2 ** 24, the integers that float32 holds exactly.
 EXACT_DIMS = 1040
 SLACK = 2e-5
@@ -69,8 +72,9 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def links(a: Tile, b: Tile, same: bool, threshold: float = THRESHOLD):
     """Blocks (i, j) of positions in a and b of the pairs with cosine >= threshold; i < j if same."""
     worst = float(b.error.max(initial=0))
-    for start in range(0, len(a.ids), BLOCK_ROWS):
-        rows = slice(start, min(start + BLOCK_ROWS, len(a.ids)))
+    step = max(1, BLOCK_NUMBERS // max(1, len(b.ids)))
+    for start in range(0, len(a.ids), step):
+        rows = slice(start, min(start + step, len(a.ids)))
         near = products(a.wide[rows], b.wide)
         near *= b.scale.astype(np.float32)
         least = (threshold - SLACK - a.error[rows] - a.size[rows] * worst) / a.scale[rows]
@@ -126,15 +130,20 @@ def _pair(table: pa.Table) -> pa.Table:
     return pa.table({"vec_id": pa.array(ids[hit]), "n": pa.array(counts[hit]), "root": pa.array(ids[labels[hit]])}) if len(hit) else none
 
 
-def near_duplicates(vectors: DataFrame, tile_rows: int = TILE_ROWS) -> DataFrame:
+def near_duplicates(vectors: DataFrame, tile_rows: int | None = None) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row for each vec_id."""
+    spark = vectors.sparkSession
     kind = "<f8" if dict(vectors.dtypes)["embedding"] == "array<double>" else "<f4"
     element = "double" if kind == "<f8" else "float"
     base = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{element}>").alias("embedding"))
     base = shared.stored(base.groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "vectors")
     whole = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
     sound = base.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & whole & F.exists("embedding", lambda x: x != 0))
-    sizes = sound.groupBy(F.size("embedding").alias("dims")).agg(F.ceil(F.count(F.lit(1)) / tile_rows).alias("tiles"))
+    sizes = sound.groupBy(F.size("embedding").alias("dims")).agg(F.count(F.lit(1)).alias("n"))
+    # T tiles make T(T + 1) / 2 pairs and send each vector T times: no more of them than tasks need.
+    spread = F.greatest(F.lit(TILE_ROWS), F.col("n") / (2 * math.sqrt(2 * shared.parallelism(spark))))
+    rows = F.lit(tile_rows) if tile_rows else F.greatest(F.lit(1), F.least(spread, F.lit(TILE_NUMBERS) / F.col("dims")))
+    sizes = sizes.select("dims", F.ceil(F.col("n") / rows).alias("tiles"))
     dealt = sound.withColumn("dims", F.size("embedding")).join(F.broadcast(sizes), "dims")
     dealt = dealt.withColumn("tile", F.pmod(F.xxhash64("vec_id"), "tiles"))
 
