@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from cinderspark.llm import shared
 
 DIM = 4096
-SAMPLE_ROWS = 2400
+SAMPLE_ROWS = 1200
 UNKNOWN = "und"
 #: The pipeline's stage lets go what is ``und`` or scored below this.
 LEAST_SCORE = 0.25
@@ -53,8 +53,8 @@ def features(text: str | None) -> np.ndarray | None:
 
 def svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 30, seed: int = 7) -> np.ndarray:
     """Weights (the last one the bias) of a linear hinge-loss SVM by dual coordinate descent; y in {-1, 1}."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float64)
-    norms, alpha, w = np.einsum("ij,ij->i", x, x), np.zeros(len(x)), np.zeros(x.shape[1])
+    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
+    norms, alpha, w = np.einsum("ij,ij->i", x, x).astype(np.float64), np.zeros(len(x)), np.zeros(x.shape[1])
     order, random = np.arange(len(x)), np.random.default_rng(seed)
     for _ in range(rounds):
         random.shuffle(order)
