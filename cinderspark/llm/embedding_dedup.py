@@ -162,6 +162,7 @@ def near_duplicates(vectors: DataFrame, tile_rows: int | None = None) -> DataFra
     )
     found = meets.groupBy("dims", "a", "b").applyInArrow(_pair, "vec_id long, n long, root long")
     found = shared.stored(found, "vector-links")
+    shared.discard(tiles)
     counts = found.groupBy("vec_id").agg(F.sum("n").alias("n_links"))
     groups = shared.connected(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b")), "vector-groups")
     joined = base.select("vec_id").join(counts, "vec_id", "left").join(groups.withColumnRenamed("node", "vec_id"), "vec_id", "left")

@@ -456,6 +456,7 @@ def components(documents: DataFrame, rule: Rule) -> DataFrame:
     met = ties.join(head_of.toDF("a", "x"), "a").join(head_of.toDF("b", "y"), "b")
     met = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct()
     met = shared.stored(met, "jaccard-met")
+    shared.discard(digests)
     vectors = shared.stored(full.join(_ends(met), "doc_id", "left_semi"), "jaccard-vectors")
 
     pairs = met.join(vectors.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("n"), F.col("vector").alias("y")), "b")
@@ -465,12 +466,14 @@ def components(documents: DataFrame, rule: Rule) -> DataFrame:
     sets = _contents(documents, _ends(likely).join(ids, "doc_id"), rule, "jaccard-stars")
     pairs = likely.join(sets.toDF("b", "right"), "b").join(sets.toDF("a", "left"), "a")
     star = shared.stored(_verified(pairs, rule), "jaccard-linked")
+    shared.discard(sets, likely)
 
     linked = shared.connected(star, "jaccard-parts")
     families = shared.connected(met, "jaccard-families").withColumnRenamed("component", "family")
     state = families.join(linked, "node", "left").select("node", "family", F.coalesce("component", "node").alias("part"))
     state = state.join(vectors.withColumnRenamed("doc_id", "node"), "node")
     state = shared.stored(state, "jaccard-state")
+    shared.discard(met)
 
     def search(table: pa.Table) -> pa.Table:
         return pa.table({"node": pa.array(sorted(possible(*_chunks(table), rule)), pa.int64())})
@@ -488,6 +491,7 @@ def components(documents: DataFrame, rule: Rule) -> DataFrame:
     more = _cells(rest.drop("set_id"), 2).groupBy("family", "l", "r").applyInArrow(join, "a long, b long")
     more = shared.stored(more, "jaccard-tree")
     final = shared.connected(star.unionByName(more), "jaccard-final")
+    shared.discard(star, more, state, open_, sets, vectors)
     heads = heads.join(final, heads["head"] == final["node"], "left").select("set_id", F.coalesce("component", "head").alias("component_id"))
     return single.select("doc_id", "set_id", "n_shingles").join(heads, "set_id", "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")

@@ -97,6 +97,7 @@ def near_copies(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     theirs = text.select(F.col("lid").alias("earlier"), F.split("line", " ").alias("their_words"))
     ties = ties.join(mine, "lid").join(theirs, "earlier").where(_word_gap("own_words", "their_words"))
     ties = shared.stored(ties.select("lid", "earlier"), "line-ties")
+    shared.discard(shared_halves, kin, first, text, keys, meeting, close)
     return places, ties
 
 
@@ -140,6 +141,7 @@ def dropped_lines(documents: DataFrame) -> DataFrame:
     found = usual.unionByName(places.join(F.broadcast(hot), "lid"))
     found = found.where("near or doc <> head.doc or line_no <> head.line_no")
     found = shared.stored(found.select("doc", "line_no", F.coalesce("near", F.lit(False)).alias("near")), "line-found")
+    shared.discard(all_places, ties, judged)
     return found
 
 
@@ -157,6 +159,7 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
     gone = shared.stored(
         gone.select(F.col("doc.t").alias("_t"), F.col("doc.id").alias("_id"), "_gone", "_n_exact", "_n_near"), "line-gone"
     )
+    shared.discard(found)
     marked = documents.withColumn("_t", F.xxhash64("text"))
     joined = marked.join(gone, (marked["_t"] == gone["_t"]) & marked["doc_id"].eqNullSafe(F.col("_id")), "left")
     kept = F.when(

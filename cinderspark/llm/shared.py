@@ -108,6 +108,7 @@ def connected(edges: DataFrame, label: str) -> DataFrame:
         joined = large.join(least, "a")
         small = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
         last, current = current, stored(down(small), label)
+        discard(last)
         now = state(current)
         if now == seen:
             break
