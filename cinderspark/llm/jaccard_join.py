@@ -13,17 +13,17 @@ class; the join is among classes, and two link when
    of these in common. A set with fewer groups of ``FULL`` shingles than that hands on all
    of them and goes on to a further grouping by other hashes, as do the partners that it has not met;
    the last grouping hands on every group. Equal groups (by hash of their whole content) are the partitions of the join.
-2. *Stars.* In each partition the first set is paired with the others, and no others are:
-   pairs are linear in the rows. Those that the bound of step 3 lets pass are verified by
-   exact intersection.
-3. *R-tree.* Sets that met but are not yet all connected (families) are cut into chunks of
-   at most about ``CHUNK`` sets. For each pair of chunks an R-tree is packed over the vectors
-   of group counts (how many shingles of the set fall into each of ``COORDINATES`` groups);
-   ``sum of min(x, node's maximum)`` bounds the overlap with anything below a node, and
-   ``sum of min(x, y)`` that with a set. First the vectors alone are searched; the sets
-   of those with a possible partner that they are not connected to follow, and pairs are
-   verified exactly until they are connected. A family's largest connected part is never paired with itself, so a
-   hot family that the stars have connected costs nothing more.
+   In each partition one set is paired with the others, and no others are: pairs are linear
+   in the rows. Sets that such pairs connect are a family: all links are inside families.
+2. *R-tree.* In each family an R-tree is packed over the vectors of group counts (how many
+   shingles of a set fall into each of ``COORDINATES`` groups); ``sum of min(x, node's maximum)`` bounds the
+   overlap with anything below a node, and ``sum of min(x, y)`` that with a set. First the
+   vectors alone are searched; the contents of the sets with a possible partner follow, and
+   pairs that pass are verified exactly until the two are connected. Small families share a task.
+3. *Hot families.* One of more than ``CHUNK`` sets first has its own pairs of step 1
+   verified (those that the bound lets pass), which connects most of it, and is then cut into
+   chunks; the R-tree joins each pair of chunks. The largest connected part is never joined
+   with itself, so copies of one text, however many, cost no more than their pairs.
 4. Links become components with ``shared.connected``; copies join their class.
 
 Only pairs inside one component are ever left unverified, so no link between components
@@ -39,6 +39,7 @@ ignored. Whole texts are read.
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 from typing import NamedTuple
 
@@ -51,7 +52,9 @@ from pyspark.sql import functions as F
 from cinderspark.llm import shared, words
 
 COORDINATES = 256
+#: Sets of a chunk of a hot family, which has more; rows of a cell of small families.
 CHUNK = 512
+CELL_ROWS = 1024
 LEAF = 16
 #: Size classes are [RATIO^c, RATIO^(c+1)).
 RATIO = 1.25
@@ -398,35 +401,44 @@ def _contents(documents: DataFrame, members: DataFrame, rule: Rule, label: str)
     return shared.stored(sets.dropDuplicates(["doc_id"]).select("doc_id", "set"), f"{label}-sets")
 
 
-def _cells(state: DataFrame, least: int) -> DataFrame:
-    """Rows of families of ``least`` sets or more in more than one part, once for each pair of chunks they are in.
+def _cells(state: DataFrame, hot: DataFrame) -> DataFrame:
+    """Rows of families in more than one part, as the tasks need them: cell, l, r, side, and state's columns.
 
-    Columns: family, l, r, right, and those of ``state``.
+    Small families are dealt whole to cells of some thousand rows (side 0); the rows of a hot one go to
+    each pair of its chunks that they are in, on the left (1) or the right (2).
     """
     parts = state.groupBy("family", "part").agg(F.count(F.lit(1)).alias("n"))
     families = parts.groupBy("family").agg(F.sum("n").alias("n"), F.max(F.struct("n", "part")).alias("main"), F.count(F.lit(1)).alias("parts"))
-    families = families.where(f"n >= {least} and parts > 1").select(
-        "family", F.col("main.part").alias("main"), F.ceil((F.col("n") - F.col("main.n")) / CHUNK).cast("int").alias("lefts"), F.ceil(F.col("n") / CHUNK).cast("int").alias("rights")
+    families = families.where("parts > 1").join(hot.select("family", F.lit(True).alias("hot")), "family", "left").select(
+        "family", F.col("main.part").alias("main"), F.coalesce("hot", F.lit(False)).alias("hot"),
+        F.ceil((F.col("n") - F.col("main.n")) / CHUNK).cast("int").alias("lefts"), F.ceil(F.col("n") / CHUNK).cast("int").alias("rights"),
     )
     rows = state.join(families, "family")
-    dealt = F.xxhash64("node")
-    right = rows.withColumn("r", F.pmod(dealt, "rights").cast("int")).withColumn("l", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)))
-    left = rows.where("part <> main").withColumn("l", F.pmod(dealt, "lefts").cast("int")).withColumn("r", F.explode(F.sequence(F.lit(0), F.col("rights") - 1)))
-    return right.withColumn("right", F.lit(True)).unionByName(left.withColumn("right", F.lit(False))).drop("main", "lefts", "rights")
-
-
-def _chunks(table: pa.Table) -> tuple[Chunk, Chunk]:
-    out = []
-    for side in (False, True):
-        rows = sorted((r for r in table.to_pylist() if r["right"] == side), key=lambda r: r["node"])
-        out.append(
-            Chunk(
-                [r["node"] for r in rows], [r["part"] for r in rows], np.array([r["n_shingles"] for r in rows], np.int64),
-                np.array([_counts(r["vector"]) for r in rows]).reshape(len(rows), COORDINATES),
-                [_numbers(r["set"]) for r in rows] if "set" in table.column_names else None,
-            )
+    number = -(-state.count() // CELL_ROWS) or 1
+    zero = F.lit(0)
+    small = rows.where(~F.col("hot")).withColumns({"cell": F.pmod(F.xxhash64("family"), F.lit(number)), "l": zero, "r": zero, "side": zero})
+    hashed, large = F.xxhash64("node"), rows.where("hot").withColumn("cell", -1 - F.pmod(F.xxhash64("family"), F.lit(1 << 40)))
+    right = large.withColumn("r", F.pmod(hashed, "rights").cast("int")).withColumn("l", F.explode(F.sequence(zero, F.col("lefts") - 1))).withColumn("side", F.lit(2))
+    left = large.where("part <> main").withColumn("l", F.pmod(hashed, "lefts").cast("int")).withColumn("r", F.explode(F.sequence(zero, F.col("rights") - 1))).withColumn("side", F.lit(1))
+    return small.unionByName(right).unionByName(left).drop("main", "hot", "lefts", "rights")
+
+
+def _chunks(table: pa.Table):
+    """(left, right) of each family in a cell; a small family is both."""
+    def chunk(rows: list) -> Chunk:
+        return Chunk(
+            [r["node"] for r in rows], [r["part"] for r in rows], np.array([r["n_shingles"] for r in rows], np.int64),
+            np.array([_counts(r["vector"]) for r in rows]).reshape(len(rows), COORDINATES),
+            [_numbers(r["set"]) for r in rows] if "set" in table.column_names else None,
         )
-    return out[0], out[1]
+
+    rows = sorted(table.to_pylist(), key=lambda r: (r["family"], r["side"], r["node"]))
+    for _, family in itertools.groupby(rows, key=lambda r: r["family"]):
+        sides = {side: chunk(list(own)) for side, own in itertools.groupby(family, key=lambda r: r["side"])}
+        if 0 in sides:
+            yield sides[0], sides[0]
+        elif len(sides) == 2:
+            yield sides[1], sides[2]
 
 
 def components(documents: DataFrame, rule: Rule) -> DataFrame:
@@ -459,39 +471,41 @@ def components(documents: DataFrame, rule: Rule) -> DataFrame:
     shared.discard(digests)
     vectors = shared.stored(full.join(_ends(met), "doc_id", "left_semi"), "jaccard-vectors")
 
-    pairs = met.join(vectors.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("n"), F.col("vector").alias("y")), "b")
-    pairs = pairs.join(vectors.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("m"), F.col("vector").alias("x")), "a")
-    likely = shared.stored(_bounded(pairs, rule), "jaccard-likely")
     ids = vectors.select("doc_id", "set_id")
-    sets = _contents(documents, _ends(likely).join(ids, "doc_id"), rule, "jaccard-stars")
-    pairs = likely.join(sets.toDF("b", "right"), "b").join(sets.toDF("a", "left"), "a")
-    star = shared.stored(_verified(pairs, rule), "jaccard-linked")
-    shared.discard(sets, likely)
-
-    linked = shared.connected(star, "jaccard-parts")
     families = shared.connected(met, "jaccard-families").withColumnRenamed("component", "family")
+    hot = shared.stored(families.groupBy("family").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CHUNK), "jaccard-hot")
+    star = spark.createDataFrame([], "a long, b long")
+    if hot.count():
+        # At most one family in CHUNK sets is hot; a family's own pairs connect most of it.
+        own = families.join(hot.select("family"), "family", "left_semi").select(F.col("node").alias("a"))
+        pairs = met.join(own, "a", "left_semi")
+        pairs = pairs.join(vectors.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("n"), F.col("vector").alias("y")), "b")
+        pairs = pairs.join(vectors.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("m"), F.col("vector").alias("x")), "a")
+        likely = shared.stored(_bounded(pairs, rule), "jaccard-likely")
+        sets = _contents(documents, _ends(likely).join(ids, "doc_id"), rule, "jaccard-stars")
+        pairs = likely.join(sets.toDF("b", "right"), "b").join(sets.toDF("a", "left"), "a")
+        star = shared.stored(_verified(pairs, rule), "jaccard-linked")
+        shared.discard(sets, likely)
+    linked = shared.connected(star, "jaccard-parts")
     state = families.join(linked, "node", "left").select("node", "family", F.coalesce("component", "node").alias("part"))
-    state = state.join(vectors.withColumnRenamed("doc_id", "node"), "node")
-    state = shared.stored(state, "jaccard-state")
+    state = shared.stored(state.join(vectors.withColumnRenamed("doc_id", "node").drop("set_id"), "node"), "jaccard-state")
     shared.discard(met)
 
     def search(table: pa.Table) -> pa.Table:
-        return pa.table({"node": pa.array(sorted(possible(*_chunks(table), rule)), pa.int64())})
+        found = set().union(*(possible(left, right, rule) for left, right in _chunks(table)))
+        return pa.table({"node": pa.array(sorted(found), pa.int64())})
 
     def join(table: pa.Table) -> pa.Table:
-        found = tree_links(*_chunks(table), rule)
+        found = [link for left, right in _chunks(table) for link in tree_links(left, right, rule)]
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
-    # Two sets have met their only partner already.
-    cells = _cells(state.drop("set_id"), 3).groupBy("family", "l", "r")
-    open_ = shared.stored(cells.applyInArrow(search, "node long").distinct(), "jaccard-open")
+    open_ = shared.stored(_cells(state, hot).groupBy("cell", "l", "r").applyInArrow(search, "node long").distinct(), "jaccard-open")
     sets = _contents(documents, open_.join(ids.withColumnRenamed("doc_id", "node"), "node").select(F.col("node").alias("doc_id"), "set_id"), rule, "jaccard-open")
     # Cells are dealt again for what is left of the families, with the contents.
     rest = state.join(sets.withColumnRenamed("doc_id", "node"), "node")
-    more = _cells(rest.drop("set_id"), 2).groupBy("family", "l", "r").applyInArrow(join, "a long, b long")
-    more = shared.stored(more, "jaccard-tree")
+    more = shared.stored(_cells(rest, hot).groupBy("cell", "l", "r").applyInArrow(join, "a long, b long"), "jaccard-tree")
     final = shared.connected(star.unionByName(more), "jaccard-final")
-    shared.discard(star, more, state, open_, sets, vectors)
+    shared.discard(more, state, open_, sets, vectors, hot)
     heads = heads.join(final, heads["head"] == final["node"], "left").select("set_id", F.coalesce("component", "head").alias("component_id"))
     return single.select("doc_id", "set_id", "n_shingles").join(heads, "set_id", "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")
