@@ -37,7 +37,7 @@ SHINGLE = 5
 CONTAINMENT = 0.8
 #: Bounds of one broadcast block of items.
 BLOCK_ITEMS = 50_000
-BLOCK_CHARS = 32_000_000
+BLOCK_CHARS = 4_000_000
 
 
 class Index:
