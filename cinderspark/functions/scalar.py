@@ -13,6 +13,15 @@ DIRECTIONS = ("N", "NE", "E", "SE", "S", "SW", "W", "NW")
 SCORE_EDGES = (0.01, 0.02, 0.035, 0.06, 0.1, 0.2, 0.5, 1.0, 3.0, 100.0)
 MERCATOR_RADIUS_M = 6_378_137.0
 METERS_PER_DEGREE = 111_000.0
+# Moisture content of fuel: coefficients of (1, h, h t) below 10 percent humidity, of (1, h, t) to 50, of (1, h h, h t, h) above;
+# the damping polynomial of a thirtieth of it.
+MOISTURE_DRY = (0.03229, 0.281073, -0.000578)
+MOISTURE_MIDDLE = (2.22749, 0.160107, -0.01478)
+MOISTURE_MOIST = (21.0606, 0.005565, -0.00035, -0.483199)
+DAMPING = (1.0, -2.0, 1.5, -0.5)
+RED_FLAG_HUMIDITY, RED_FLAG_GUST_FACTOR, RED_FLAG_WIND = 15, 1.4, 35
+# Saturation vapour pressure over water (Sonntag 1990): of 1/T, 1, T, T T and log T.
+SATURATION = (-6096.9385, 16.635794, -2.711193e-2, 1.673952e-5, 2.433502)
 
 
 def col(c: Column | str) -> Column:
@@ -49,22 +58,26 @@ def wind_label(code) -> Column:
 def equilibrium_moisture(rh, temperature_f) -> Column:
     """Fosberg's equilibrium moisture content; null outside 0 to 100 percent."""
     h, t = col(rh), col(temperature_f)
-    dry = F.lit(0.03229) + F.lit(0.281073) * h - F.lit(0.000578) * h * t
-    middle = F.lit(2.22749) + F.lit(0.160107) * h - F.lit(0.01478) * t
-    moist = F.lit(21.0606) + F.lit(0.005565) * h * h - F.lit(0.00035) * h * t - F.lit(0.483199) * h
+    a, b, c = map(F.lit, MOISTURE_DRY)
+    dry = a + b * h + c * h * t
+    a, b, c = map(F.lit, MOISTURE_MIDDLE)
+    middle = a + b * h + c * t
+    a, b, c, d = map(F.lit, MOISTURE_MOIST)
+    moist = a + b * h * h + c * h * t + d * h
     return F.when(h < 10, dry).when((h >= 10) & (h <= 50), middle).when((h > 50) & (h <= 100), moist)
 
 
 def fosberg_index(rh, temperature_f, wind) -> Column:
     """Fire-weather index of relative humidity (percent), temperature (F) and wind (m/s)."""
     m = equilibrium_moisture(rh, temperature_f) / F.lit(30.0)
-    damping = F.lit(1.0) - F.lit(2.0) * m + F.lit(1.5) * m * m - F.lit(0.5) * m * m * m
+    a, b, c, d = map(F.lit, DAMPING)
+    damping = a + b * m + c * m * m + d * m * m * m
     return damping * F.sqrt(F.lit(1.0) + col(wind) * col(wind))
 
 
 def red_flag(rh, wind) -> Column:
     """Dry and windy by the older rule: humidity below 15 percent and gusts (1.4 times wind) above 35."""
-    return (col(rh) < 15) & (F.lit(1.4) * col(wind) > 35)
+    return (col(rh) < RED_FLAG_HUMIDITY) & (F.lit(RED_FLAG_GUST_FACTOR) * col(wind) > RED_FLAG_WIND)
 
 
 def kelvin_to_fahrenheit(k) -> Column:
@@ -74,9 +87,8 @@ def kelvin_to_fahrenheit(k) -> Column:
 def saturation_pressure(kelvin) -> Column:
     """Saturation vapour pressure over water in Pa (Sonntag 1990)."""
     t = col(kelvin)
-    return F.lit(100.0) * F.exp(
-        F.lit(-6096.9385) / t + F.lit(16.635794) + F.lit(-2.711193e-2) * t + F.lit(1.673952e-5) * t * t + F.lit(2.433502) * F.log(t)
-    )
+    a, b, c, d, e = map(F.lit, SATURATION)
+    return F.lit(100.0) * F.exp(a / t + b + c * t + d * t * t + e * F.log(t))
 
 
 def relative_humidity(kelvin, dew_point_kelvin) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from cinderspark.functions import scalar as S
 from cinderspark.operators import kernels
 
-#: Values below it are rounding of the transform, not fire.
+#: Fixed value: what is below it is rounding of the transform, not fire.
 TINY = 10e-12
 
 
