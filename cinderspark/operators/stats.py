@@ -13,9 +13,21 @@ from cinderspark.functions import scalar as S
 from cinderspark.operators.quantiles import exact_quantiles
 
 
+#: Inversions are counted directly in blocks of this many values, and by merging beyond.
+BLOCK = 64
+
+
 def _inversions(y: np.ndarray) -> int:
-    """Pairs i < j with y[i] > y[j], by bottom-up merging with vector searches."""
-    y, n, width, total = y.copy(), len(y), 1, 0
+    """Pairs i < j with y[i] > y[j]: whole blocks compared at once, then bottom-up merging with vector searches."""
+    n, total = len(y), 0
+    blocks = np.full(-(-n // BLOCK) * BLOCK, np.inf)
+    blocks[:n] = y
+    blocks = blocks.reshape(-1, BLOCK)
+    before = np.triu(np.ones((BLOCK, BLOCK), bool), 1)
+    for start in range(0, len(blocks), 1024):
+        part = blocks[start : start + 1024]
+        total += int(((part[:, :, None] > part[:, None, :]) & before).sum())
+    y, width = np.sort(blocks, axis=1).ravel()[:n], BLOCK
     while width < n:
         for start in range(0, n - width, 2 * width):
             left, right = y[start : start + width], y[start + width : start + 2 * width]

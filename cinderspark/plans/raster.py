@@ -67,7 +67,8 @@ def spread(iterations: int):
         ny, nx = T.shape(p)
         for _ in range(iterations):
             p = raster.masked_mean_step(p, "v", TAPS, ny, nx)
-        return p.select("iy", "ix", _round("v"))
+        # Twelve digits: quotients of short decimals end in a five at the tenth now and then.
+        return p.select("iy", "ix", _round("v", 12))
 
     return run
 
@@ -78,7 +79,7 @@ def spread_sql(iterations: int) -> str:
         out += f""", c{n} AS (SELECT k.iy, k.ix, sum(k.w * s.v) AS a, sum(k.w * CASE WHEN s.v > 0 THEN 1 ELSE 0 END) AS c FROM k JOIN {last} s ON s.iy = sy AND s.ix = sx GROUP BY ALL),
 s{n} AS (SELECT iy, ix, CASE WHEN c >= 10e-12 THEN CASE WHEN a < 10e-12 THEN 0 ELSE a END / c ELSE 0 END AS v FROM c{n})"""
         last = f"s{n}"
-    return f"{out} SELECT iy, ix, round(v, 9) AS v FROM {last}"
+    return f"{out} SELECT iy, ix, round(v, 12) AS v FROM {last}"
 
 
 def composite(spark, d):

@@ -155,6 +155,12 @@ def test_tau_c(seed):
     assert np.isnan(stats.tau_c(np.ones(5), y[:5])[0])
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 63, 64, 65, 200, 1000])
+def test_inversions(n):
+    y = np.random.default_rng(n).integers(0, 20, n).astype(float)
+    assert stats._inversions(y) == sum(int((y[:j] > y[j]).sum()) for j in range(n))
+
+
 def test_negative_probability(spark):
     good = regional.validate_probabilities(spark.createDataFrame([([0.5, 0.5],), ([0.5, 0.2],)], "p array<double>"), "p")
     assert sorted(r["sums_to_one"] for r in good.collect()) == [False, True]
