@@ -8,12 +8,14 @@ and one for all unknown ones. ``p_u(w) = (c_uw - d t_uw + (theta + d T_u) p_pare
 
 Seatings of one dish touch, beyond its own customers and tables in all restaurants, only the
 restaurants' totals. So dishes are dealt into buckets by hash, and each bucket samples its
-dishes in every restaurant against the totals, which one earlier pass over the buckets
-has summed: no restaurant and no vocabulary is ever gathered anywhere, and a hot word is
+dishes in every restaurant against the totals, which earlier passes over the buckets
+have summed (tokens and types, then the first seatings); while it samples, the other buckets'
+totals are taken to move in proportion to its own: no restaurant and no vocabulary is ever gathered anywhere, and a hot word is
 one dish. Customers are first seated one by one (frequent dishes in runs of a sixteenth
-of those seated, with probabilities held for the run); then each Gibbs sweep takes
-a customer of every dish in every restaurant from its table and seats it again, closing and
-opening tables up the hierarchy. Predictions are averaged over ``SAMPLES`` sweeps after
+of those seated, with probabilities held for the run); then each Gibbs sweep takes every
+customer of every dish in every restaurant from its table once and seats it again, closing and
+opening tables up the hierarchy: one by one up to ``TURNS`` customers, else in ``TURNS`` equal runs
+whose probabilities are held, at a cost that grows with tables, not customers. Predictions are averaged over ``SAMPLES`` sweeps after
 ``BURN_IN``. Discounts come from the counts of dishes seen once and twice at their level.
 
 Texts are read once, in blocks of about ``BLOCK_CHARS`` characters. A block hands each bucket its words
@@ -47,6 +49,8 @@ from cinderspark.llm import shared, words
 MIDDLES, FAN = 8, 8
 LEAVES = MIDDLES * FAN
 BURN_IN, SAMPLES = 3, 4
+#: A sweep moves the customers of a dish in so many runs.
+TURNS = 16
 THETA = 1.0
 FIRST_DISCOUNTS = (0.7, 0.7, 0.7)
 BLOCK_CHARS = 16_000_000
@@ -73,15 +77,20 @@ class Level:
         self.c = np.zeros(len(restaurant), np.int64)
         self.t = np.zeros(len(restaurant), np.int64)
         self.other_c, self.other_t = np.zeros(restaurants), np.zeros(restaurants)
+        # One's own when the others' were summed.
+        self.met_c, self.met_t = np.zeros(restaurants), np.zeros(restaurants)
         self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        # Customers of each table that the running sweep has not moved yet.
+        self.due = np.zeros(0, np.int64)
         self.discount = 0.7
 
     def totals(self) -> tuple[np.ndarray, np.ndarray]:
-        """Customers and tables of each restaurant, over all buckets."""
+        """Customers and tables of each restaurant, over all buckets; the others' have moved in proportion to one's own."""
         n = len(self.other_c)
+        c, t = np.bincount(self.restaurant, self.c, n), np.bincount(self.restaurant, self.t, n)
         return (
-            self.other_c + np.bincount(self.restaurant, self.c, n),
-            self.other_t + np.bincount(self.restaurant, self.t, n),
+            c + self.other_c * np.where(self.met_c > 0, c / np.maximum(self.met_c, 1), 1),
+            t + self.other_t * np.where(self.met_t > 0, t / np.maximum(self.met_t, 1), 1),
         )
 
     def predict(self, base: np.ndarray, own: np.ndarray | slice = slice(None)) -> np.ndarray:
@@ -127,12 +136,77 @@ class Level:
         before = np.r_[0, upto[:-1]]
         before[(ends - self.t)[filled]] = 0
         self.size = 1 + (upto - before).astype(np.int64)
+        self.due = np.zeros_like(self.size)
 
     def _order(self) -> None:
-        keep = self.size > 0
-        at, size = self.at[keep], self.size[keep]
-        order = np.argsort(at, kind="stable")
-        self.at, self.size = at[order], size[order]
+        keep = np.flatnonzero(self.size > 0)
+        order = keep[np.argsort(self.at[keep], kind="stable")]
+        self.at, self.size, self.due = self.at[order], self.size[order], self.due[order]
+
+    def _open(self, own: np.ndarray) -> None:
+        """A table with one customer for each entry of ``own``."""
+        none = np.zeros(len(own), np.int64)
+        self.at, self.size, self.due = np.r_[self.at, own], np.r_[self.size, none + 1], np.r_[self.due, none]
+
+    def summon(self) -> None:
+        """Every customer is due, but a dish's only one, which can only open the same table again."""
+        self.due = np.where(self.c[self.at] > 1, self.size, 0)
+
+    def aside(self) -> tuple:
+        """Puts the tables of dishes without due customers aside; returns them."""
+        waits = np.bincount(self.at, self.due, len(self.c)) > 0
+        keep = waits[self.at]
+        own = (self.at, self.size, self.due)
+        self.at, self.size, self.due = (x[keep] for x in own)
+        return tuple(x[~keep] for x in own)
+
+    def join(self, parts: list[tuple]) -> None:
+        self.at, self.size, self.due = (np.concatenate(x) for x in zip((self.at, self.size, self.due), *parts, strict=True))
+        self._order()
+
+    def _deal(self, low: np.ndarray, high: np.ndarray, n: np.ndarray, share) -> np.ndarray:
+        """``n`` customers by table of the ranges low to high: halves share them, down to single tables."""
+        out = np.zeros(len(self.at), np.int64)
+        while len(low):
+            single = high - low == 1
+            out[low[single]] = n[single]
+            low, high, n = (x[~single & (n > 0)] for x in (low, high, n))
+            middle = (low + high) // 2
+            part = share(low, middle, high, n)
+            low, high, n = np.r_[low, middle], np.r_[middle, high], np.r_[part, n - part]
+        return out
+
+    def leave(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Removes a run of each dish's due customers, drawn at random: dishes, customers, and dishes whose table closed.
+
+        The draw must not depend on who sits where, or sweeps would favour some tables.
+        """
+        own, low = np.unique(self.at, return_index=True)
+        high = np.r_[low[1:], len(self.at)]
+        upto = np.r_[0, np.cumsum(self.due)]
+        run = np.minimum(-(-self.c[own] // TURNS), upto[high] - upto[low])
+        gone = self._deal(low, high, run, lambda a, m, b, n: self.random.hypergeometric(upto[m] - upto[a], upto[b] - upto[m], n))
+        self.size -= gone
+        self.due -= gone
+        self.c[own] -= run
+        closed = self.at[(gone > 0) & (self.size == 0)]
+        np.subtract.at(self.t, closed, 1)
+        return own, run, closed
+
+    def enter(self, own: np.ndarray, run: np.ndarray, base: np.ndarray) -> np.ndarray:
+        """Seats ``run`` customers at each of the distinct, not empty dishes ``own``; dishes that got new tables."""
+        new = self.random.binomial(run, np.clip(self.fresh(own, base), 0, 1))
+        # Tables closed in this turn weigh nothing.
+        upto = np.r_[0.0, np.cumsum(np.where(self.size > 0, self.size - self.discount, 0))]
+        low, high = np.searchsorted(self.at, own), np.searchsorted(self.at, own, side="right")
+        weight = lambda a, m, b, n: self.random.binomial(n, np.clip((upto[m] - upto[a]) / (upto[b] - upto[a]), 0, 1))
+        self.size += self._deal(low, high, run - new, weight)
+        self.c[own] += run
+        self.t[own] += new
+        opened = np.repeat(own, new)
+        self._open(opened)
+        self._order()
+        return opened
 
     def take(self, own: np.ndarray) -> np.ndarray:
         """Removes a random customer for each entry of ``own`` (dishes may repeat); dishes whose table closed."""
@@ -177,7 +251,7 @@ class Level:
             np.add.at(self.c, mine, 1)
             np.add.at(self.t, mine[new], 1)
             opened.append(mine[new])
-            self.at, self.size = np.r_[self.at, mine[new]], np.r_[self.size, np.ones(int(new.sum()), np.int64)]
+            self._open(mine[new])
             self._order()
             own, base = own[~now], base[~now]
         return np.concatenate(opened) if opened else np.zeros(0, np.int64)
@@ -186,7 +260,7 @@ class Level:
 class Seating:
     """The dishes of a bucket in all restaurants, from (dish, leaf) entries with training counts."""
 
-    def __init__(self, dish: np.ndarray, leaf: np.ndarray, counts: np.ndarray, buckets: int, types: float, seed: int):
+    def __init__(self, dish: np.ndarray, leaf: np.ndarray, counts: np.ndarray, buckets: int, types: float, seed: int, tokens: float | None = None):
         random = np.random.default_rng([SEED, seed])
         middle, to_middle = np.unique(dish * MIDDLES + leaf // FAN, return_inverse=True)
         to_root = middle // MIDDLES
@@ -194,7 +268,7 @@ class Seating:
         self.levels = [Level(leaf, to_middle, LEAVES, random), Level(middle % MIDDLES, to_root, MIDDLES, random), root]
         self.types, self.counts = types, counts
         of_dish = np.bincount(dish, counts, len(root.c))
-        guess = (of_dish + 0.5) / max(1.0, of_dish.sum() * buckets)
+        guess = (of_dish + 0.5) / max(1.0, of_dish.sum() * buckets if tokens is None else tokens)
         for k, level in enumerate(self.levels):
             level.discount = FIRST_DISCOUNTS[k]
             below = counts if k == 0 else np.bincount(self.levels[k - 1].up, self.levels[k - 1].t, len(level.c)).astype(np.int64)
@@ -216,6 +290,7 @@ class Seating:
             n = len(level.other_c)
             level.other_c = np.array(whole[at : at + n]) - own[at : at + n]
             level.other_t = np.array(whole[at + n : at + 2 * n]) - own[at + n : at + 2 * n]
+            level.met_c, level.met_t = np.array(own[at : at + n]), np.array(own[at + n : at + 2 * n])
             once, twice = whole[at + 2 * n : at + 2 * n + 2]
             level.discount = float(np.clip(once / max(1.0, once + 2 * twice), 0.05, 0.95))
             at += 2 * n + 2
@@ -236,24 +311,24 @@ class Seating:
         return self.levels[k + 1].predict(self._base(k + 1, up), up)
 
     def sweep(self) -> None:
-        """A customer of every dish with more than one, in every restaurant, is seated anew."""
+        """Every customer of every dish with more than one, in every restaurant, is seated anew."""
         for k, level in enumerate(self.levels):
-            # A dish's only customer can only open the same table again.
-            own = np.flatnonzero(level.c > 1)
-            if not len(own):
-                continue
-            gone = own
-            for j in range(k, len(self.levels)):
-                gone = self.levels[j].take(gone)
-                if not len(gone) or self.levels[j].up is None:
-                    break
-                gone = self.levels[j].up[gone]
-            come = own
-            for j in range(k, len(self.levels)):
-                come = self.levels[j].seat(come, self._base(j, come))
-                if not len(come) or self.levels[j].up is None:
-                    break
-                come = self.levels[j].up[come]
+            level.summon()
+            aside = [level.aside()]
+            while len(level.at):
+                own, run, gone = level.leave()
+                for j in range(k + 1, len(self.levels)):
+                    if not len(gone):
+                        break
+                    gone = self.levels[j].take(self.levels[j - 1].up[gone])
+                come = level.enter(own, run, self._base(k, own))
+                for j in range(k + 1, len(self.levels)):
+                    if not len(come):
+                        break
+                    come = self.levels[j - 1].up[come]
+                    come = self.levels[j].seat(come, self._base(j, come))
+                aside.append(level.aside())
+            level.join(aside)
 
     def averaged(self, burn_in: int = BURN_IN, samples: int = SAMPLES) -> np.ndarray:
         """Predictive probability of each (dish, leaf) entry, averaged over sampled seatings."""
@@ -361,13 +436,22 @@ def _merged(table: pa.Table):
 class _Bucket:
     """A bucket's rows merged: distinct (dish, leaf) entries, and where each row's entries are."""
 
-    def __init__(self, table: pa.Table, buckets: int, types: float):
+    def __init__(self, table: pa.Table):
         self.rows, known, self.of, self.fan, leaf, counts = _merged(table)
         entries, self.entry = np.unique(np.repeat(self.of, self.fan) * LEAVES + leaf, return_inverse=True)
-        self.dish = entries // LEAVES
-        summed = np.bincount(self.entry, counts, len(entries)).astype(np.int64)
-        self.of_dish = np.bincount(self.dish, summed, len(known)).astype(np.int64)
-        self.seating = Seating(self.dish, entries % LEAVES, summed, buckets, types, int(self.rows[0]["bucket"]))
+        self.dish, self.leaf = entries // LEAVES, entries % LEAVES
+        self.counts = np.bincount(self.entry, counts, len(entries)).astype(np.int64)
+        self.of_dish = np.bincount(self.dish, self.counts, len(known)).astype(np.int64)
+
+    def seating(self, buckets: int, tokens: int, types: int) -> Seating:
+        """First seatings; the same whenever they are asked for."""
+        return Seating(self.dish, self.leaf, self.counts, buckets, types, int(self.rows[0]["bucket"]), tokens)
+
+
+def _summed(rows: DataFrame) -> list[float]:
+    """Elementwise sums of the column ``sums``."""
+    whole = rows.where("sums is not null").select(F.posexplode("sums").alias("k", "x")).groupBy("k").agg(F.sum("x").alias("x")).orderBy("k").collect()
+    return [r["x"] for r in whole]
 
 
 def score(documents: DataFrame, train) -> DataFrame:
@@ -378,10 +462,10 @@ def score(documents: DataFrame, train) -> DataFrame:
     kind = dict(documents.dtypes)["doc_id"]
     blocks = _blocks(documents.select("doc_id", documents["text"].cast("string"), F.coalesce(train, F.lit(True))), folder, buckets)
 
-    # Round 1: first seatings, kept with the bucket's rows; types are estimated from the bucket's own.
+    # Round 1: the training tokens and types; a bucket's rows come together.
     def first(table: pa.Table) -> pa.Table:
-        bucket = _Bucket(table, buckets, max(1, buckets * 1000))
-        sums = [float(bucket.of_dish.sum()), float((bucket.of_dish > 0).sum()), *bucket.seating.statistics()]
+        bucket = _Bucket(table)
+        sums = [float(bucket.of_dish.sum()), float((bucket.of_dish > 0).sum())]
         rows = bucket.rows
         none = [None] * (len(rows) - 1)
         return pa.table(
@@ -392,17 +476,20 @@ def score(documents: DataFrame, train) -> DataFrame:
         )
 
     held = shared.stored(blocks.groupBy("bucket").applyInArrow(first, "block long, bucket int, dishes binary, fan binary, leaves binary, counts binary, sums array<double>"), "model-buckets")
-    # Some 150 sums, whatever the corpus.
-    whole = held.where("sums is not null").select(F.posexplode("sums").alias("k", "x")).groupBy("k").agg(F.sum("x").alias("x")).orderBy("k").collect()
-    sums = [r["x"] for r in whole] or [0.0] * (2 + 2 * (LEAVES + MIDDLES + 1) + 6)
-    totals = Totals(int(sums[0]), int(sums[1]), sums[2:])
+    tokens, types = map(int, _summed(held) or (0, 0))
 
-    # Round 2: the same first seatings meet the totals of all buckets, and are sampled.
+    # Round 2: first seatings' statistics, some 150 sums whatever the corpus.
     def second(table: pa.Table) -> pa.Table:
-        bucket = _Bucket(table, buckets, max(1, buckets * 1000))
-        seating = bucket.seating
+        return pa.table({"sums": pa.array([_Bucket(table).seating(buckets, tokens, types).statistics()], pa.list_(pa.float64()))})
+
+    seated = held.drop("sums").groupBy("bucket").applyInArrow(second, "sums array<double>")
+    totals = Totals(tokens, types, _summed(seated) or [0.0] * (2 * (LEAVES + MIDDLES + 1) + 6))
+
+    # Round 3: the same first seatings meet the totals of all buckets, and are sampled.
+    def third(table: pa.Table) -> pa.Table:
+        bucket = _Bucket(table)
+        seating = bucket.seating(buckets, totals.tokens, totals.types)
         seating.meet(totals.statistics)
-        seating.types = totals.types
         logs = np.log10(seating.averaged()).astype("<f4")[bucket.entry]
         counts = bucket.of_dish[bucket.of]
         words_at = np.cumsum([0, *(len(r["fan"]) for r in bucket.rows)])
@@ -417,7 +504,7 @@ def score(documents: DataFrame, train) -> DataFrame:
             }
         )
 
-    answers = held.drop("sums").groupBy("bucket").applyInArrow(second, "block long, bucket int, fan binary, counts binary, logs binary")
+    answers = held.drop("sums").groupBy("bucket").applyInArrow(third, "block long, bucket int, fan binary, counts binary, logs binary")
 
     def texts(table: pa.Table) -> pa.Table:
         rows = sorted(table.to_pylist(), key=lambda r: r["bucket"])

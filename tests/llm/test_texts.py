@@ -139,6 +139,27 @@ def test_gibbs_agrees_with_exact_posterior():
     assert one / n == pytest.approx(joint(1, 1, 1) / total, abs=0.03)
 
 
+def test_sweep_reseats_every_customer(monkeypatch):
+    """Each customer of a dish with more than one leaves its table once a sweep, however many there are."""
+    dish, leaf = np.array([0, 0, 1, 2]), np.array([0, 9, 0, 5])
+    counts = np.array([20_000, 37, 2, 1])
+    s = pitman_yor.Seating(dish, leaf, counts, 1, 3, 4)
+    s.meet(s.statistics())
+    left = np.zeros(4, np.int64)
+    leave = s.levels[0].leave
+
+    def watched():
+        own, run, closed = leave()
+        left[own] += run
+        return own, run, closed
+
+    monkeypatch.setattr(s.levels[0], "leave", watched)
+    s.sweep()
+    assert left.tolist() == [20_000, 37, 2, 0] and s.levels[0].c.tolist() == counts.tolist()
+    for level in s.levels:
+        seated(level)
+
+
 # ---------------------------------------------------------------------- op 4
 
 ARTICLE = "<h1>The &amp; title</h1><p>First paragraph with some words in it,  and\nmore.</p><p>Second <b>paragraph<br>goes</b> on for a while with text.</p><p>Ok.</p>"
