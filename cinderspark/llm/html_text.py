@@ -5,10 +5,12 @@ with its plain length, the part of it inside links and the elements around it. L
 scripts, styles, forms, menus, headers, footers, sidebars, and of elements whose class, id
 or role names an advert, notice, comment section or the like, weigh nothing. Over windows
 of ``WINDOW`` lines the remaining lengths are summed; the text surges where a window first
-reaches the threshold (a share of the best window) and dives where it falls below. The
-run with most text is the article's core. Its ends then move outward to the innermost
-element that holds the core and says it is the article (or, without one, over adjoining
-paragraphs and headings), so that short paragraphs and headings at its ends are kept.
+reaches the threshold (a share of the best window, ``ENOUGH`` characters at most) and dives
+where it falls below. The run with most text is the article's core. Its ends then move outward
+to the innermost element that holds the core and says it is the article. Without one, all runs
+in the innermost element around the core join it (where that is the whole page, those of lines
+directly in it), noise between them left out, and so do adjoining paragraphs and headings, so
+that short ones at its ends are kept. Paragraphs inside that are mostly links stay.
 
 Defined cases: null html is empty and gives empty text and 0; a page without text likewise;
 unclosed or stray tags, comments and declarations are passed over; character references
@@ -19,6 +21,7 @@ rows; other columns are ignored. Every page is handled on its own, whole, with n
 from __future__ import annotations
 
 import html as references
+import itertools
 import re
 
 import pyarrow as pa
@@ -29,6 +32,8 @@ from cinderspark.llm import shared
 WINDOW = 3
 #: A window counts as text if it holds this share of the fullest window.
 SHARE = 0.15
+#: Or, on pages with long paragraphs, this many characters.
+ENOUGH = 150
 #: A line that is mostly links is a menu.
 LINK_SHARE = 0.6
 
@@ -180,29 +185,32 @@ def any_block(inner: _Element, outer: _Element) -> bool:
     return False
 
 
-def core(weights: list[int]) -> tuple[int, int] | None:
-    """The run of lines between the surge and the dive that holds most text."""
+def runs(weights: list[int]) -> list[tuple[int, int]]:
+    """The runs of lines between a surge and the dive after it."""
     if not any(weights):
-        return None
+        return []
     n = len(weights)
     sums = [sum(weights[i : i + WINDOW]) for i in range(n)]
-    least = max(1, SHARE * max(sums))
-    best, best_sum, start = None, -1, None
+    least = max(1, min(ENOUGH, SHARE * max(sums)))
+    found, start = [], None
     for i in range(n + 1):
         if i < n and sums[i] >= least:
             start = i if start is None else start
         elif start is not None:
             # The last windows reach beyond their first line.
             stop = min(n, i + WINDOW - 1)
-            if (total := sum(weights[start:stop])) > best_sum:
-                best, best_sum = (start, stop), total
+            while weights[start] == 0:
+                start += 1
+            while weights[stop - 1] == 0:
+                stop -= 1
+            found.append((start, stop))
             start = None
-    start, stop = best
-    while weights[start] == 0:
-        start += 1
-    while weights[stop - 1] == 0:
-        stop -= 1
-    return start, stop
+    return found
+
+
+def core(weights: list[int]) -> tuple[int, int] | None:
+    """The run that holds most text, the first of equal ones."""
+    return max(runs(weights), key=lambda run: sum(weights[run[0] : run[1]]), default=None)
 
 
 def _block(element: _Element) -> str:
@@ -211,6 +219,13 @@ def _block(element: _Element) -> str:
     return element.name
 
 
+def _holder(element: _Element) -> _Element:
+    """The element around the paragraph that a line is in."""
+    while element.parent is not None and (element.name in INLINE or element.name in PROSE):
+        element = element.parent
+    return element
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
@@ -232,10 +247,14 @@ def main_text(page: str | None) -> str:
         element = element.parent
     if holder is not None:
         return " ".join(line[0] for line in found[holder.first : holder.last] if not line[2])
-    # Else over the paragraphs and headings next to the core, as far as one element holds them all.
+    # Else all runs in the element around the core, noise passed over, and the paragraphs and headings next to them.
     element = found[heaviest][3]
     while element.parent is not None and not (element.first <= start and element.last >= stop and element.name not in INLINE and element.name != "p"):
         element = element.parent
+    whole = element.name in ("", "html", "body")
+    inside = [i for i in range(element.first, element.last) if not found[i][2] and (not whole or start <= i < stop or _holder(found[i][3]) is element)]
+    for first, last in runs([found[i][1] for i in inside]):
+        start, stop = min(start, inside[first]), max(stop, inside[last - 1] + 1)
     plain = lambda i: found[i][1] and _block(found[i][3]) in PROSE
     # Where the core is paragraphs for the most part, lines of another kind at its ends are not of it.
     if 2 * sum(found[i][1] for i in range(start, stop) if plain(i)) >= sum(found[i][1] for i in range(start, stop)):
@@ -243,11 +262,13 @@ def main_text(page: str | None) -> str:
             start += 1
         while not plain(stop - 1):
             stop -= 1
-    while start > element.first and plain(start - 1):
-        start -= 1
-    while stop < element.last and plain(stop):
-        stop += 1
-    return " ".join(line[0] for line in found[start:stop] if line[1])
+    before = [i for i in reversed(range(element.first, start)) if whole or not found[i][2]]
+    after = [i for i in range(stop, element.last) if whole or not found[i][2]]
+    for i in itertools.takewhile(plain, before):
+        start = i
+    for i in itertools.takewhile(plain, after):
+        stop = i + 1
+    return " ".join(line[0] for line in found[start:stop] if line[1] or not line[2] and _block(line[3]) in PROSE)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -185,6 +185,20 @@ def test_extraction(body):
     assert html_text.main_text(FRAME.format(body.format(ARTICLE))) == WANT
 
 
+def test_extraction_keeps_all_runs():
+    """Without an article element: noise inside, one long paragraph among short lines, a paragraph of links."""
+    lines = [f"Line {i} of the article " + "x" * 80 for i in range(10)]
+    prose = ["".join(f"<p>{x}</p>" for x in half) for half in (lines[:5], lines[5:])]
+    noise = "".join(f"<div class='ad'>Buy this {i}</div>" for i in range(3))
+    for frame in ("<div>{}</div>", "{}", "<div><div>{}</div></div><footer>Imprint</footer>"):
+        assert html_text.main_text(FRAME.format(frame.format(noise.join(prose)))) == " ".join(lines)
+    short = ["a" * 10_000, *(f"{i:03}" + "b" * 197 for i in range(40))]
+    for tag in ("<br>", "</div><div>"):
+        assert html_text.main_text(FRAME.format(f"<div><div>{tag.join(short)}</div></div>")) == " ".join(short)
+    linked = f"<div><p>{lines[0]}</p><p><a href=x>A paragraph that is a link</a></p><p>{lines[1]}</p></div>"
+    assert html_text.main_text(FRAME.format(linked)) == f"{lines[0]} A paragraph that is a link {lines[1]}"
+
+
 def test_extraction_of_odd_pages(spark):
     for page in (None, "", "   ", "<html></html>", "<!-- only -->", "<script>x</script>", "<p", "<<>><", "</p></div>"):
         html_text.main_text(page)
