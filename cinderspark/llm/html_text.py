@@ -13,9 +13,10 @@ directly in it), noise between them left out, and so do adjoining paragraphs and
 that short ones at its ends are kept. Paragraphs inside that are mostly links stay.
 
 Defined cases: null html is empty and gives empty text and 0; a page without text likewise;
-unclosed or stray tags, comments and declarations are passed over; character references
-are decoded after markup is gone; equal rows give equal results; an empty table gives no
-rows; other columns are ignored. Every page is handled on its own, whole, with no shuffle.
+unclosed or stray tags, comments and declarations are passed over, and a tag with an open quote
+ends where the quote is closed later, else at its first bracket; character references are
+decoded after markup is gone; equal rows give equal results; an empty table gives no rows;
+other columns are ignored. Every page is handled on its own, whole, with no shuffle.
 """
 
 from __future__ import annotations
@@ -60,12 +61,46 @@ NOISE_NAMES = re.compile(
 NOISE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar"}
 CONTENT_NAMES = re.compile(r"(?:^|[\s_-])(?:article|article-?body|post|post-?body|post-?content|entry|entry-?content|content|main|main-?content|story|story-?body|body-?text|page-?content)(?=$|[\s_-])")
 
-_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_OPEN = re.compile(r"<(?=[!?]|/?[a-zA-Z])")
+_PASSED = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[|<[!?][^>]*>", re.S)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+#: A tag whose quotes do not close ends at the first bracket.
+_BROKEN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
+#: Open quotes are searched for their ends over so many characters for each one of the page.
+PATIENCE = 4
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|itemprop|style)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 _SPACE = re.compile(r"\s+")
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
 
 
+def _markup(page: str):
+    """Tags, and None for comments and declarations, as (start, end, tag); in time linear in the page.
+
+    A tag with an open quote costs a look at the rest of the page, so only some of these are given it.
+    """
+    at, left, last = 0, PATIENCE * len(page), page.rfind(">")
+    while (bracket := _OPEN.search(page, at)) is not None:
+        at = bracket.start()
+        follows = page[at + 1]
+        if follows in "!?":
+            found = _PASSED.match(page, at) if at < last or page.startswith(("<!--", "<![CDATA["), at) else None
+        elif at >= last:
+            return
+        else:
+            found = _TAG.match(page, at) if left > 0 else None
+            if found is None:
+                left -= len(page) - at
+                found = _BROKEN_TAG.match(page, at)
+        if found is None:
+            at += 1
+            continue
+        at = found.end()
+        jump = yield found.start(), at, found if follows not in "!?" else None
+        if jump is not None:
+            at = jump
+            yield
+
+
 class _Element:
     __slots__ = ("name", "noise", "content", "parent", "first", "last", "link")
 
@@ -133,11 +168,11 @@ def lines(page: str, by_name: bool = True) -> list:
         top.last, depth[top.name] = len(found), depth[top.name] - 1
         top = top.parent
 
-    at = 0
-    while (tag := _MARKUP.search(page, at)) is not None:
-        text(page[at : tag.start()])
-        at = tag.end()
-        if not tag[2]:
+    at, marks = 0, _markup(page)
+    for start, end, tag in marks:
+        text(page[at:start])
+        at = end
+        if tag is None:
             continue
         name = tag[2].lower()
         if name not in INLINE:
@@ -145,15 +180,16 @@ def lines(page: str, by_name: bool = True) -> list:
         if tag[1]:
             if depth.get(name):
                 element = top
-                while element.name != name:
+                while element.name != name and (name not in INLINE or element.name in INLINE):
                     element = element.parent
-                if name in INLINE and any_block(top, element):
-                    continue  # a stray end tag of an inline element does not close the blocks inside it
-                close(element)
+                # A stray end tag of an inline element does not close the blocks inside it.
+                if element.name == name:
+                    close(element)
             continue
         if name in RAW:
-            end = _RAW_END[name].search(page, at)
+            end = _RAW_END[name].search(page, at, page.rfind(">") + 1)
             at = end.end() if end else len(page)
+            marks.send(at)
             continue
         if name in ENDS_PARAGRAPH:
             # An open paragraph, with the inline elements in it, ends here.
@@ -177,14 +213,6 @@ def lines(page: str, by_name: bool = True) -> list:
     return found
 
 
-def any_block(inner: _Element, outer: _Element) -> bool:
-    while inner is not outer:
-        if inner.name not in INLINE:
-            return True
-        inner = inner.parent
-    return False
-
-
 def runs(weights: list[int]) -> list[tuple[int, int]]:
     """The runs of lines between a surge and the dive after it."""
     if not any(weights):

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -206,11 +207,22 @@ def test_extraction_of_odd_pages(spark):
     assert html_text.main_text("<p>One paragraph<p>and another one") == "One paragraph and another one"
     deep = "<div>" * 5000 + "deep text" + "</div>" * 5000
     assert html_text.main_text(deep) == "deep text"
+    assert html_text.main_text('<div><p class="a>Odd quotes here</p><p>and "others"</p></div>') == 'Odd quotes here and "others"'
+    assert html_text.main_text("<p class='a>An open quote here</p><p>and more of it</p>") == "An open quote here and more of it"
     df = spark.createDataFrame([(1, "u", None, 5), (1, "u", None, 5), (None, None, "<p>A</p>", 5)], "page_id long, url string, html string, n_chars int")
     assert sorted((str(r["page_id"]), r["text"], r["n_chars"]) for r in html_text.extract(df).collect()) == [("1", "", 0), ("1", "", 0), ("None", "A", 1)]
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("broken", ['<p class="a', "<p class='a ", "</ a <b", "<!", "<p>x</b>", '<a "b> ', "<script", "<script></script"])
+def test_extraction_is_linear_on_broken_markup(broken):
+    """A megabyte of it takes a second or so."""
+    page = "<div><p>Some text of an article</p>" + broken * (1_000_001 // len(broken)) + "</div>"
+    start = time.perf_counter()
+    html_text.main_text(page)
+    assert time.perf_counter() - start < 10
+
+
 def test_extraction_of_pages(spark):
     """The test pages' articles, read by their known frame."""
     import html
