@@ -17,29 +17,45 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
+    """The folder that driver and executors share, as a URI with its scheme.
 
-    A cluster names it in ``spark.checkpoint.dir``. Where that is unset (tests on one
-    machine) a temporary folder is made and set as the checkpoint folder.
+    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset and all runs in one
+    local JVM (tests) a temporary folder is made and set as the checkpoint folder.
     """
+    context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    made = spark.sparkContext._jsc.sc().getCheckpointDir
-    if not made().isDefined():
-        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="cinderspark-shared-"))
-    return made().get().rstrip("/")
+    if not named:
+        made = context._jsc.sc().getCheckpointDir
+        if not made().isDefined():
+            if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+            context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="cinderspark-shared-"))
+        named = made().get()
+    path, fs = _hadoop(context, named)
+    # One form for Spark's readers and for pyarrow's file systems.
+    whole = fs.makeQualified(path).toString().rstrip("/")
+    return "file://" + whole.removeprefix("file:") if whole.startswith("file:/") and not whole.startswith("file://") else whole
+
+
+def _hadoop(context, where: str):
+    """Hadoop's path of ``where`` and its file system."""
+    path = context._jvm.org.apache.hadoop.fs.Path(where)
+    return path, path.getFileSystem(context._jsc.hadoopConfiguration())
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new folder name below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new folder below the shared folder, which goes when the driver ends, if not before."""
+    where = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path, fs = _hadoop(spark.sparkContext, where)
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return where
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read again: lineage ends there."""
     spark = df.sparkSession
-    path = scratch(spark, label)
+    path = scratch(spark, label) + "/rows"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
@@ -49,9 +65,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Deletes the files of tables made by ``stored`` that nothing reads any more."""
     for table in tables:
-        context = table.sparkSession.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(table._stored_at)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        path, fs = _hadoop(table.sparkSession.sparkContext, table._stored_at.removesuffix("/rows"))
+        fs.delete(path, True)
 
 
 def publish(fs, draft: str, final: str) -> None:

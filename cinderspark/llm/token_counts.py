@@ -66,9 +66,7 @@ def write_files(documents: DataFrame, folder: str, path: str = bpe.RANKS, separa
 
     kind = dict(documents.dtypes)["doc_id"]
     listing = documents.select("doc_id", documents["text"].cast("string")).mapInArrow(run, f"file string, ordinal long, doc_id {kind}")
-    where = shared.scratch(spark, "token-listing")
-    listing.write.parquet(where)
-    return spark.read.schema(listing.schema).parquet(where)
+    return shared.stored(listing, "token-listing")
 
 
 def blocks(spark: SparkSession, folder: str, dtype: str = DTYPE, block_ids: int = BLOCK_IDS) -> DataFrame:
