@@ -1,8 +1,9 @@
 """Benchmark decontamination by size-partitioned MinHash containment search.
 
 An item and a document are sets of five-word shingles (ASCII lower case, words between
-white space; an item of fewer words is one shingle, met by a document of just these words). A
-document is contaminated by an item if it holds at least ``CONTAINMENT`` of the item's shingles.
+white space; an item of k < 5 words is one shingle of k words, looked for in the k-word
+shingles of every document). A document is contaminated by an item if it holds at least
+``CONTAINMENT`` of the item's shingles.
 
 Jaccard similarity says nothing about a short item in a long document, so the search is for
 containment: a document that holds a share t of an item's n shingles misses at most
@@ -14,12 +15,13 @@ their shingles are looked up in the block's sorted minima, and whatever meets is
 by exact containment of the words themselves, not of hashes.
 
 Items are read block by block (``BLOCK_ITEMS`` and ``BLOCK_CHARS`` bound what is broadcast);
-beyond one block further scans follow, so a larger benchmark costs scans, not memory. Documents are
+beyond one block further scans follow, so a larger benchmark costs scans, not memory (the stage
+writes its rows between two blocks, so that one block's index is held at a time). Documents are
 never shuffled, however hot a passage is.
 
 Defined cases: null or empty texts and items have no shingles and link with nothing;
-repeated rows are each reported; ties are all reported; empty tables give no rows; other
-columns are ignored.
+repeated rows, and rows with null ids, are each reported; ids are of any type; ties are all
+reported; empty tables give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from cinderspark.llm import shared, words
 
@@ -79,7 +82,7 @@ class Index:
             return []
         hashed, found = words.hashes(own), set()
         for k in self.lengths:
-            if len(own) < k or k < self.width and len(own) != k:
+            if len(own) < k:
                 continue
             runs = words.run_hashes(hashed, k)
             hashes, owners = self.minima[k]
@@ -120,7 +123,7 @@ def leaks(documents: DataFrame, items: DataFrame, width: int = SHINGLE, share: f
     spark = documents.sparkSession
     kinds = (dict(documents.dtypes)["doc_id"], dict(items.dtypes)["item_id"])
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, n_held int, n_shingles int"
-    found = None
+    found, id_type = None, to_arrow_type(items.schema["item_id"].dataType)
     for block in _blocks(items):
         held = spark.sparkContext.broadcast(Index(block, width, share))
 
@@ -130,7 +133,7 @@ def leaks(documents: DataFrame, items: DataFrame, width: int = SHINGLE, share: f
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array([i for i, _ in rows], pa.int64())),
-                        pa.array([hit[0] for _, hit in rows], pa.int32() if kinds[1] == "int" else pa.int64()),
+                        pa.array([hit[0] for _, hit in rows], id_type),
                         pa.array([hit[1] for _, hit in rows], pa.int32()),
                         pa.array([hit[2] for _, hit in rows], pa.int32()),
                     ],
@@ -147,8 +150,14 @@ def leaks(documents: DataFrame, items: DataFrame, width: int = SHINGLE, share: f
 def contaminated_flag(documents: DataFrame, items: DataFrame) -> DataFrame:
     """All columns of ``documents`` and ``_leak`` (true if some item is held); rows stay where they are."""
     spark, at = documents.sparkSession, documents.columns.index("text")
-    flagged = documents.withColumn("_leak", F.lit(False))
-    for block in _blocks(items):
+    flagged, written = documents.withColumn("_leak", F.lit(False)), []
+    for number, block in enumerate(_blocks(items)):
+        if number:
+            # The scans of two blocks in one stage would hold both indexes.
+            flagged = shared.stored(flagged, "leak-flags")
+            written.append(flagged)
+            if number > 1:
+                shared.discard(written.pop(0))
         held = spark.sparkContext.broadcast(Index(block))
 
         def run(batches, held=held):

@@ -26,8 +26,12 @@ l AS (SELECT x.vec_id AS a, y.vec_id AS b FROM n x JOIN n y ON x.vec_id <> y.vec
 SELECT vec_id, (SELECT count(*) FROM l WHERE a = vec_id) AS n_links, coalesce(component, vec_id) AS component_id, coalesce(component, vec_id) = vec_id AS kept
 FROM embeddings LEFT JOIN c ON node = vec_id"""
 
-LEAKS = f"""WITH i AS ({_shingles('benchmark', 'item_id', 5)}), n AS (SELECT item_id, count(*) AS n FROM i GROUP BY item_id),
-d AS ({_shingles('documents', 'doc_id', 5)}), h AS (SELECT doc_id, item_id, count(*) AS k FROM d JOIN i USING (s) GROUP BY ALL)
+LEAKS = f"""WITH t AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+i AS (SELECT DISTINCT item_id, least(len(w), 5) AS k, unnest(list_transform(range(1, len(w) - least(len(w), 5) + 2), lambda i: array_to_string(w[i:i + least(len(w), 5) - 1], ' '))) AS s FROM t WHERE len(w) > 0),
+n AS (SELECT item_id, count(*) AS n FROM i GROUP BY item_id),
+d AS (SELECT DISTINCT doc_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS s
+FROM (SELECT doc_id, {_WORDS} AS w FROM documents), (SELECT DISTINCT CAST(k AS BIGINT) AS k FROM i) WHERE len(w) >= k),
+h AS (SELECT doc_id, item_id, count(*) AS k FROM d JOIN i USING (k, s) GROUP BY doc_id, item_id)
 SELECT doc_id, item_id, CAST(k AS INTEGER) AS n_held, CAST(n AS INTEGER) AS n_shingles, CAST(k AS DOUBLE) / n AS containment FROM h JOIN n USING (item_id) WHERE 5 * k >= 4 * n"""
 
 JACCARD = f"""WITH RECURSIVE s AS ({_shingles('documents', 'doc_id', 4)}), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
@@ -38,13 +42,17 @@ SELECT documents.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, docum
 FROM documents LEFT JOIN n ON n.doc_id = documents.doc_id LEFT JOIN c ON node = documents.doc_id"""
 
 # A line's keys: itself without its i-th word, and itself split there; lines of one key are within one edit.
-LINES = """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS i FROM documents WHERE text IS NOT NULL),
-f AS (SELECT *, string_split(line, ' ') AS w, row_number() OVER (ORDER BY doc_id, i) AS place FROM l WHERE len(string_split(line, ' ')) >= 5 AND trim(line, ' ') <> ''),
+# Rows are told apart by number, so that repeated rows are judged one after the other.
+_BLANK = "' ' || chr(9) || chr(11) || chr(12) || chr(13)"
+LINES = f"""WITH d AS (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id NULLS FIRST, text) AS r FROM documents),
+l AS (SELECT r, unnest(string_split(text, chr(10))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS i FROM d WHERE text IS NOT NULL),
+f AS (SELECT *, string_split(line, ' ') AS w, row_number() OVER (ORDER BY r, i) AS place FROM l WHERE trim(line, {_BLANK}) <> ''),
 u AS (SELECT line, any_value(w) AS w, min(place) AS first FROM f GROUP BY line),
-k AS (SELECT first, unnest(range(1, len(w) + 1)) AS pos, len(w) - 1 AS m, w FROM u UNION ALL SELECT first, unnest(range(1, len(w) + 2)) AS pos, len(w) AS m, w FROM u),
+v AS (SELECT first, w FROM u WHERE len(w) >= 5),
+k AS (SELECT first, unnest(range(1, len(w) + 1)) AS pos, len(w) - 1 AS m, w FROM v UNION ALL SELECT first, unnest(range(1, len(w) + 2)) AS pos, len(w) AS m, w FROM v),
 h AS (SELECT first, pos, m, md5(array_to_string(w[1:pos - 1], ' ') || '|' || array_to_string(CASE WHEN m = len(w) THEN w[pos:] ELSE w[pos + 1:] END, ' ')) AS v FROM k),
 e AS (SELECT pos, m, v, min(first) AS head FROM h GROUP BY ALL HAVING count(*) > 1),
 near AS (SELECT DISTINCT first FROM h JOIN e USING (pos, m, v) WHERE first > head),
-j AS (SELECT f.doc_id, f.i, near.first IS NOT NULL AS near FROM f JOIN u USING (line) LEFT JOIN near ON near.first = u.first WHERE near.first IS NOT NULL OR place <> u.first)
-SELECT d.doc_id, CASE WHEN text IS NULL THEN NULL ELSE coalesce((SELECT string_agg(line, chr(10) ORDER BY i) FROM l WHERE l.doc_id = d.doc_id AND NOT EXISTS (FROM j WHERE j.doc_id = l.doc_id AND j.i = l.i)), '') END AS text,
-coalesce(len(string_split(text, chr(10))), 0) AS n_lines, (SELECT count(*) FROM j WHERE j.doc_id = d.doc_id AND NOT near) AS n_exact, (SELECT count(*) FROM j WHERE j.doc_id = d.doc_id AND near) AS n_near FROM documents d"""
+j AS (SELECT f.r, f.i, near.first IS NOT NULL AS near FROM f JOIN u USING (line) LEFT JOIN near ON near.first = u.first WHERE near.first IS NOT NULL OR place <> u.first)
+SELECT d.doc_id, CASE WHEN text IS NULL THEN NULL ELSE coalesce((SELECT string_agg(line, chr(10) ORDER BY i) FROM l WHERE l.r = d.r AND NOT EXISTS (FROM j WHERE j.r = l.r AND j.i = l.i)), '') END AS text,
+coalesce(len(string_split(text, chr(10))), 0) AS n_lines, (SELECT count(*) FROM j WHERE j.r = d.r AND NOT near) AS n_exact, (SELECT count(*) FROM j WHERE j.r = d.r AND near) AS n_near FROM d"""

@@ -53,7 +53,8 @@ def leaks(rows, items, width=5, share=0.8):
     known = {i: shingles(t, width) for i, t in items}
     out = set()
     for d, t in rows:
-        own = shingles(t, width)
+        words = WORD.findall(lower(t))
+        own = {tuple(words[i : i + k]) for k in range(1, width + 1) for i in range(len(words) - k + 1)}
         out |= {(d, i, len(own & s), len(s)) for i, s in known.items() if s and len(own & s) >= share * len(s) - 1e-9}
     return out
 
@@ -69,20 +70,25 @@ def one_edit(a, b):
 
 def line_dedup(rows, least=5):
     """{doc_id: (text, n_exact, n_near)} of (doc_id, text) rows with distinct ids."""
-    first = {}
-    lines = [(d, i, x) for d, t in sorted(rows) if t is not None for i, x in enumerate(t.split("\n"))]
-    fit = [(d, i, x) for d, i, x in lines if len(x.split(" ")) >= least and x.strip(" ")]
+    return {d: rest for (d, *_), rest in zip(rows, line_dedup_rows(rows, least))}
+
+
+def line_dedup_rows(rows, least=5):
+    """(text, n_exact, n_near) of each of the (doc_id, text) rows, which may repeat; equal ids come in order of the rows."""
+    first, order = {}, sorted(range(len(rows)), key=lambda r: (rows[r][0] is not None, rows[r][0] or 0, r))
+    lines = [(r, i, x) for r in order if rows[r][1] is not None for i, x in enumerate(rows[r][1].split("\n"))]
+    fit = [(r, i, x) for r, i, x in lines if x.strip(" \t\x0b\x0c\r")]
     for place, x in enumerate(x for _, _, x in fit):
         first.setdefault(x, place)
-    distinct = sorted(first, key=first.get)
+    distinct = [x for x in sorted(first, key=first.get) if len(x.split(" ")) >= least]
     near = {x for k, x in enumerate(distinct) if any(one_edit(x, y) for y in distinct[:k])}
     gone = {}
-    for place, (d, i, x) in enumerate(fit):
+    for place, (r, i, x) in enumerate(fit):
         if x in near or place != first[x]:
-            gone.setdefault(d, {})[i] = x in near
-    out = {}
-    for d, t in rows:
-        mine = gone.get(d, {})
+            gone.setdefault(r, {})[i] = x in near
+    out = []
+    for r, (_, t) in enumerate(rows):
+        mine = gone.get(r, {})
         kept = t if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if i not in mine)
-        out[d] = (kept, sum(not v for v in mine.values()), sum(mine.values()))
+        out.append((kept, sum(not v for v in mine.values()), sum(mine.values())))
     return out

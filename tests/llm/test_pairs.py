@@ -6,7 +6,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from cinderspark.llm import decontaminate, embedding_dedup, jaccard_join, line_dedup, shared
+from cinderspark.llm import decontaminate, embedding_dedup, jaccard_join, line_dedup, oracles, shared
 from tests.llm import brute
 
 SMALL = "/root/testdata/sf0.001"
@@ -144,10 +144,21 @@ def test_leaks(spark):
     assert clean == {d for d, _ in rows} - {x[0] for x in got}
 
 
+def test_short_items_in_long_documents(spark):
+    rows = [(1, "what is truth exactly"), (2, "some words ahead of WHAT is\ttruth exactly and after it"), (3, "what is the truth exactly"), (None, "x what is truth exactly"), (None, "x what is truth exactly")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([("a", "What is truth exactly"), ("b", None), (None, "one two three four five six")], "item_id string, text string")
+    got = sorted(((r["doc_id"], r["item_id"], r["n_held"]) for r in decontaminate.leaks(docs, items).collect()), key=str)
+    assert got == [(1, "a", 1), (2, "a", 1), (None, "a", 1), (None, "a", 1)]
+    assert [r["doc_id"] for r in decontaminate.contaminated_flag(docs, items).where("not _leak").collect()] == [3]
+
+
 def test_leaks_in_blocks(spark, monkeypatch):
     whole = {tuple(r) for r in decontaminate.query(spark, SMALL).collect()}
     monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 7)
     assert whole == {tuple(r) for r in decontaminate.query(spark, SMALL).collect()}
+    docs, bench = (shared.read(spark, SMALL, t) for t in ("documents", "benchmark"))
+    assert {r["doc_id"] for r in decontaminate.contaminated_flag(docs, bench).where("_leak").collect()} == {r[0] for r in whole}
     assert {r[:4] for r in whole} == brute.leaks(rows_of("documents", "doc_id, text"), rows_of("benchmark", "item_id, text"))
     none = shared.read(spark, SMALL, "benchmark").limit(0)
     assert decontaminate.leaks(shared.read(spark, SMALL, "documents"), none).count() == 0
@@ -196,6 +207,22 @@ def test_line_dedup_same_id(spark):
     assert got == [("1", ""), ("1", ""), ("None", text)]
 
 
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_line_dedup_of_repeated_rows(spark, limit, monkeypatch):
+    monkeypatch.setattr(shared.checked_broadcast, "__defaults__", (limit,))
+    one = "alpha beta gamma delta epsilon\n\nalpha beta gamma delta zeta\nshort\n \t"
+    rows = [(7, one)] * 3 + [(None, one)] * 2 + [(None, None)] * 2 + [(8, "short"), (9, "other\nother"), (9, "other\nother"), (10, ""), (10, "")]
+    docs = spark.createDataFrame([(d, t, 1, "x") for d, t in rows], "doc_id long, text string, n_lines int, _t string").repartition(3)
+    found = line_dedup.dedup_lines(docs)
+    assert sorted(found.columns) == sorted(["doc_id", "text", "_t", "n_lines", "n_exact", "n_near"])
+    got = sorted(((r["doc_id"], r["text"], r["n_exact"], r["n_near"]) for r in found.collect()), key=str)
+    assert got == sorted(((d, *rest) for (d, _), rest in zip(rows, brute.line_dedup_rows(rows))), key=str)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    assert sorted(((r[0], r[1], r[3], r[4]) for r in con.execute(oracles.LINES).fetchall()), key=str) == got
+
+
 def test_components(spark):
     rnd = random.Random(8)
     edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(220)] + [(k, k + 1) for k in range(400, 430)]
