@@ -1,10 +1,10 @@
 """Near-duplicate lines by a deletion-neighbourhood join; DataFrame functions only.
 
 A line is one ``\\n``-separated part of a text, its words are what single spaces separate,
-and an edit inserts, deletes or replaces one word. Two lines are near copies if at most one
-edit apart; a line goes if an earlier line (in ``(doc_id, line number)`` order) equals it
-or is a near copy of it. Lines of fewer than ``MIN_WORDS`` words are never compared, so one
-edit always leaves a similarity of 0.8 or more, and blank lines stay.
+and an edit inserts, deletes or replaces one word. A line goes if an earlier line (in
+``(doc_id, line number)`` order) equals it or, both having ``MIN_WORDS`` words or more, is at most one
+edit apart: one edit then always leaves a similarity of 0.8 or more. Shorter lines, and lines without
+single spaces, go as equal ones only. Lines of nothing but white space stay.
 
 1. Equal lines meet by hash; only the first place of each distinct line goes on.
 2. A line one edit away shares the first or the last half of its words with it. Lines
@@ -16,9 +16,11 @@ edit always leaves a similarity of 0.8 or more, and blank lines stay.
    earliest line alone, never to all others, and the tie is verified on the words.
 4. Lines with an earlier near copy, and later copies of equal lines, leave the texts.
 
-Defined cases: null and empty texts stay as they are; a null ``doc_id`` sorts first; the
-second of two rows with equal ``doc_id`` is judged by its row's text like any other; an
-empty table gives no rows; other columns are carried along untouched.
+Defined cases: null and empty texts stay as they are; a null ``doc_id`` sorts first; rows with
+equal ``doc_id`` are judged one after the other, those with different texts in order of the texts' hashes;
+of equal rows, which are told apart by place, all but one lose all their lines; an empty table
+gives no rows; other columns are carried along untouched, but ``n_lines``, ``n_exact`` and ``n_near``
+are replaced.
 """
 
 from __future__ import annotations
@@ -31,26 +33,31 @@ from cinderspark.llm import shared
 MIN_WORDS = 5
 #: Hashes are cut to 42 bits so that the sums of a million of them stay within a long.
 MASK = (1 << 42) - 1
+WHITE = " \t\x0b\x0c\r"
+
+
+def _blank(line) -> F.Column:
+    return F.btrim(line, F.lit(WHITE)) == ""
 
 
 def _lines(documents: DataFrame) -> DataFrame:
-    """doc, line_no, line of all lines long enough to be compared; doc tells equal ids apart."""
+    """doc, line_no, line, n (words) of all lines that are not blank; doc tells rows of equal ids and different texts apart."""
     split = documents.select(
         F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("t")).alias("doc"),
         F.posexplode(F.split("text", "\n")).alias("line_no", "line"),
     )
     words = F.length("line") - F.length(F.replace(F.col("line"), F.lit(" "), F.lit(""))) + 1
-    return split.withColumn("n", words).where(F.col("n") >= MIN_WORDS).where(F.trim("line") != "")
+    return split.withColumn("n", words).where(~_blank(F.col("line")))
 
 
 def _halves(first: DataFrame) -> DataFrame:
-    """Keys of the line's outer halves for its own length and the next shorter one."""
+    """Keys of the line's outer halves for its own length and the next shorter one; none of a line too short for near copies."""
     keys = []
     for less in (1, 2):
         k = ((F.col("n") - less) / 2).cast("int")
         keys.append(F.xxhash64(F.lit("p"), k, F.call_function("substring_index", F.col("line"), F.lit(" "), k)))
         keys.append(F.xxhash64(F.lit("s"), k, F.call_function("substring_index", F.col("line"), F.lit(" "), -k)))
-    return F.array_distinct(F.array(*keys))
+    return F.when(F.col("n") >= MIN_WORDS, F.array_distinct(F.array(*keys))).otherwise(F.array().cast("array<bigint>"))
 
 
 def _word_gap(a, b) -> F.Column:
@@ -145,6 +152,24 @@ def dropped_lines(documents: DataFrame) -> DataFrame:
     return found
 
 
+def _told_apart(rows: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """``rows`` (_id, _t, text, ...) with ``_later``: true for all but one of equal rows; and tables to discard.
+
+    Only rows that are there more than once are written and numbered, if there are any.
+    """
+    equal = rows.where("text is not null").groupBy("_t", "_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_t", "_id")
+    equal = shared.stored(equal, "line-equal-rows")
+    if not (n := equal.count()):
+        shared.discard(equal)
+        return rows.withColumn("_later", F.lit(False)), []
+    some = shared.checked_broadcast(equal, n).toDF("_ft", "_fid")
+    of = (F.col("_t") == F.col("_ft")) & F.col("_id").eqNullSafe(F.col("_fid")) & F.col("text").isNotNull()
+    placed = shared.stored(rows.join(some, of, "left_semi").withColumn("_place", F.monotonically_increasing_id()), "line-placed-rows")
+    first = placed.groupBy("_t", "_id").agg(F.min("_place").alias("_first")).toDF("_ft", "_fid", "_first")
+    placed_ = placed.join(shared.checked_broadcast(first, n), of).withColumn("_later", F.col("_place") != F.col("_first"))
+    return rows.join(some, of, "left_anti").withColumn("_later", F.lit(False)).unionByName(placed_.drop("_place", "_first", "_ft", "_fid")), [equal, placed]
+
+
 def dedup_lines(documents: DataFrame) -> DataFrame:
     """All columns of ``documents`` with ``text`` less its repeated lines, and n_lines, n_exact, n_near.
 
@@ -152,26 +177,24 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
     """
     found = dropped_lines(documents)
     gone = found.groupBy("doc").agg(
-        F.collect_set("line_no").alias("_gone"),
-        F.count_if(~F.col("near")).alias("_n_exact"),
-        F.count_if("near").alias("_n_near"),
-    )
-    gone = shared.stored(
-        gone.select(F.col("doc.t").alias("_t"), F.col("doc.id").alias("_id"), "_gone", "_n_exact", "_n_near"), "line-gone"
+        F.collect_set(F.when(~F.col("near"), F.col("line_no"))).alias("_exact"),
+        F.collect_set(F.when(F.col("near"), F.col("line_no"))).alias("_near"),
     )
+    gone = shared.stored(gone.select(F.col("doc.t").alias("_gt"), F.col("doc.id").alias("_gid"), "_exact", "_near"), "line-gone")
     shared.discard(found)
-    marked = documents.withColumn("_t", F.xxhash64("text"))
-    joined = marked.join(gone, (marked["_t"] == gone["_t"]) & marked["doc_id"].eqNullSafe(F.col("_id")), "left")
-    kept = F.when(
-        F.col("_gone").isNull(), F.col("text")
-    ).otherwise(
-        F.array_join(F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(F.col("_gone"), i)), "\n")
-    )
+    rows = shared.packed(documents.withColumn("text", F.col("text").cast("string")), "doc_id", "text")
+    rows, _ = _told_apart(rows.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_t"), "text", "_row"))
+    joined = rows.join(gone, (F.col("_t") == F.col("_gt")) & F.col("_id").eqNullSafe(F.col("_gid")), "left")
+    lines, later = F.split("text", "\n"), F.col("_later")
+    exact, near = (F.coalesce(F.col(c), F.array().cast("array<int>")) for c in ("_exact", "_near"))
+    kept = F.filter(lines, lambda line, i: ~F.array_contains(exact, i) & ~F.array_contains(near, i))
+    text = F.when(later, F.array_join(F.filter(lines, _blank), "\n")).when(F.size(exact) + F.size(near) == 0, F.col("text")).otherwise(F.array_join(kept, "\n"))
+    n_exact = F.when(later, F.size(F.filter(lines, lambda line: ~_blank(line))) - F.size(near)).otherwise(F.size(exact))
     return joined.select(
-        *[kept.alias("text") if c == "text" else documents[c] for c in documents.columns],
-        F.coalesce(F.size(F.split(documents["text"], "\n")), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce("_n_exact", F.lit(0)).cast("long").alias("n_exact"),
-        F.coalesce("_n_near", F.lit(0)).cast("long").alias("n_near"),
+        *[text.alias("text") if c == "text" else F.col(f"_row.`{c}`") for c in documents.columns if c not in ("n_lines", "n_exact", "n_near")],
+        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
+        n_exact.cast("long").alias("n_exact"),
+        F.size(near).cast("long").alias("n_near"),
     )
 
 
