@@ -1,32 +1,36 @@
 """Hierarchical Pitman-Yor language model: seatings by Gibbs, averaged predictions.
 
-Tokens are words (see ``words``) and one end token a text. The restaurant of a token is
-its context: one of ``LEAVES`` classes of the token before it (by its last two bytes; the
-end token opens a text). Restaurants whose context shares the last byte's class share a
-parent of ``MIDDLES``; these share the root, whose base is uniform over the V known types
-and one for all unknown ones. ``p_u(w) = (c_uw - d t_uw + (theta + d T_u) p_parent(w)) / (theta + C_u)``.
+Tokens are words (see ``words``) and one end token a text. The restaurant of a token is its
+context, the token before it (the end token opens a text): every word of the corpus has its own.
+Restaurants of contexts that end alike (one of ``CLASSES`` classes of the last two bytes) share a
+parent, and these share the root, whose base is uniform over the V known types and one for all
+unknown ones. ``p_u(w) = (c_uw - d t_uw + (theta + d T_u) p_parent(w)) / (theta + C_u)``.
+
+The state is the number of customers and of tables of each dish in each restaurant; the sizes
+of the tables are integrated out. A customer that leaves closes its table with probability
+``S(c - 1, t - 1) / S(c, t)`` (generalised Stirling numbers: the chance that the last of c
+exchangeable customers at t tables sits alone), and sits down again by the Chinese-restaurant rule;
+closed and opened tables are customers that leave and enter the parent. A Gibbs sweep takes
+every customer of every dish in every restaurant once (but a dish's only one, which can only open the same
+table again): one by one up to ``TURNS`` customers, else in ``TURNS`` runs whose probabilities are
+held. Predictions are averaged over ``SAMPLES`` sweeps after ``BURN_IN``. Discounts come from the counts of
+dishes met once and twice at their level, where each dish in a restaurant below has one table.
 
 Seatings of one dish touch, beyond its own customers and tables in all restaurants, only the
-restaurants' totals. So dishes are dealt into buckets by hash, and each bucket samples its
-dishes in every restaurant against the totals, which earlier passes over the buckets
-have summed (tokens and types, then the first seatings); while it samples, the other buckets'
-totals are taken to move in proportion to its own: no restaurant and no vocabulary is ever gathered anywhere, and a hot word is
-one dish. Customers are first seated one by one (frequent dishes in runs of a sixteenth
-of those seated, with probabilities held for the run); then each Gibbs sweep takes every
-customer of every dish in every restaurant from its table once and seats it again, closing and
-opening tables up the hierarchy: one by one up to ``TURNS`` customers, else in ``TURNS`` equal runs
-whose probabilities are held, at a cost that grows with tables, not customers. Predictions are averaged over ``SAMPLES`` sweeps after
-``BURN_IN``. Discounts come from the counts of dishes seen once and twice at their level.
-
-Texts are read once, in blocks of about ``BLOCK_CHARS`` characters. A block hands each bucket its words
-with their counts by context, packed, and keeps its tokens as positions in that
-list in a file of the shared folder. Buckets answer in the same order, and each block adds up
-its texts' scores. Texts are not shuffled.
+restaurants' totals. So dishes are dealt into buckets by hash, as many as the characters of the whole table
+ask for (``BUCKET_CHARS``), whatever the partitions. Customers and distinct dishes of every
+context are summed over the buckets exactly, dealt by context; while a bucket samples, the other
+buckets' totals are these, moved in proportion to its own. No vocabulary and no restaurant is
+gathered anywhere but in such shares; a hot word is one dish, summed up in the blocks first.
+
+Texts are read once, in blocks of about ``BLOCK_CHARS`` characters. A block hands each bucket its
+dishes and contexts with their counts, packed, and keeps its tokens in a file of the shared
+folder. Buckets answer in the same order, and each block adds up its texts' scores. Texts are not shuffled.
 
 Defined cases: null text is empty (one end token); a null ``doc_id`` is in training; rows
 with equal ``doc_id`` are scored each; an empty table gives no rows; a text of any length is
 whole in one block; without any training row every token is unknown; other columns are
-ignored.
+ignored. Scores do not depend on the number of partitions.
 """
 
 from __future__ import annotations
@@ -40,354 +44,317 @@ import pyarrow as pa
 import pyarrow.fs
 import pyarrow.ipc
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinderspark.llm import shared, words
 
-MIDDLES, FAN = 8, 8
-LEAVES = MIDDLES * FAN
+CLASSES = 64
 BURN_IN, SAMPLES = 3, 4
 #: A sweep moves the customers of a dish in so many runs.
 TURNS = 16
 THETA = 1.0
-FIRST_DISCOUNTS = (0.7, 0.7, 0.7)
 BLOCK_CHARS = 16_000_000
+BUCKET_CHARS = 24_000_000
+#: What other buckets' totals are moved by is one's own change, shrunk to the level's as if by so many more.
+SHRINK = 8
+#: Closing probabilities are tabulated up to so many customers and tables, and approximated beyond.
+MOST_CUSTOMERS, MOST_TABLES = 2048, 256
 #: No word holds white space.
 END = b"\n"
 SEED = 11
 
+_HASH_BITS = np.uint64(34)
+_HASH = np.uint64((1 << 34) - 1)
+
 
-def leaf_classes(known: list[bytes]) -> np.ndarray:
-    """The context class that each word is for the next token."""
+def context_ids(hashed: np.ndarray, known: list[bytes]) -> np.ndarray:
+    """40 bits for the context that each word is for the next token: its class, then its hash."""
     ends = np.array([(w[-1], w[-2] if len(w) > 1 else 0) for w in known], np.uint64).reshape(len(known), 2)
     spread = words.mix(ends + np.uint64(1))
-    return ((spread[:, 0] % np.uint64(MIDDLES)) * np.uint64(FAN) + spread[:, 1] % np.uint64(FAN)).astype(np.int64)
+    # Eight classes of the last byte, eight of the one before.
+    kind = (spread[:, 0] % np.uint64(8)) * np.uint64(8) + spread[:, 1] % np.uint64(8)
+    return kind << _HASH_BITS | words.mix(hashed ^ np.uint64(SEED)) & _HASH
+
+
+def packed(x: np.ndarray) -> bytes:
+    """Numbers from 0 on, low bytes first, each byte's plane on its own, compressed."""
+    x = np.ascontiguousarray(x, "<u8")
+    width = max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
+    planes = np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return bytes([width]) + zstandard.compress(planes.tobytes(), 1)
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(raw[1:]), np.uint8).reshape(raw[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : raw[0]] = planes.T
+    return out.view("<u8").ravel().astype(np.int64)
+
+
+def packed_rising(x: np.ndarray) -> bytes:
+    """The same for numbers that do not fall: their steps (64-bit numbers wrap around)."""
+    x = np.asarray(x, np.uint64)
+    return packed(np.diff(x, prepend=np.uint64(0)))
+
+
+def unpacked_rising(raw: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(raw).astype(np.uint64), dtype=np.uint64)
 
 
 # ---------------------------------------------------------------- restaurants
 
 
+class Closing:
+    """Probability that one of c exchangeable customers at t tables sits alone, for one discount."""
+
+    def __init__(self, d: float):
+        tables = np.arange(MOST_TABLES + 1)
+        self.known = np.ones((MOST_CUSTOMERS + 1, MOST_TABLES + 1), np.float32)
+        last = np.where(tables == 1, 0.0, -np.inf)
+        for c in range(2, MOST_CUSTOMERS + 1):
+            now = np.full(MOST_TABLES + 1, -np.inf)
+            now[1:] = np.logaddexp(last[:-1], np.log(np.maximum(c - 1 - d * tables[1:], 1e-300)) + last[1:])
+            upto = min(c, MOST_TABLES) + 1
+            self.known[c, 1:upto] = np.exp(last[: upto - 1] - now[1:upto])
+            last = now
+        # Beyond: the saddle point of the tables' sizes, by their mean.
+        s = np.geomspace(1e-6, 60, 2000)
+        full, size = -np.expm1(-s), -np.expm1(-d * s) / d
+        self.mean, self.alone = np.log(full * np.exp((1 - d) * s) / size), full / size
+
+    def __call__(self, c: np.ndarray, t: np.ndarray) -> np.ndarray:
+        out = self.known[np.minimum(c, MOST_CUSTOMERS), np.minimum(t, MOST_TABLES)].astype(np.float64)
+        if len(far := np.flatnonzero((c > MOST_CUSTOMERS) | (t > MOST_TABLES))):
+            out[far] = (t[far] - 1) / c[far] * np.interp(np.log(c[far] / np.maximum(t[far], 1)), self.mean, self.alone)
+        return out
+
+
 class Level:
-    """Dishes in the restaurants of one level: customers c, tables t, and the tables' sizes."""
-
-    def __init__(self, restaurant: np.ndarray, up: np.ndarray | None, restaurants: int, random):
-        self.restaurant, self.up, self.random = restaurant, up, random
-        self.c = np.zeros(len(restaurant), np.int64)
-        self.t = np.zeros(len(restaurant), np.int64)
-        self.other_c, self.other_t = np.zeros(restaurants), np.zeros(restaurants)
-        # One's own when the others' were summed.
-        self.met_c, self.met_t = np.zeros(restaurants), np.zeros(restaurants)
-        self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        # Customers of each table that the running sweep has not moved yet.
-        self.due = np.zeros(0, np.int64)
-        self.discount = 0.7
+    """Dishes in the restaurants of one level: customers c and tables t.
+
+    ``others`` are the other buckets' customers and tables of each restaurant where every dish in a
+    restaurant below has one table; ``own`` are this bucket's.
+    """
+
+    def __init__(self, restaurant: np.ndarray, up: np.ndarray | None, customers: np.ndarray, others: tuple[np.ndarray, np.ndarray], discount: float):
+        self.restaurant, self.up, self.discount = restaurant, up, discount
+        self.c, self.t = customers.copy(), (customers > 0).astype(np.int64)
+        self.others, self.closing = others, Closing(discount)
+        self.own = self.totals()
+        self.sums = [x.copy() for x in self.own]
+        self.refresh()
 
     def totals(self) -> tuple[np.ndarray, np.ndarray]:
-        """Customers and tables of each restaurant, over all buckets; the others' have moved in proportion to one's own."""
-        n = len(self.other_c)
-        c, t = np.bincount(self.restaurant, self.c, n), np.bincount(self.restaurant, self.t, n)
-        return (
-            c + self.other_c * np.where(self.met_c > 0, c / np.maximum(self.met_c, 1), 1),
-            t + self.other_t * np.where(self.met_t > 0, t / np.maximum(self.met_t, 1), 1),
-        )
+        n = len(self.others[0])
+        return np.bincount(self.restaurant, self.c, n), np.bincount(self.restaurant, self.t, n)
+
+    def refresh(self) -> None:
+        """Moves the other buckets' totals in proportion to this one's."""
+        self.beside = []
+        for own, start, other in zip(self.sums, self.own, self.others, strict=True):
+            whole = own.sum() / max(1.0, start.sum())
+            self.beside.append(other * (own + SHRINK * whole) / (start + SHRINK))
+
+    def move(self, own: np.ndarray, customers: np.ndarray, tables: np.ndarray) -> None:
+        self.c[own] += customers
+        self.t[own] += tables
+        np.add.at(self.sums[0], self.restaurant[own], customers)
+        np.add.at(self.sums[1], self.restaurant[own], tables)
+
+    def fresh(self, own: np.ndarray) -> np.ndarray:
+        """Weight of the parent in the restaurants of dishes ``own``."""
+        r = self.restaurant[own]
+        return THETA + self.discount * (self.sums[1][r] + self.beside[1][r])
 
-    def predict(self, base: np.ndarray, own: np.ndarray | slice = slice(None)) -> np.ndarray:
-        """Probabilities of the dishes ``own``, given those of their parents."""
-        customers, tables = self.totals()
+    def predict(self, own: np.ndarray, base: np.ndarray) -> np.ndarray:
+        """Probabilities of dishes ``own``, given those of their parents."""
         r = self.restaurant[own]
-        return (self.c[own] - self.discount * self.t[own] + (THETA + self.discount * tables[r]) * base) / (THETA + customers[r])
-
-    def fresh(self, own: np.ndarray, base: np.ndarray) -> np.ndarray:
-        """Probability that a customer of each dish opens a table."""
-        new = (THETA + self.discount * self.totals()[1][self.restaurant[own]]) * base
-        old = np.maximum(self.c[own] - self.discount * self.t[own], 0)
-        return np.where(self.c[own] == 0, 1.0, new / (new + old))
-
-    def settle(self, customers: np.ndarray, base: np.ndarray, buckets: int) -> None:
-        """Seats ``customers`` at empty restaurants; table sizes are drawn given their number.
-
-        Other buckets are taken to have as many tables as this one.
-        """
-        rest, tables = customers.copy(), np.zeros(len(self.other_t))
-        while len(own := np.flatnonzero(rest)):
-            c, t, r = self.c[own], self.t[own], self.restaurant[own]
-            run = np.minimum(rest[own], 1 + c // 16)
-            new = (THETA + self.discount * buckets * tables[r]) * base[own]
-            chance = np.where(c == 0, 1.0, new / (new + np.maximum(c - self.discount * t, 0)))
-            opened = self.random.binomial(run, np.clip(chance, 0, 1))
-            self.t[own] += opened
-            self.c[own] += run
-            rest[own] -= run
-            tables += np.bincount(r, opened, len(tables))
-        self.at = np.repeat(np.arange(len(self.t)), self.t)
-        if not len(self.at):
-            return
-        share = self.random.exponential(size=len(self.at))
-        ends = np.cumsum(self.t)
-        filled = np.flatnonzero(self.t)
-        sums = np.add.reduceat(share, (ends - self.t)[filled])
-        run = np.cumsum(share)
-        start = np.repeat(run[(ends - self.t)[filled]] - share[(ends - self.t)[filled]], self.t[filled])
-        # Broken sticks: the customers beyond one for each table, cut at random places.
-        upto = np.minimum(np.floor((run - start) / np.repeat(sums, self.t[filled]) * (self.c - self.t)[self.at] + 1e-9), (self.c - self.t)[self.at])
-        upto[ends[filled] - 1] = (self.c - self.t)[filled]
-        before = np.r_[0, upto[:-1]]
-        before[(ends - self.t)[filled]] = 0
-        self.size = 1 + (upto - before).astype(np.int64)
-        self.due = np.zeros_like(self.size)
-
-    def _order(self) -> None:
-        keep = np.flatnonzero(self.size > 0)
-        order = keep[np.argsort(self.at[keep], kind="stable")]
-        self.at, self.size, self.due = self.at[order], self.size[order], self.due[order]
-
-    def _open(self, own: np.ndarray) -> None:
-        """A table with one customer for each entry of ``own``."""
-        none = np.zeros(len(own), np.int64)
-        self.at, self.size, self.due = np.r_[self.at, own], np.r_[self.size, none + 1], np.r_[self.due, none]
-
-    def summon(self) -> None:
-        """Every customer is due, but a dish's only one, which can only open the same table again."""
-        self.due = np.where(self.c[self.at] > 1, self.size, 0)
-
-    def aside(self) -> tuple:
-        """Puts the tables of dishes without due customers aside; returns them."""
-        waits = np.bincount(self.at, self.due, len(self.c)) > 0
-        keep = waits[self.at]
-        own = (self.at, self.size, self.due)
-        self.at, self.size, self.due = (x[keep] for x in own)
-        return tuple(x[~keep] for x in own)
-
-    def join(self, parts: list[tuple]) -> None:
-        self.at, self.size, self.due = (np.concatenate(x) for x in zip((self.at, self.size, self.due), *parts, strict=True))
-        self._order()
-
-    def _deal(self, low: np.ndarray, high: np.ndarray, n: np.ndarray, share) -> np.ndarray:
-        """``n`` customers by table of the ranges low to high: halves share them, down to single tables."""
-        out = np.zeros(len(self.at), np.int64)
-        while len(low):
-            single = high - low == 1
-            out[low[single]] = n[single]
-            low, high, n = (x[~single & (n > 0)] for x in (low, high, n))
-            middle = (low + high) // 2
-            part = share(low, middle, high, n)
-            low, high, n = np.r_[low, middle], np.r_[middle, high], np.r_[part, n - part]
-        return out
+        return (self.c[own] - self.discount * self.t[own] + self.fresh(own) * base) / (THETA + self.sums[0][r] + self.beside[0][r])
 
-    def leave(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Removes a run of each dish's due customers, drawn at random: dishes, customers, and dishes whose table closed.
-
-        The draw must not depend on who sits where, or sweeps would favour some tables.
-        """
-        own, low = np.unique(self.at, return_index=True)
-        high = np.r_[low[1:], len(self.at)]
-        upto = np.r_[0, np.cumsum(self.due)]
-        run = np.minimum(-(-self.c[own] // TURNS), upto[high] - upto[low])
-        gone = self._deal(low, high, run, lambda a, m, b, n: self.random.hypergeometric(upto[m] - upto[a], upto[b] - upto[m], n))
-        self.size -= gone
-        self.due -= gone
-        self.c[own] -= run
-        closed = self.at[(gone > 0) & (self.size == 0)]
-        np.subtract.at(self.t, closed, 1)
-        return own, run, closed
-
-    def enter(self, own: np.ndarray, run: np.ndarray, base: np.ndarray) -> np.ndarray:
-        """Seats ``run`` customers at each of the distinct, not empty dishes ``own``; dishes that got new tables."""
-        new = self.random.binomial(run, np.clip(self.fresh(own, base), 0, 1))
-        # Tables closed in this turn weigh nothing.
-        upto = np.r_[0.0, np.cumsum(np.where(self.size > 0, self.size - self.discount, 0))]
-        low, high = np.searchsorted(self.at, own), np.searchsorted(self.at, own, side="right")
-        weight = lambda a, m, b, n: self.random.binomial(n, np.clip((upto[m] - upto[a]) / (upto[b] - upto[a]), 0, 1))
-        self.size += self._deal(low, high, run - new, weight)
-        self.c[own] += run
-        self.t[own] += new
-        opened = np.repeat(own, new)
-        self._open(opened)
-        self._order()
-        return opened
-
-    def take(self, own: np.ndarray) -> np.ndarray:
-        """Removes a random customer for each entry of ``own`` (dishes may repeat); dishes whose table closed."""
-        closed = []
-        while len(own):
-            run = np.cumsum(self.size)
-            first = np.searchsorted(self.at, own)
-            start = run[first] - self.size[first]
-            seat = start + (self.random.random(len(own)) * self.c[own]).astype(np.int64)
-            # Two of a dish's customers cannot leave the same seat: the later one draws again.
-            seat, one = np.unique(seat, return_index=True)
-            gone = np.searchsorted(run, seat, side="right")
-            np.subtract.at(self.size, gone, 1)
-            np.subtract.at(self.c, own[one], 1)
-            emptied = np.unique(gone[self.size[gone] == 0])
-            np.subtract.at(self.t, self.at[emptied], 1)
-            closed.append(self.at[emptied])
-            self._order()
-            own = np.delete(own, one)
-        return np.concatenate(closed) if closed else np.zeros(0, np.int64)
-
-    def seat(self, own: np.ndarray, base: np.ndarray) -> np.ndarray:
-        """Seats a customer for each entry of ``own``; dishes that got a new table."""
-        opened = []
-        while len(own):
-            # At an empty dish the first customer opens a table before the others choose.
-            if (empty := self.c[own] == 0).any():
-                now = np.zeros(len(own), bool)
-                now[np.unique(np.where(empty, own, -1), return_index=True)[1]] = True
-                now &= empty
-            else:
-                now = np.ones(len(own), bool)
-            mine, chance = own[now], self.fresh(own[now], base[now])
-            new = self.random.random(len(mine)) < chance
-            old = mine[~new]
-            if len(old):
-                weight = np.cumsum(self.size - self.discount)
-                first, last = np.searchsorted(self.at, old), np.searchsorted(self.at, old, side="right")
-                start = np.where(first > 0, weight[first - 1], 0.0)
-                spot = start + self.random.random(len(old)) * (weight[last - 1] - start)
-                np.add.at(self.size, np.clip(np.searchsorted(weight, spot, side="right"), first, last - 1), 1)
-            np.add.at(self.c, mine, 1)
-            np.add.at(self.t, mine[new], 1)
-            opened.append(mine[new])
-            self._open(mine[new])
-            self._order()
-            own, base = own[~now], base[~now]
-        return np.concatenate(opened) if opened else np.zeros(0, np.int64)
 
+def _summed_by(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of ``n`` for equal keys, which do not fall."""
+    at = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[at], np.add.reduceat(n, at)
 
-class Seating:
-    """The dishes of a bucket in all restaurants, from (dish, leaf) entries with training counts."""
-
-    def __init__(self, dish: np.ndarray, leaf: np.ndarray, counts: np.ndarray, buckets: int, types: float, seed: int, tokens: float | None = None):
-        random = np.random.default_rng([SEED, seed])
-        middle, to_middle = np.unique(dish * MIDDLES + leaf // FAN, return_inverse=True)
-        to_root = middle // MIDDLES
-        root = Level(np.zeros(int(dish.max()) + 1, np.int64), None, 1, random)
-        self.levels = [Level(leaf, to_middle, LEAVES, random), Level(middle % MIDDLES, to_root, MIDDLES, random), root]
-        self.types, self.counts = types, counts
-        of_dish = np.bincount(dish, counts, len(root.c))
-        guess = (of_dish + 0.5) / max(1.0, of_dish.sum() * buckets if tokens is None else tokens)
-        for k, level in enumerate(self.levels):
-            level.discount = FIRST_DISCOUNTS[k]
-            below = counts if k == 0 else np.bincount(self.levels[k - 1].up, self.levels[k - 1].t, len(level.c)).astype(np.int64)
-            base = guess[dish] if k == 0 else guess[to_root] if k == 1 else np.full(len(root.c), 1 / (types + 1))
-            level.settle(below, base, buckets)
-
-    def statistics(self) -> list[float]:
-        """Customers and tables by restaurant, and dishes seen once and twice by level."""
-        out = []
-        for level in self.levels:
-            n = len(level.other_c)
-            out += [*np.bincount(level.restaurant, level.c, n), *np.bincount(level.restaurant, level.t, n), float((level.c == 1).sum()), float((level.c == 2).sum())]
-        return [float(x) for x in out]
-
-    def meet(self, whole: list[float]) -> None:
-        """Takes the sums of all buckets' statistics: the other buckets' totals and the discounts."""
-        own, at = self.statistics(), 0
-        for level in self.levels:
-            n = len(level.other_c)
-            level.other_c = np.array(whole[at : at + n]) - own[at : at + n]
-            level.other_t = np.array(whole[at + n : at + 2 * n]) - own[at + n : at + 2 * n]
-            level.met_c, level.met_t = np.array(own[at : at + n]), np.array(own[at + n : at + 2 * n])
-            once, twice = whole[at + 2 * n : at + 2 * n + 2]
-            level.discount = float(np.clip(once / max(1.0, once + 2 * twice), 0.05, 0.95))
-            at += 2 * n + 2
 
-    def predictions(self) -> list[np.ndarray]:
-        """Probabilities at the leaves, middles and root."""
-        leaf, middle, root = self.levels
-        top = root.predict(np.full(len(root.c), 1 / (self.types + 1)))
-        mid = middle.predict(top[middle.up])
-        return [leaf.predict(mid[leaf.up]), mid, top]
+class Whole(NamedTuple):
+    """Sums over all buckets: tokens, types, discounts, and the parents' and the root's customers and tables."""
 
-    def _base(self, k: int, own: np.ndarray) -> np.ndarray:
-        """The parent's probabilities of dishes ``own`` of level k."""
+    tokens: int
+    types: int
+    discounts: tuple[float, float, float]
+    parents: tuple[np.ndarray, np.ndarray]
+    root: tuple[np.ndarray, np.ndarray]
+
+
+class Seating:
+    """The dishes of a bucket in all restaurants.
+
+    Entries (dish, context) come in order of dish, then of the context's class. ``customers`` and
+    ``tables`` are all buckets' totals of each context, the latter one for each dish in it.
+    """
+
+    def __init__(self, dish: np.ndarray, context: np.ndarray, kind: np.ndarray, counts: np.ndarray, customers: np.ndarray, tables: np.ndarray, whole: Whole, seed: int):
+        self.random, self.types = np.random.default_rng([SEED, seed]), whole.types
+        key = dish * CLASSES + kind[context]
+        pair, up = np.unique(key, return_inverse=True)
+        n = len(customers)
+        own = (np.bincount(context, counts, n), np.bincount(context, counts > 0, n))
+        leaf = Level(context, up, counts, (customers - own[0], tables - own[1]), whole.discounts[0])
+        below = np.bincount(up, leaf.t, len(pair)).astype(np.int64)
+        above = pair // CLASSES
+        own = (np.bincount(pair % CLASSES, below, CLASSES), np.bincount(pair % CLASSES, below > 0, CLASSES))
+        middle = Level(pair % CLASSES, above, below, tuple(w - o for w, o in zip(whole.parents, own, strict=True)), whole.discounts[1])
+        below = np.bincount(above, middle.t, int(dish.max()) + 1).astype(np.int64)
+        own = (np.array([below.sum()]), np.array([(below > 0).sum()]))
+        root = Level(np.zeros(len(below), np.int64), None, below, tuple(w - o for w, o in zip(whole.root, own, strict=True)), whole.discounts[2])
+        self.levels = [leaf, middle, root]
+
+    def _draw(self, n: np.ndarray, chance: np.ndarray) -> np.ndarray:
+        out = (self.random.random(len(n)) < chance).astype(np.int64) * (n > 0)
+        if len(many := np.flatnonzero(n > 1)):
+            out[many] = self.random.binomial(n[many], np.clip(chance[many], 0, 1))
+        return out
+
+    def leave(self, k: int, own: np.ndarray, n: np.ndarray) -> None:
+        """``n`` customers of each of the distinct dishes ``own`` of level k leave."""
+        level = self.levels[k]
+        c, t = level.c[own], level.t[own]
+        rest = c - n
+        closed = np.clip(self._draw(n, level.closing(c, t)), np.maximum(0, t - rest), np.minimum(n, t - (rest > 0)))
+        level.move(own, -n, -closed)
+        if level.up is not None and len(some := np.flatnonzero(closed)):
+            self.leave(k + 1, *_summed_by(level.up[own[some]], closed[some]))
+
+    def enter(self, k: int, own: np.ndarray, n: np.ndarray) -> None:
+        """``n`` customers of each of the distinct dishes ``own`` of level k sit down; the first at an empty dish opens a table."""
         level = self.levels[k]
-        if level.up is None:
+        c, t = level.c[own], level.t[own]
+        first = (c == 0).astype(np.int64)
+        new = level.fresh(own) * self.base(k, own)
+        opened = first + self._draw(n - first, new / (new + np.maximum(c + first - level.discount * (t + first), 0)))
+        level.move(own, n, opened)
+        if level.up is not None and len(some := np.flatnonzero(opened)):
+            self.enter(k + 1, *_summed_by(level.up[own[some]], opened[some]))
+
+    def base(self, k: int, own: np.ndarray) -> np.ndarray:
+        """The parent's probabilities of dishes ``own`` of level k."""
+        if (up := self.levels[k].up) is None:
             return np.full(len(own), 1 / (self.types + 1))
-        up = level.up[own]
-        return self.levels[k + 1].predict(self._base(k + 1, up), up)
+        return self.levels[k + 1].predict(up[own], self.base(k + 1, up[own]))
 
     def sweep(self) -> None:
         """Every customer of every dish with more than one, in every restaurant, is seated anew."""
         for k, level in enumerate(self.levels):
-            level.summon()
-            aside = [level.aside()]
-            while len(level.at):
-                own, run, gone = level.leave()
-                for j in range(k + 1, len(self.levels)):
-                    if not len(gone):
-                        break
-                    gone = self.levels[j].take(self.levels[j - 1].up[gone])
-                come = level.enter(own, run, self._base(k, own))
-                for j in range(k + 1, len(self.levels)):
-                    if not len(come):
-                        break
-                    come = self.levels[j - 1].up[come]
-                    come = self.levels[j].seat(come, self._base(j, come))
-                aside.append(level.aside())
-            level.join(aside)
+            for each in self.levels:
+                each.refresh()
+            run, due = -(-level.c // TURNS), np.where(level.c > 1, level.c, 0)
+            own = np.flatnonzero(due)
+            while len(own):
+                n = np.minimum(run[own], due[own])
+                self.leave(k, own, n)
+                self.enter(k, own, n)
+                due[own] -= n
+                own = own[due[own] > 0]
+
+    def predictions(self) -> list[np.ndarray]:
+        """Probabilities at the contexts, their parents and the root."""
+        out = [np.full(len(self.levels[-1].c), 1 / (self.types + 1))]
+        for level in reversed(self.levels):
+            base = out[0] if level.up is None else out[0][level.up]
+            out.insert(0, level.predict(np.arange(len(level.c)), base))
+        return out[:-1]
 
     def averaged(self, burn_in: int = BURN_IN, samples: int = SAMPLES) -> np.ndarray:
-        """Predictive probability of each (dish, leaf) entry, averaged over sampled seatings."""
-        total = np.zeros(len(self.counts))
+        """Predictive probability of each entry, averaged over sampled seatings."""
+        total = np.zeros(len(self.levels[0].c))
         for _ in range(burn_in):
             self.sweep()
         for _ in range(samples):
             self.sweep()
+            for level in self.levels:
+                level.refresh()
             total += self.predictions()[0]
         return total / samples
 
 
 # --------------------------------------------------------------------- blocks
 
+_FILE = pa.schema([("name", pa.string()), ("data", pa.binary())])
+
+
+def _write(folder: str, name: str, parts: dict[str, bytes], *tables: tuple[str, pa.Table]) -> None:
+    """A file of named bytes (tables as Arrow streams), moved into place when it is finished."""
+    fs, base = pyarrow.fs.FileSystem.from_uri(folder)
+    for key, table in tables:
+        sink = pa.BufferOutputStream()
+        with pyarrow.ipc.new_stream(sink, table.schema) as out:
+            out.write_table(table)
+        parts = {**parts, key: sink.getvalue().to_pybytes()}
+    draft = f"{base}/.{name}.{uuid.uuid4().hex}"
+    with fs.open_output_stream(draft) as out, pyarrow.ipc.new_file(out, _FILE) as sink:
+        for key, data in parts.items():
+            sink.write_batch(pa.record_batch([[key], [data]], schema=_FILE))
+    shared.publish(fs, draft, f"{base}/{name}")
 
-class Totals(NamedTuple):
-    tokens: int
-    types: int
-    statistics: list[float]
+
+def _read(folder: str, name: str) -> dict[str, bytes]:
+    fs, base = pyarrow.fs.FileSystem.from_uri(folder)
+    with fs.open_input_file(f"{base}/{name}") as source:
+        table = pyarrow.ipc.open_file(source).read_all()
+    return dict(zip(table["name"].to_pylist(), table["data"].to_pylist(), strict=True))
+
+
+class _Block:
+    """A block's words in the buckets' order (bucket, then hash), its contexts, and its distinct (word, context) entries."""
+
+    def __init__(self, ids: np.ndarray, context: np.ndarray, lengths: np.ndarray, end: int):
+        before = np.r_[end, ids[:-1]]
+        before[np.r_[0, np.cumsum(lengths)[:-1]]] = end
+        self.width = int(context.max()) + 1
+        self.entries, self.codes = np.unique(ids * self.width + context[before], return_inverse=True)
 
 
 def _blocks(documents: DataFrame, folder: str, buckets: int) -> DataFrame:
-    """Blocks' words for each bucket: block, bucket, dishes, fan, leaves, counts (packed)."""
+    """Blocks' dishes and contexts for each bucket: block, bucket, dishes, fan, contexts, at, counts (packed)."""
+    names_of_parts = ("dishes", "fan", "contexts", "at", "counts")
 
-    def packed(block: int, names: list, ids: list, train: list, doc_ids: pa.Array):
+    def told(block: int, names: dict, ids: list, train: list, doc_ids: pa.Array):
         known = list(names)
         hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, known), np.uint64, len(known))
         bucket = (words.mix(hashed) % np.uint64(buckets)).astype(np.int64)
         order = np.lexsort((hashed, bucket))
         rank = np.empty(len(known), np.int64)
         rank[order] = np.arange(len(known))
-        leaf = leaf_classes(known)
+        contexts, context = np.unique(context_ids(hashed, known)[order], return_inverse=True)
         lengths = np.array([len(x) for x in ids], np.int64)
-        tokens = np.concatenate(ids)
-        before = np.r_[0, tokens[:-1]]
-        before[np.r_[0, np.cumsum(lengths)[:-1]]] = names[END]
-        entries, codes = np.unique(rank[tokens] * LEAVES + leaf[before], return_inverse=True)
-        counts = np.bincount(codes, np.repeat(np.array(train, bool), lengths), len(entries)).astype("<u4")
-        fs, base = pyarrow.fs.FileSystem.from_uri(folder)
-        fs.create_dir(base, recursive=True)
-        draft = f"{base}/.{block}.{uuid.uuid4().hex}"
-        offsets = pa.array(np.r_[0, np.cumsum(lengths)], pa.int64())
-        table = pa.table({"doc_id": doc_ids, "train": pa.array(train, pa.bool_()), "codes": pa.LargeListArray.from_arrays(offsets, pa.array(codes.astype(np.int32)))})
-        with fs.open_output_stream(draft) as out, pyarrow.ipc.new_file(out, table.schema, options=pyarrow.ipc.IpcWriteOptions(compression="zstd")) as sink:
-            sink.write_table(table)
-        shared.publish(fs, draft, f"{base}/{block}.arrow")
-        dish = entries // LEAVES
-        of = bucket[order][dish]
-        edges = np.searchsorted(of, np.arange(buckets + 1))
+        tokens = rank[np.concatenate(ids)]
+        own = _Block(tokens, context, lengths, int(rank[names[END]]))
+        counts = np.bincount(own.codes, np.repeat(np.array(train, bool), lengths), len(own.entries)).astype(np.int64)
+        # Frequent words have low numbers in the file: they take fewer bytes.
+        often = np.argsort(-np.bincount(tokens, minlength=len(known)), kind="stable")
+        place = np.empty(len(known), np.int64)
+        place[often] = np.arange(len(known))
+        rows = pa.table({"doc_id": doc_ids, "train": pa.array(train, pa.bool_())})
+        parts = {"tokens": packed(place[tokens]), "often": packed(often), "context": packed(context), "lengths": packed(lengths), "end": packed(rank[[names[END]]])}
+        _write(folder, f"block-{block}.arrow", parts, ("rows", rows))
+        dish, at = own.entries // own.width, own.entries % own.width
+        edges = np.searchsorted(bucket[order][dish], np.arange(buckets + 1))
         for k in np.flatnonzero(np.diff(edges)).tolist():
             part = slice(edges[k], edges[k + 1])
-            own, fan = np.unique(dish[part], return_counts=True)
+            mine, fan = np.unique(dish[part], return_counts=True)
+            met, number = np.unique(at[part], return_inverse=True)
             yield (
-                block, k, hashed[order][own].astype("<u8").tobytes(), fan.astype("u1").tobytes(), (entries[part] % LEAVES).astype("u1").tobytes(), counts[part].tobytes(),
+                block, k, packed_rising(hashed[order][mine]), packed(fan), packed_rising(contexts[met]), packed(number), packed(counts[part])
             )
 
     def run(batches):
         partition, number = TaskContext.get().partitionId(), 0
-        kinds = (pa.int64(), pa.int32(), *[pa.binary()] * 4)
+        kinds = (pa.int64(), pa.int32(), *[pa.binary()] * len(names_of_parts))
 
         def fresh():
             names: dict = defaultdict()
@@ -396,8 +363,8 @@ def _blocks(documents: DataFrame, folder: str, buckets: int) -> DataFrame:
             return names, [], [], []
 
         def emit(names, ids, train, docs):
-            rows = list(packed(partition << 24 | number, names, ids, train, pa.concat_arrays(docs)))
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds, strict=True)], ["block", "bucket", "dishes", "fan", "leaves", "counts"])
+            rows = list(told(partition << 24 | number, names, ids, train, pa.concat_arrays(docs)))
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds, strict=True)], ["block", "bucket", *names_of_parts])
 
         names, ids, train, docs = fresh()
         chars = 0
@@ -407,7 +374,7 @@ def _blocks(documents: DataFrame, folder: str, buckets: int) -> DataFrame:
                 text = text.as_py()
                 mine = words.tokens(text)
                 mine.append(END)
-                ids.append(np.fromiter(map(names.__getitem__, mine), np.int64, len(mine)))
+                ids.append(np.fromiter(map(names.__getitem__, mine), np.int32, len(mine)))
                 train.append(own)
                 chars += len(text or "")
                 if chars >= BLOCK_CHARS:
@@ -419,112 +386,168 @@ def _blocks(documents: DataFrame, folder: str, buckets: int) -> DataFrame:
         if ids:
             yield emit(names, ids, train, docs)
 
-    return documents.mapInArrow(run, "block long, bucket int, dishes binary, fan binary, leaves binary, counts binary")
+    return documents.mapInArrow(run, "block long, bucket int, " + ", ".join(f"{c} binary" for c in names_of_parts))
 
 
-def _merged(table: pa.Table):
-    """(rows by block, dish hashes, and for each row's entries: dish, leaf, count)."""
-    rows = sorted(table.to_pylist(), key=lambda r: r["block"])
-    hashes = [np.frombuffer(r["dishes"], "<u8") for r in rows]
-    known, of = np.unique(np.concatenate(hashes), return_inverse=True)
-    fan = np.concatenate([np.frombuffer(r["fan"], "u1") for r in rows]).astype(np.int64)
-    leaf = np.concatenate([np.frombuffer(r["leaves"], "u1") for r in rows]).astype(np.int64)
-    counts = np.concatenate([np.frombuffer(r["counts"], "<u4") for r in rows]).astype(np.int64)
-    return rows, known, of, fan, leaf, counts
+def _once_twice(n: np.ndarray) -> list[float]:
+    return [float((n == 1).sum()), float((n == 2).sum())]
 
 
 class _Bucket:
-    """A bucket's rows merged: distinct (dish, leaf) entries, and where each row's entries are."""
+    """What all blocks handed a bucket, merged: distinct dishes, contexts and entries, and where each block's are."""
 
     def __init__(self, table: pa.Table):
-        self.rows, known, self.of, self.fan, leaf, counts = _merged(table)
-        entries, self.entry = np.unique(np.repeat(self.of, self.fan) * LEAVES + leaf, return_inverse=True)
-        self.dish, self.leaf = entries // LEAVES, entries % LEAVES
-        self.counts = np.bincount(self.entry, counts, len(entries)).astype(np.int64)
+        rows = sorted(table.to_pylist(), key=lambda r: r["block"])
+        self.blocks = [r["block"] for r in rows]
+        hashes, met = ([unpacked_rising(r[c]) for r in rows] for c in ("dishes", "contexts"))
+        known, dish_of = np.unique(np.concatenate(hashes), return_inverse=True)
+        self.contexts, context_of = np.unique(np.concatenate(met), return_inverse=True)
+        dishes_at, contexts_at = (np.cumsum([0, *map(len, x)]) for x in (hashes, met))
+        keys = []
+        for k, r in enumerate(rows):
+            own, around = dish_of[dishes_at[k] : dishes_at[k + 1]], context_of[contexts_at[k] : contexts_at[k + 1]]
+            keys.append(np.repeat(own, unpacked(r["fan"])) * len(self.contexts) + around[unpacked(r["at"])])
+        entries, place = np.unique(np.concatenate(keys), return_inverse=True)
+        self.dish, self.context = entries // len(self.contexts), entries % len(self.contexts)
+        self.counts = np.bincount(place, np.concatenate([unpacked(r["counts"]) for r in rows]), len(entries)).astype(np.int64)
         self.of_dish = np.bincount(self.dish, self.counts, len(known)).astype(np.int64)
+        entries_at = np.cumsum([0, *map(len, keys)])
+        self.places = [place[a:b] for a, b in zip(entries_at, entries_at[1:])]
+        self.dishes = [dish_of[a:b] for a, b in zip(dishes_at, dishes_at[1:])]
+
+    def sums(self) -> list[float]:
+        """Tokens, types, dishes met once and twice at each level, and the parents' and the root's customers and tables."""
+        known = self.counts > 0
+        kind = (self.contexts >> _HASH_BITS).astype(np.int64)
+        pair, below = np.unique(self.dish[known] * CLASSES + kind[self.context[known]], return_counts=True)
+        above = np.bincount(pair // CLASSES, minlength=1)
+        return [
+            float(self.of_dish.sum()), float((self.of_dish > 0).sum()), *_once_twice(self.counts), *_once_twice(below), *_once_twice(above),
+            *np.bincount(pair % CLASSES, below, CLASSES), *np.bincount(pair % CLASSES, minlength=CLASSES).astype(float), float(above.sum()), float((above > 0).sum()),
+        ]
+
+    def write(self, folder: str, bucket: int, part: np.ndarray) -> None:
+        parts = {
+            "dish": packed_rising(self.dish), "context": packed(self.context), "counts": packed(self.counts),
+            "kind": packed(self.contexts >> _HASH_BITS), "part": packed(part),
+        }
+        blocks = pa.table(
+            {
+                "block": pa.array(self.blocks, pa.int64()),
+                "places": pa.array([packed_rising(x) for x in self.places], pa.binary()),
+                "dishes": pa.array([packed_rising(x) for x in self.dishes], pa.binary()),
+            }
+        )
+        _write(folder, f"bucket-{bucket}.arrow", parts, ("blocks", blocks))
+
 
-    def seating(self, buckets: int, tokens: int, types: int) -> Seating:
-        """First seatings; the same whenever they are asked for."""
-        return Seating(self.dish, self.leaf, self.counts, buckets, types, int(self.rows[0]["bucket"]), tokens)
+def _part(contexts: np.ndarray, parts: int) -> np.ndarray:
+    return ((contexts & _HASH) * np.uint64(parts) >> _HASH_BITS).astype(np.int64)
 
 
-def _summed(rows: DataFrame) -> list[float]:
-    """Elementwise sums of the column ``sums``."""
-    whole = rows.where("sums is not null").select(F.posexplode("sums").alias("k", "x")).groupBy("k").agg(F.sum("x").alias("x")).orderBy("k").collect()
-    return [r["x"] for r in whole]
+def whole_of(sums: list[float]) -> Whole:
+    tokens, types, *rest = sums
+    discounts = tuple(float(np.clip(once / max(1.0, once + 2 * twice), 0.05, 0.95)) for once, twice in zip(rest[0:6:2], rest[1:6:2]))
+    rest = np.array(rest[6:])
+    return Whole(int(tokens), int(types), discounts, (rest[:CLASSES], rest[CLASSES : 2 * CLASSES]), (rest[-2:-1], rest[-1:]))
 
 
 def score(documents: DataFrame, train) -> DataFrame:
     """doc_id, train, n_tokens, n_known, train_tokens, base_score, score; ``train`` is a boolean column."""
     spark = documents.sparkSession
-    buckets = shared.parallelism(spark)
-    folder = shared.scratch(spark, "model-blocks")
+    folder = shared.scratch(spark, "model-files")
     kind = dict(documents.dtypes)["doc_id"]
-    blocks = _blocks(documents.select("doc_id", documents["text"].cast("string"), F.coalesce(train, F.lit(True))), folder, buckets)
+    documents = documents.select("doc_id", documents["text"].cast("string").alias("text"), F.coalesce(train, F.lit(True)).alias("train"))
+    chars = documents.agg(F.sum(F.length("text"))).first()[0] or 0
+    buckets = max(1, -(-chars // BUCKET_CHARS))
 
-    # Round 1: the training tokens and types; a bucket's rows come together.
-    def first(table: pa.Table) -> pa.Table:
+    # Round 1: a bucket's rows come together, are merged and kept; its contexts' sums go on, dealt by context.
+    def merge(table: pa.Table) -> pa.Table:
+        number = int(table["bucket"][0].as_py())
         bucket = _Bucket(table)
-        sums = [float(bucket.of_dish.sum()), float((bucket.of_dish > 0).sum())]
-        rows = bucket.rows
-        none = [None] * (len(rows) - 1)
+        n = len(bucket.contexts)
+        customers, tables = np.bincount(bucket.context, bucket.counts, n).astype(np.int64), np.bincount(bucket.context, bucket.counts > 0, n).astype(np.int64)
+        part = _part(bucket.contexts, buckets)
+        bucket.write(folder, number, part)
+        order = np.argsort(part, kind="stable")
+        edges = np.searchsorted(part[order], np.arange(buckets + 1))
+        own = [(k, order[edges[k] : edges[k + 1]]) for k in np.flatnonzero(np.diff(edges)).tolist()]
         return pa.table(
             {
-                **{c: pa.array([r[c] for r in rows], k) for c, k in (("block", pa.int64()), ("bucket", pa.int32()), ("dishes", pa.binary()), ("fan", pa.binary()), ("leaves", pa.binary()), ("counts", pa.binary()))},
-                "sums": pa.array([sums, *none], pa.list_(pa.float64())),
+                "bucket": pa.array([number] * (len(own) + 1), pa.int32()),
+                "part": pa.array([-1 - number, *(k for k, _ in own)], pa.int32()),
+                "contexts": pa.array([None, *(packed_rising(bucket.contexts[at]) for _, at in own)], pa.binary()),
+                "customers": pa.array([None, *(packed(customers[at]) for _, at in own)], pa.binary()),
+                "tables": pa.array([None, *(packed(tables[at]) for _, at in own)], pa.binary()),
+                "sums": pa.array([bucket.sums(), *[None] * len(own)], pa.list_(pa.float64())),
             }
         )
 
-    held = shared.stored(blocks.groupBy("bucket").applyInArrow(first, "block long, bucket int, dishes binary, fan binary, leaves binary, counts binary, sums array<double>"), "model-buckets")
-    tokens, types = map(int, _summed(held) or (0, 0))
-
-    # Round 2: first seatings' statistics, some 150 sums whatever the corpus.
-    def second(table: pa.Table) -> pa.Table:
-        return pa.table({"sums": pa.array([_Bucket(table).seating(buckets, tokens, types).statistics()], pa.list_(pa.float64()))})
-
-    seated = held.drop("sums").groupBy("bucket").applyInArrow(second, "sums array<double>")
-    totals = Totals(tokens, types, _summed(seated) or [0.0] * (2 * (LEAVES + MIDDLES + 1) + 6))
-
-    # Round 3: the same first seatings meet the totals of all buckets, and are sampled.
-    def third(table: pa.Table) -> pa.Table:
-        bucket = _Bucket(table)
-        seating = bucket.seating(buckets, totals.tokens, totals.types)
-        seating.meet(totals.statistics)
-        logs = np.log10(seating.averaged()).astype("<f4")[bucket.entry]
-        counts = bucket.of_dish[bucket.of]
-        words_at = np.cumsum([0, *(len(r["fan"]) for r in bucket.rows)])
-        entries_at = np.cumsum([0, *(len(r["leaves"]) for r in bucket.rows)])
+    # Round 2: sums of each context over the buckets that met it.
+    def total(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        if rows[0]["sums"] is not None:
+            return table.select(["bucket", "part", "customers", "tables", "sums"])
+        met = [unpacked_rising(r["contexts"]) for r in rows]
+        known, of = np.unique(np.concatenate(met), return_inverse=True)
+        edges = np.cumsum([0, *map(len, met)])
+        out = {}
+        for c in ("customers", "tables"):
+            whole = np.bincount(of, np.concatenate([unpacked(r[c]) for r in rows]), len(known)).astype(np.int64)[of]
+            out[c] = pa.array([packed(whole[a:b]) for a, b in zip(edges, edges[1:])], pa.binary())
+        none = pa.nulls(len(rows), pa.list_(pa.float64()))
+        return pa.table({"bucket": table["bucket"], "part": table["part"], **out, "sums": none})
+
+    blocks = _blocks(documents, folder, buckets)
+    merged = blocks.groupBy("bucket").applyInArrow(merge, "bucket int, part int, contexts binary, customers binary, tables binary, sums array<double>")
+    totals = merged.groupBy("part").applyInArrow(total, "bucket int, part int, customers binary, tables binary, sums array<double>")
+    totals = shared.stored(totals, "model-totals")
+    sums = totals.where("sums is not null").select(F.posexplode("sums").alias("k", "x")).groupBy("k").agg(F.sum("x").alias("x")).orderBy("k").collect()
+    whole = whole_of([r["x"] for r in sums] or [0.0] * (2 * CLASSES + 10))
+
+    # Round 3: each bucket is sampled, and answers its blocks.
+    def sample(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda r: r["part"])
+        number = rows[0]["bucket"]
+        held = _read(folder, f"bucket-{number}.arrow")
+        kinds = unpacked(held["kind"])
+        dish, context, counts = unpacked_rising(held["dish"]).astype(np.int64), unpacked(held["context"]), unpacked(held["counts"])
+        # The rows hold the contexts in order of part, then as they are here.
+        customers, tables = (np.empty(len(kinds), np.int64) for _ in range(2))
+        order = np.argsort(unpacked(held["part"]), kind="stable")
+        customers[order], tables[order] = (np.concatenate([unpacked(r[c]) for r in rows]) for c in ("customers", "tables"))
+        seating = Seating(dish, context, kinds, counts, customers, tables, whole, number)
+        logs = np.log10(seating.averaged()).astype("<f4").view("<u4")
+        of_dish = np.bincount(dish, counts, int(dish.max()) + 1).astype(np.int64)
+        answers = pa.ipc.open_stream(held["blocks"]).read_all().to_pylist()
         return pa.table(
             {
-                "block": pa.array([r["block"] for r in bucket.rows], pa.int64()),
-                "bucket": pa.array([r["bucket"] for r in bucket.rows], pa.int32()),
-                "fan": pa.array([r["fan"] for r in bucket.rows], pa.binary()),
-                "counts": pa.array([counts[a:b].astype("<i8").tobytes() for a, b in zip(words_at, words_at[1:])], pa.binary()),
-                "logs": pa.array([logs[a:b].tobytes() for a, b in zip(entries_at, entries_at[1:])], pa.binary()),
+                "block": pa.array([r["block"] for r in answers], pa.int64()),
+                "bucket": pa.array([number] * len(answers), pa.int32()),
+                "counts": pa.array([packed(of_dish[unpacked_rising(r["dishes"]).astype(np.int64)]) for r in answers], pa.binary()),
+                "logs": pa.array([packed(logs[unpacked_rising(r["places"]).astype(np.int64)]) for r in answers], pa.binary()),
             }
         )
 
-    answers = held.drop("sums").groupBy("bucket").applyInArrow(third, "block long, bucket int, fan binary, counts binary, logs binary")
+    answers = totals.where("sums is null").drop("sums").groupBy("bucket").applyInArrow(sample, "block long, bucket int, counts binary, logs binary")
 
     def texts(table: pa.Table) -> pa.Table:
         rows = sorted(table.to_pylist(), key=lambda r: r["bucket"])
-        fs, base = pyarrow.fs.FileSystem.from_uri(folder)
-        with fs.open_input_file(f"{base}/{rows[0]['block']}.arrow") as source:
-            block = pyarrow.ipc.open_file(source).read_all().combine_chunks()
-        fan = np.concatenate([np.frombuffer(r["fan"], "u1") for r in rows])
-        counts = np.repeat(np.concatenate([np.frombuffer(r["counts"], "<i8") for r in rows]), fan)
-        logs = np.concatenate([np.frombuffer(r["logs"], "<f4") for r in rows]).astype(np.float64)
-        plain = np.log10((counts + 1) / (totals.tokens + totals.types + 1))
-        codes = block["codes"].chunk(0) if block["codes"].num_chunks else pa.array([], pa.large_list(pa.int32()))
-        at, edges = codes.values.to_numpy(), codes.offsets.to_numpy()
-        starts = edges[:-1]
-        total = lambda x: np.add.reduceat(x[at], starts) if len(starts) else x[:0]  # noqa: E731  every text has its end token
-        n = len(block)
+        held = _read(folder, f"block-{rows[0]['block']}.arrow")
+        tokens, lengths = unpacked(held["often"])[unpacked(held["tokens"])], unpacked(held["lengths"])
+        own = _Block(tokens, unpacked(held["context"]), lengths, int(unpacked(held["end"])[0]))
+        counts = np.concatenate([unpacked(r["counts"]) for r in rows])
+        logs = np.concatenate([unpacked(r["logs"]).astype("<u4").view("<f4") for r in rows]).astype(np.float64)
+        plain = np.log10((counts + 1) / (whole.tokens + whole.types + 1))
+        starts = np.cumsum(lengths) - lengths
+        total = lambda x: np.add.reduceat(x, starts)  # noqa: E731  every text has its end token
+        texts_ = pa.ipc.open_stream(held["rows"]).read_all()
+        n = len(texts_)
         return pa.table(
             {
-                "doc_id": block["doc_id"], "train": block["train"], "n_tokens": pa.array(np.diff(edges), pa.int64()),
-                "n_known": pa.array(total((counts > 0).astype(np.int64)), pa.int64()), "train_tokens": pa.array(np.full(n, totals.tokens), pa.int64()),
-                "base_score": pa.array(total(plain), pa.float64()), "score": pa.array(total(logs), pa.float64()),
+                "doc_id": texts_["doc_id"], "train": texts_["train"], "n_tokens": pa.array(lengths, pa.int64()),
+                "n_known": pa.array(total((counts[tokens] > 0).astype(np.int64)), pa.int64()), "train_tokens": pa.array(np.full(n, whole.tokens), pa.int64()),
+                "base_score": pa.array(total(plain[tokens]), pa.float64()), "score": pa.array(total(logs[own.codes]), pa.float64()),
             }
         )
 
