@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 from cinderspark.llm import shared, words
 
 CLASSES = 64
-BURN_IN, SAMPLES = 3, 4
+BURN_IN, SAMPLES = 6, 4
 #: A sweep moves the customers of a dish in so many runs.
 TURNS = 16
 THETA = 1.0
@@ -141,15 +141,13 @@ class Level:
 
     def __init__(self, restaurant: np.ndarray, up: np.ndarray | None, customers: np.ndarray, others: tuple[np.ndarray, np.ndarray], discount: float):
         self.restaurant, self.up, self.discount = restaurant, up, discount
-        self.c, self.t = customers.copy(), (customers > 0).astype(np.int64)
         self.others, self.closing = others, Closing(discount)
-        self.own = self.totals()
-        self.sums = [x.copy() for x in self.own]
-        self.refresh()
-
-    def totals(self) -> tuple[np.ndarray, np.ndarray]:
-        n = len(self.others[0])
-        return np.bincount(self.restaurant, self.c, n), np.bincount(self.restaurant, self.t, n)
+        n, known = len(others[0]), (customers > 0).astype(np.int64)
+        self.own = [np.bincount(restaurant, x, n) for x in (customers, known)]
+        # The first customer of each dish sits; the others are still to come.
+        self.c, self.t, self.rest = known, known.copy(), customers - known
+        self.sums = [self.own[1].copy(), self.own[1].copy()]
+        self.beside = list(others)
 
     def refresh(self) -> None:
         """Moves the other buckets' totals in proportion to this one's."""
@@ -158,11 +156,13 @@ class Level:
             whole = own.sum() / max(1.0, start.sum())
             self.beside.append(other * (own + SHRINK * whole) / (start + SHRINK))
 
-    def move(self, own: np.ndarray, customers: np.ndarray, tables: np.ndarray) -> None:
+    def move(self, own: np.ndarray, customers: np.ndarray, tables: np.ndarray, come_back: bool) -> None:
+        """Adds to the distinct dishes ``own``; customers that ``come_back`` in the same turn stay in their restaurant's sum."""
         self.c[own] += customers
         self.t[own] += tables
-        np.add.at(self.sums[0], self.restaurant[own], customers)
-        np.add.at(self.sums[1], self.restaurant[own], tables)
+        changes = [(1, np.flatnonzero(tables), tables)] if come_back else [(0, slice(None), customers), (1, np.flatnonzero(tables), tables)]
+        for which, some, change in changes:
+            np.add.at(self.sums[which], self.restaurant[own[some]], change[some].astype(np.float64))
 
     def fresh(self, own: np.ndarray) -> np.ndarray:
         """Weight of the parent in the restaurants of dishes ``own``."""
@@ -205,14 +205,26 @@ class Seating:
         n = len(customers)
         own = (np.bincount(context, counts, n), np.bincount(context, counts > 0, n))
         leaf = Level(context, up, counts, (customers - own[0], tables - own[1]), whole.discounts[0])
-        below = np.bincount(up, leaf.t, len(pair)).astype(np.int64)
+        below = np.bincount(up, counts > 0, len(pair)).astype(np.int64)
         above = pair // CLASSES
         own = (np.bincount(pair % CLASSES, below, CLASSES), np.bincount(pair % CLASSES, below > 0, CLASSES))
         middle = Level(pair % CLASSES, above, below, tuple(w - o for w, o in zip(whole.parents, own, strict=True)), whole.discounts[1])
-        below = np.bincount(above, middle.t, int(dish.max()) + 1).astype(np.int64)
+        below = np.bincount(above, below > 0, int(dish.max()) + 1).astype(np.int64)
         own = (np.array([below.sum()]), np.array([(below > 0).sum()]))
         root = Level(np.zeros(len(below), np.int64), None, below, tuple(w - o for w, o in zip(whole.root, own, strict=True)), whole.discounts[2])
         self.levels = [leaf, middle, root]
+        for k in (2, 1, 0):
+            self._settle(k)
+
+    def _settle(self, k: int) -> None:
+        """The customers still to come sit down one after the other, at frequent dishes in runs of a sixteenth of those seated."""
+        level = self.levels[k]
+        own = np.flatnonzero(level.rest)
+        while len(own):
+            n = np.minimum(level.rest[own], 1 + level.c[own] // TURNS)
+            self.enter(k, own, n)
+            level.rest[own] -= n
+            own = own[level.rest[own] > 0]
 
     def _draw(self, n: np.ndarray, chance: np.ndarray) -> np.ndarray:
         out = (self.random.random(len(n)) < chance).astype(np.int64) * (n > 0)
@@ -220,24 +232,24 @@ class Seating:
             out[many] = self.random.binomial(n[many], np.clip(chance[many], 0, 1))
         return out
 
-    def leave(self, k: int, own: np.ndarray, n: np.ndarray) -> None:
+    def leave(self, k: int, own: np.ndarray, n: np.ndarray, come_back: bool = False) -> None:
         """``n`` customers of each of the distinct dishes ``own`` of level k leave."""
         level = self.levels[k]
         c, t = level.c[own], level.t[own]
         rest = c - n
         closed = np.clip(self._draw(n, level.closing(c, t)), np.maximum(0, t - rest), np.minimum(n, t - (rest > 0)))
-        level.move(own, -n, -closed)
+        level.move(own, -n, -closed, come_back)
         if level.up is not None and len(some := np.flatnonzero(closed)):
             self.leave(k + 1, *_summed_by(level.up[own[some]], closed[some]))
 
-    def enter(self, k: int, own: np.ndarray, n: np.ndarray) -> None:
+    def enter(self, k: int, own: np.ndarray, n: np.ndarray, come_back: bool = False) -> None:
         """``n`` customers of each of the distinct dishes ``own`` of level k sit down; the first at an empty dish opens a table."""
         level = self.levels[k]
         c, t = level.c[own], level.t[own]
         first = (c == 0).astype(np.int64)
         new = level.fresh(own) * self.base(k, own)
         opened = first + self._draw(n - first, new / (new + np.maximum(c + first - level.discount * (t + first), 0)))
-        level.move(own, n, opened)
+        level.move(own, n, opened, come_back)
         if level.up is not None and len(some := np.flatnonzero(opened)):
             self.enter(k + 1, *_summed_by(level.up[own[some]], opened[some]))
 
@@ -256,8 +268,8 @@ class Seating:
             own = np.flatnonzero(due)
             while len(own):
                 n = np.minimum(run[own], due[own])
-                self.leave(k, own, n)
-                self.enter(k, own, n)
+                self.leave(k, own, n, come_back=True)
+                self.enter(k, own, n, come_back=True)
                 due[own] -= n
                 own = own[due[own] > 0]
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import random
 import re
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -92,3 +93,63 @@ def line_dedup_rows(rows, least=5):
         kept = t if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if i not in mine)
         out.append((kept, sum(not v for v in mine.values()), sum(mine.values())))
     return out
+
+
+def pitman_yor(dish, context, counts, kind, discounts, theta, types, burn_in, samples, seed=1):
+    """Averaged predictions of (dish, context) entries; restaurants: contexts, their kinds, the root; tables are lists of sizes."""
+    rnd = random.Random(seed)
+    tables = [{}, {}, {}]
+    totals = [{}, {}, {}]
+
+    def at(level, c):
+        return (c, int(kind[c]), 0)[level]
+
+    def p(level, w, c):
+        if level == 3:
+            return 1 / (types + 1)
+        own = tables[level].get((at(level, c), w), [])
+        n, t = totals[level].get(at(level, c), (0, 0))
+        return (sum(own) - discounts[level] * len(own) + (theta + discounts[level] * t) * p(level + 1, w, c)) / (theta + n)
+
+    def change(level, c, n, t):
+        a, b = totals[level].get(at(level, c), (0, 0))
+        totals[level][at(level, c)] = (a + n, b + t)
+
+    def sit(level, w, c):
+        if level == 3:
+            return
+        own = tables[level].setdefault((at(level, c), w), [])
+        d, t = discounts[level], totals[level].get(at(level, c), (0, 0))[1]
+        weights = [n - d for n in own] + [(theta + d * t) * p(level + 1, w, c)]
+        k = rnd.choices(range(len(weights)), weights)[0]
+        if k == len(own):
+            own.append(0)
+            sit(level + 1, w, c)
+            change(level, c, 0, 1)
+        own[k] += 1
+        change(level, c, 1, 0)
+
+    def rise(level, w, c):
+        if level == 3:
+            return
+        own = tables[level][at(level, c), w]
+        k = rnd.choices(range(len(own)), own)[0]
+        own[k] -= 1
+        change(level, c, -1, 0)
+        if not own[k]:
+            own.pop(k)
+            change(level, c, 0, -1)
+            rise(level + 1, w, c)
+
+    customers = [(int(w), int(c)) for w, c, n in zip(dish, context, counts) for _ in range(int(n))]
+    for w, c in customers:
+        sit(0, w, c)
+    out = [0.0] * len(dish)
+    for sweep in range(burn_in + samples):
+        for w, c in customers:
+            rise(0, w, c)
+            sit(0, w, c)
+        if sweep >= burn_in:
+            for k, (w, c) in enumerate(zip(dish, context)):
+                out[k] += p(0, int(w), int(c)) / samples
+    return out

@@ -74,91 +74,121 @@ def test_scores_of_odd_rows(spark):
     assert all(r["n_known"] == 0 and r["train_tokens"] == 0 and r["score"] == 0 for r in none)
 
 
-def entries(seed, dishes=40):
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(pitman_yor, "BUCKET_CHARS", 150_000)
+    docs = shared.read(spark, SMALL, "documents")
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    for partitions, parts, chars in (("4", 2, 16_000_000), ("16", 5, 60_000)):
+        monkeypatch.setattr(pitman_yor, "BLOCK_CHARS", chars)
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        rows = pitman_yor.score(docs.repartition(parts, "doc_id"), F.col("doc_id") % 3 != 0).collect()
+        found.append({r["doc_id"]: (r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 6)) for r in rows})
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1]
+
+
+def seating(dish, context, counts, kind, discounts=None, types=None, seed=0):
+    """A bucket that holds everything."""
+    n = len(kind)
+    customers, tables = np.bincount(context, counts, n).astype(np.int64), np.bincount(context, counts > 0, n).astype(np.int64)
+    known = counts > 0
+    pair, below = np.unique(dish[known] * pitman_yor.CLASSES + kind[context[known]], return_counts=True)
+    above = np.unique(pair // pitman_yor.CLASSES, return_counts=True)[1]
+    kinds = pair % pitman_yor.CLASSES
+    parents = (np.bincount(kinds, below, pitman_yor.CLASSES), np.bincount(kinds, minlength=pitman_yor.CLASSES))
+    whole = pitman_yor.Whole(int(counts.sum()), types or len(above), discounts or (0.6, 0.5, 0.4), parents, (np.array([above.sum()]), np.array([len(above)])))
+    return pitman_yor.Seating(dish, context, kind, counts, customers, tables, whole, seed)
+
+
+def entries(seed, dishes=40, contexts=30):
     rng = np.random.default_rng(seed)
-    pairs = sorted({(int(rng.integers(dishes)), int(rng.integers(pitman_yor.LEAVES))) for _ in range(150)} | {(d, 0) for d in range(dishes)})
-    dish, leaf = (np.array(c) for c in zip(*pairs))
-    return dish, leaf, rng.poisson(rng.exponential(6, len(dish))).astype(np.int64)
-
-
-def seated(level):
-    assert (level.size > 0).all() and (np.diff(level.at) >= 0).all()
-    assert np.array_equal(np.bincount(level.at, level.size, len(level.c)).astype(int), level.c)
-    assert np.array_equal(np.bincount(level.at, minlength=len(level.c)), level.t)
+    kind = np.sort(rng.integers(0, 5, contexts))
+    pairs = sorted({(int(rng.integers(dishes)), int(rng.integers(contexts))) for _ in range(300)} | {(d, 0) for d in range(dishes)})
+    dish, context = (np.array(c) for c in zip(*pairs))
+    return dish, context, rng.poisson(rng.exponential(6, len(dish))).astype(np.int64), kind
 
 
 @pytest.mark.parametrize("seed", range(3))
 def test_seatings_stay_whole(seed):
-    dish, leaf, counts = entries(seed)
-    s = pitman_yor.Seating(dish, leaf, counts, 1, 40, seed)
-    s.meet(s.statistics())
+    dish, context, counts, kind = entries(seed)
+    s = seating(dish, context, counts, kind, seed=seed)
     for _ in range(12):
         assert np.array_equal(s.levels[0].c, counts)
         for below, above in itertools.pairwise(s.levels):
             # A table is a customer of the parent.
             assert np.array_equal(np.bincount(below.up, below.t, len(above.c)).astype(int), above.c)
         for level in s.levels:
-            seated(level)
+            assert ((level.t <= level.c) & ((level.t > 0) == (level.c > 0))).all()
+            n = len(level.others[0])
+            assert np.array_equal(level.sums[0], np.bincount(level.restaurant, level.c, n)) and np.array_equal(level.sums[1], np.bincount(level.restaurant, level.t, n))
+            assert not level.others[0].any() and not level.others[1].any()
         s.sweep()
 
 
 def test_predictions_sum_to_one():
     """In one bucket that holds all known dishes in every restaurant, with one more for what is unknown."""
-    known = 30
-    dish, leaf = (x.ravel() for x in np.meshgrid(np.arange(known + 1), np.arange(pitman_yor.LEAVES), indexing="ij"))
+    known, contexts = 30, 20
+    dish, context = (x.ravel() for x in np.meshgrid(np.arange(known + 1), np.arange(contexts), indexing="ij"))
     counts = np.random.default_rng(0).poisson(2, len(dish)).astype(np.int64)
     counts[dish == known] = 0
-    s = pitman_yor.Seating(dish, leaf, counts, 1, known, 0)
-    s.meet(s.statistics())
-    p = s.averaged(2, 3)
-    assert np.allclose(np.bincount(leaf, p), 1)
-
-
-def test_gibbs_agrees_with_exact_posterior():
-    """Two customers of one dish in one restaurant: the share of one-table states is known in closed form."""
-    dish, leaf = np.array([0]), np.array([0])
-    s = pitman_yor.Seating(dish, leaf, np.array([2]), 1, 9, 1)
-    for level, d in zip(s.levels, (0.5, 0.5, 0.5), strict=True):
-        level.discount = d
-    # Weight of a second table at each level: (theta + d T) p_parent against (c - d t), with T counting one's own.
-    one = n = 0
-    for _ in range(6000):
-        s.sweep()
-        n += 1
-        one += int(s.levels[0].t[0] == 1)
-    d, theta, base = 0.5, pitman_yor.THETA, 1 / 10
-
-    def joint(t0, t1, t2):
-        """Probability of a state: Pitman-Yor partitions of 2, t0 and t1 customers, times the base for each root table."""
-        def partition(c, t):
-            if c == 1:
-                return 1.0
-            return (1 - d) / (theta + 1) if t == 1 else (theta + d) / (theta + 1)
-        return partition(2, t0) * partition(t0, t1) * partition(t1, t2) * base**t2
-    states = [(1, 1, 1), (2, 1, 1), (2, 2, 1), (2, 2, 2)]
-    total = sum(joint(*x) for x in states)
-    assert one / n == pytest.approx(joint(1, 1, 1) / total, abs=0.03)
+    p = seating(dish, context, counts, np.arange(contexts) // 4, types=known).averaged(2, 3)
+    assert np.allclose(np.bincount(context, p), 1)
+
+
+@pytest.mark.parametrize("d", [0.2, 0.7])
+def test_closing_probabilities(d):
+    """Against all ways to part customers, and near the edge of the table against what is used beyond it."""
+    def weight(sizes):
+        return math.prod(math.prod(j - d for j in range(1, n)) for n in sizes)
+
+    def partitions(n):
+        if n == 0:
+            yield []
+            return
+        for rest in partitions(n - 1):
+            yield [*rest, 1]
+            for i in range(len(rest)):
+                yield [x + (i == k) for k, x in enumerate(rest)]
+
+    known = pitman_yor.Closing(d)
+    for n in range(2, 8):
+        total, alone = Counter(), Counter()
+        for parts in partitions(n):
+            total[len(parts)] += weight(parts)
+        for parts in partitions(n - 1):
+            alone[len(parts) + 1] += weight(parts)
+        for t in range(1, n + 1):
+            assert known(np.array([n]), np.array([t]))[0] == pytest.approx(alone[t] / total[t], rel=1e-5)
+    at = np.array([2, 10, 60, 250])
+    c = np.full(4, pitman_yor.MOST_CUSTOMERS)
+    assert np.allclose(known(c + 1, at), known(c, at), rtol=0.07)
 
 
 def test_sweep_reseats_every_customer(monkeypatch):
     """Each customer of a dish with more than one leaves its table once a sweep, however many there are."""
-    dish, leaf = np.array([0, 0, 1, 2]), np.array([0, 9, 0, 5])
+    dish, context = np.array([0, 0, 1, 2]), np.array([0, 9, 0, 5])
     counts = np.array([20_000, 37, 2, 1])
-    s = pitman_yor.Seating(dish, leaf, counts, 1, 3, 4)
-    s.meet(s.statistics())
+    s = seating(dish, context, counts, np.arange(10) // 3)
     left = np.zeros(4, np.int64)
-    leave = s.levels[0].leave
+    leave = s.leave
 
-    def watched():
-        own, run, closed = leave()
-        left[own] += run
-        return own, run, closed
+    def watched(k, own, n, come_back=False):
+        if k == 0:
+            left[own] += n
+        leave(k, own, n, come_back)
 
-    monkeypatch.setattr(s.levels[0], "leave", watched)
+    monkeypatch.setattr(s, "leave", watched)
     s.sweep()
     assert left.tolist() == [20_000, 37, 2, 0] and s.levels[0].c.tolist() == counts.tolist()
-    for level in s.levels:
-        seated(level)
+
+
+def test_sampling_agrees_with_a_plain_model():
+    """Averaged predictions against a sampler that keeps every table and moves one customer at a time."""
+    dish, context, counts, kind = entries(5, dishes=12, contexts=8)
+    counts = np.minimum(counts, 9)
+    plain = brute.pitman_yor(dish, context, counts, kind, (0.6, 0.5, 0.4), pitman_yor.THETA, int(len(set(dish[counts > 0]))), 100, 900)
+    got = seating(dish, context, counts, kind).averaged(100, 900)
+    assert np.abs(np.log10(got) - np.log10(plain)).max() < 0.03
 
 
 # ---------------------------------------------------------------------- op 4
