@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cinderspark.functions import geo
 from cinderspark.functions import scalar as S
 from cinderspark.operators import kernels
 
@@ -125,19 +126,24 @@ def correlate_array(a: np.ndarray, kernel: np.ndarray) -> np.ndarray:
     return full[kernel.shape[0] - 1 : kernel.shape[0] - 1 + a.shape[0], kernel.shape[1] - 1 : kernel.shape[1] - 1 + a.shape[1]]
 
 
-def spread_array(a: np.ndarray, kernel: np.ndarray, iterations: int = 3) -> np.ndarray:
-    """``masked_mean_step`` repeated on an array."""
+def spread_steps(a: np.ndarray, kernel: np.ndarray, iterations: int = 3, kind=np.float32) -> list[np.ndarray]:
+    """``masked_mean_step`` repeated on an array: the start and the surface after each step."""
     gap = np.isnan(a)
-    out = np.where(gap, 0.0, a).astype(np.float32)
+    out = [np.where(gap, 0.0, a).astype(kind)]
     for _ in range(iterations):
-        c = correlate_array((out > 0).astype(np.float64), kernel)
-        s = correlate_array(out, kernel)
+        c = correlate_array((out[-1] > 0).astype(np.float64), kernel)
+        s = correlate_array(out[-1], kernel)
         c[c < TINY], s[s < TINY] = 0, 0
-        out = np.divide(s, c, out=np.zeros_like(s), where=c > 0).astype(np.float32)
-    out[gap] = np.nan
+        out.append(np.divide(s, c, out=np.zeros_like(s), where=c > 0).astype(kind))
+    for step in out:
+        step[gap] = np.nan
     return out
 
 
+def spread_array(a: np.ndarray, kernel: np.ndarray, iterations: int = 3) -> np.ndarray:
+    return spread_steps(a, kernel, iterations)[-1]
+
+
 def blur_array(a: np.ndarray, axis_weights: np.ndarray) -> np.ndarray:
     """Separable smoothing with mirrored edges; missing pixels spoil what they touch, as in the array library."""
     k = len(axis_weights) // 2
@@ -158,44 +164,48 @@ def with_halo(pixels: DataFrame, tile: int, halo: int, ny: int, nx: int) -> Data
     return pixels.withColumn("ty", F.explode(tiles("iy", ny))).withColumn("tx", F.explode(tiles("ix", nx)))
 
 
-def _dense(group: pd.DataFrame, column: str) -> tuple[np.ndarray, int, int]:
-    y0, x0 = int(group["iy"].min()), int(group["ix"].min())
-    out = np.full((int(group["iy"].max()) - y0 + 1, int(group["ix"].max()) - x0 + 1), np.nan)
-    out[group["iy"].to_numpy() - y0, group["ix"].to_numpy() - x0] = group[column].to_numpy(float)
-    return out, y0, x0
+def tile_stencil(pixels: DataFrame, value: str, ny: int, nx: int, tile: int, halo: int, function, names: Sequence[str], kind: str = "float") -> DataFrame:
+    """``function`` (array -> one array for each name) over tiles with halo; its results at the tiles' own pixels.
 
-
-def tile_stencil(pixels: DataFrame, value: str, ny: int, nx: int, tile: int, halo: int, function, names: Sequence[str]) -> DataFrame:
-    """``function`` (array -> one array for each name) over tiles with halo; its results in the tiles themselves.
-
-    A tile is bounded (tile + 2 halo squared); grid edges mirror, tile edges have true neighbours.
+    A tile's array covers the tile and its halo as far as the grid goes (tile + 2 halo squared at most), with NaN where
+    the table has no pixel: the grid's edges mirror, gaps do not, and a tile's edges have true neighbours.
     """
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        a, y0, x0 = _dense(group, value)
         ty, tx = int(group["ty"].iloc[0]) * tile, int(group["tx"].iloc[0]) * tile
-        rows = slice(max(ty - y0, 0), min(ty + tile, ny) - y0)
-        columns = slice(max(tx - x0, 0), min(tx + tile, nx) - x0)
-        results = [r[rows, columns] for r in function(a)]
-        iy, ix = np.mgrid[rows, columns]
-        flat = {name: r.ravel().astype(np.float32) for name, r in zip(names, results, strict=True)}
-        out = pd.DataFrame({"iy": (iy + y0).ravel().astype(np.int32), "ix": (ix + x0).ravel().astype(np.int32), **flat})
-        return out[out[["iy", "ix"]].apply(tuple, axis=1).isin(set(zip(group["iy"], group["ix"], strict=True)))] if len(group) < a.size else out
-
-    schema = "iy int, ix int, " + ", ".join(f"{n} float" for n in names)
+        y0, x0 = max(ty - halo, 0), max(tx - halo, 0)
+        shape = (min(ty + tile + halo, ny) - y0, min(tx + tile + halo, nx) - x0)
+        at = (group["iy"].to_numpy() - y0, group["ix"].to_numpy() - x0)
+        a, there = np.full(shape, np.nan), np.zeros(shape, bool)
+        a[at], there[at] = group[value].to_numpy(float), True
+        own = (slice(ty - y0, ty - y0 + tile), slice(tx - x0, tx - x0 + tile))
+        iy, ix = np.nonzero(there[own])
+        results = function(a) if len(iy) else [a] * len(names)
+        flat = {name: r[own][iy, ix].astype(np.float32 if kind == "float" else np.float64) for name, r in zip(names, results, strict=True)}
+        return pd.DataFrame({"iy": (iy + ty).astype(np.int32), "ix": (ix + tx).astype(np.int32), **flat})
+
+    schema = "iy int, ix int, " + ", ".join(f"{n} {kind}" for n in names)
     rows = with_halo(pixels.select("iy", "ix", F.col(value).cast("double").alias(value)), tile, halo, ny, nx)
     return rows.groupBy("ty", "tx").applyInPandas(run, schema)
 
 
-def directional_spread(pixels: DataFrame, value: str, wind_kernels: dict[str, np.ndarray], ny: int, nx: int, iterations: int = 3, tile: int = 512) -> DataFrame:
-    """iy, ix and one spread surface for each direction, over tiles whose halo covers all iterations."""
-    names = list(wind_kernels)
+def directional_spread(
+    pixels: DataFrame, value: str, wind_kernels: dict[str, np.ndarray], ny: int, nx: int, iterations: int = 3, tile: int = 512, kind: str = "float", snapshots: bool = False
+) -> DataFrame:
+    """iy, ix and one spread surface for each direction, over tiles whose halo covers all iterations.
+
+    With ``snapshots``, the surface after each step besides, as ``{direction}_0`` (the start) and so on.
+    """
     halo = iterations * max(max(k.shape) // 2 for k in wind_kernels.values())
-    return tile_stencil(pixels, value, ny, nx, tile, halo, lambda a: [spread_array(a, wind_kernels[n], iterations) for n in names], names)
+    steps = lambda a, n: spread_steps(a, wind_kernels[n], iterations, np.float32 if kind == "float" else np.float64)
+    if not snapshots:
+        return tile_stencil(pixels, value, ny, nx, tile, halo, lambda a: [steps(a, n)[-1] for n in wind_kernels], list(wind_kernels), kind)
+    names = [f"{n}_{k}" for n in wind_kernels for k in range(iterations + 1)]
+    return tile_stencil(pixels, value, ny, nx, tile, halo, lambda a: [s for n in wind_kernels for s in steps(a, n)], names, kind)
 
 
-def gaussian_smooth(pixels: DataFrame, value: str, ny: int, nx: int, dlat: float, tile: int = 512, name: str = "smooth") -> DataFrame:
+def gaussian_smooth(pixels: DataFrame, value: str, ny: int, nx: int, dlat: float, tile: int = 512, name: str = "smooth", kind: str = "float") -> DataFrame:
     w = kernels.gaussian(dlat)
-    return tile_stencil(pixels, value, ny, nx, tile, len(w) // 2, lambda a: [blur_array(a, w)], [name])
+    return tile_stencil(pixels, value, ny, nx, tile, len(w) // 2, lambda a: [blur_array(a, w)], [name], kind)
 
 
 # -------------------------------------------------------------------- composites
@@ -266,17 +276,38 @@ def rasterize_boxes(boxes: DataFrame, lon0: float, lat0: float, dlon: float, dla
     return rows.groupBy("iy", "ix").agg(F.count(F.lit(1)).alias("n"))
 
 
+def rasterize_polygons(polygons: DataFrame, geometry: str, lon0: float, lat0: float, dlon: float, dlat: float, nx: int, ny: int) -> DataFrame:
+    """How many polygons (WKB) hold each pixel's centre, edges included: iy, ix, n (pixels in none are absent)."""
+    bounded = polygons.select(F.col(geometry).alias("_g"), geo.bbox_udf(F.col(geometry)).alias("_box")).select("_g", "_box.*")
+
+    def span(a, b, origin, step, n):
+        low, high = F.ceil((F.col(a) - F.lit(origin)) / F.lit(step) - 1e-9), F.floor((F.col(b) - F.lit(origin)) / F.lit(step) + 1e-9)
+        low, high = F.greatest(low, F.lit(0)).cast("int"), F.least(high, F.lit(n - 1)).cast("int")
+        return F.when(low <= high, F.sequence(low, high))
+
+    lines = bounded.withColumn("iy", F.explode(span("ymin", "ymax", lat0, dlat, ny))).withColumn("ix", F.explode(span("xmin", "xmax", lon0, dlon, nx)))
+    x, y = F.lit(lon0) + F.col("ix") * F.lit(dlon), F.lit(lat0) + F.col("iy") * F.lit(dlat)
+    return lines.where(geo.contains_udf(F.col("_g"), x, y)).groupBy("iy", "ix").agg(F.count(F.lit(1)).alias("n"))
+
+
+def reach(dlat: float, window: int = kernels.WINDOW, iterations: int = 3) -> int:
+    """How many pixels away the wind-informed surface still depends on its input."""
+    return 1 + iterations * (window // 2) + len(kernels.gaussian(dlat)) // 2
+
+
 def wind_informed_burn_probability(
-    pixels: DataFrame, value: str, distribution: DataFrame, ny: int, nx: int, lat0: float, lon0: float, dlat: float, dlon: float, window: int = kernels.WINDOW, tile: int = 512
+    pixels: DataFrame, value: str, distribution: DataFrame, ny: int, nx: int, lat0: float, lon0: float, dlat: float, dlon: float,
+    window: int = kernels.WINDOW, tile: int = 512, kind: str = "float", wind: dict[str, np.ndarray] | None = None,
 ) -> DataFrame:
     """iy, ix, bp: gaps filled, spread by direction, weighted by the wind, put where nothing burns, smoothed.
 
-    ``distribution`` has iy, ix and ``distribution`` (eight shares). Kernels are those of the grid's middle.
+    ``distribution`` has iy, ix and ``distribution`` (eight shares). Kernels are those of the grid's middle, if none are given. Of a part
+    of the grid, only pixels ``reach`` away from what is missing have their final values.
     """
-    wind = kernels.wind_kernels(lat0 + dlat * (ny // 2), lon0 + dlon * (nx // 2), dlat, dlon, window)
+    wind = wind or kernels.wind_kernels(lat0 + dlat * (ny // 2), lon0 + dlon * (nx // 2), dlat, dlon, window)
     filled = gap_fill(pixels.select("iy", "ix", value), value, "filled").select("iy", "ix", F.col("filled").alias(value))
-    spread = directional_spread(filled, value, wind, ny, nx, tile=tile)
+    spread = directional_spread(filled, value, wind, ny, nx, tile=tile, kind=kind)
     weighted = spread.join(distribution.select("iy", "ix", "distribution"), ["iy", "ix"])
     weighted = weighted.select("iy", "ix", composite([F.col(d) for d in S.DIRECTIONS], "distribution").alias("smeared"))
     merged = weighted.join(filled, ["iy", "ix"]).select("iy", "ix", combine("smeared", value).alias("merged"))
-    return gaussian_smooth(merged, "merged", ny, nx, dlat, tile, "bp")
+    return gaussian_smooth(merged, "merged", ny, nx, dlat, tile, "bp", kind)

@@ -1,7 +1,8 @@
-"""Statistics of buildings by geography: one pass over the buildings, whatever the levels.
+"""Statistics of buildings by geography.
 
-The counts, means and histograms are partial aggregates, so only one row for each geography and
-task is shuffled; exact medians of large geographies come from bounded brackets.
+Counts, means and histograms of all levels are one rollup of partial aggregates, so only one row for each
+geography and task is shuffled. Medians do not add up: those of large geographies come from bounded
+brackets (two more passes, whatever the levels), those of small ones from one aggregation a level.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cinderspark.functions import scalar as S
+from cinderspark.operators import joins
 from cinderspark.operators.quantiles import exact_quantiles
 
 
@@ -47,7 +49,7 @@ def _names(values: Sequence[str], histograms: Sequence[str]) -> list[str]:
 
 
 def nested_statistics(buildings: DataFrame, levels: Sequence[tuple[str, Column]], values: Sequence[str], histograms: Sequence[str] = (), large: Sequence[str] = ("nation", "state", "county")) -> DataFrame:
-    """All levels of a nested geography, whole to finest, from one rollup of partial aggregates.
+    """All levels of a nested geography, whole to finest; all but the medians from one rollup of partial aggregates.
 
     Returns ``level`` (its name) and ``GEOID``; the whole is level ``nation`` with GEOID ``US``.
     Medians do not add up: those of the ``large`` levels come from bounded brackets
@@ -79,6 +81,22 @@ def nested_statistics(buildings: DataFrame, levels: Sequence[tuple[str, Column]]
     return _with_medians(stats, found, ["level", "GEOID"], values, order)
 
 
+def polygon_statistics(
+    buildings: DataFrame, polygons: DataFrame, x: str, y: str, size: float, values: Sequence[str], histograms: Sequence[str] = (), key: str = "GEOID", geometry: str = "geometry",
+    large: bool = False,
+) -> DataFrame:
+    """Statistics of the buildings in each polygon, with the polygons' attributes and shapes.
+
+    A building is in every polygon that its place is in or on. Cells of ``size`` degrees find the candidates; only
+    keys and values go through the aggregation, attributes and shapes join its few rows. Polygons without buildings are absent.
+    """
+    shapes = polygons.select(F.col(key).alias("_key"), F.col(geometry).alias("_shape"))
+    columns = list(dict.fromkeys([x, y, *values, *histograms]))
+    met = joins.spatial_join(buildings.select(*columns), shapes, x, y, "_shape", size).drop("_shape")
+    found = regional_statistics(met.drop(*[c for c in (x, y) if c not in (*values, *histograms)]), "_key", values, histograms, large)
+    return found.withColumnRenamed("GEOID", key).join(polygons, key)
+
+
 def with_names(statistics_: DataFrame, names: DataFrame, on: str = "GEOID") -> DataFrame:
     """Attributes joined to the few aggregated rows, not to the buildings."""
     return statistics_.join(names, on, "left")

@@ -16,61 +16,42 @@ _B = T.with_sql(b=T.BUILDINGS)
 GRID = grid.Grid(ny=400, nx=580, cy=60, cx=45, lat0=24.0, lon0=-125.0, dlat=0.1, dlon=0.1)
 
 
-def _counties(spark, d):
-    """Suppliers as axis-aligned areas of a few degrees."""
-    s = T.table(spark, d, "supplier")
-    x, y = F.lit(-125.0) + (F.col("s_suppkey") * 7 % 560) / 10.0, F.lit(24.0) + (F.col("s_suppkey") * 3 % 240) / 10.0
-    return s.select(F.col("s_suppkey").alias("area_id"), x.alias("xmin"), y.alias("ymin"), (x + 1.5).alias("xmax"), (y + 0.8).alias("ymax"))
-
-
-COUNTIES = """SELECT area_id, x AS xmin, y AS ymin, x + 1.5 AS xmax, y + 0.8::DOUBLE AS ymax FROM (
-SELECT s_suppkey AS area_id, CAST(-125 AS DOUBLE) + (s_suppkey * 7 % 560) / 10::DOUBLE AS x, CAST(24 AS DOUBLE) + (s_suppkey * 3 % 240) / 10::DOUBLE AS y FROM supplier)"""
-
-
 def box_join(spark, d):
-    met = joins.points_in_boxes(T.buildings(spark, d).select("lon", "lat", "rps_2011"), _counties(spark, d), "lon", "lat", 1.5)
+    met = joins.points_in_boxes(T.buildings(spark, d).select("lon", "lat", "rps_2011"), T.areas(spark, d), "lon", "lat", 1.5)
     return met.groupBy("area_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("rps_2011"), 6).alias("mean"))
 
 
-BOX_SQL = T.with_sql(b=T.BUILDINGS, c=COUNTIES) + """ SELECT area_id, count(*) AS n, round(avg(rps_2011), 6) AS mean
+BOX_SQL = T.with_sql(b=T.BUILDINGS, c=T.AREAS) + """ SELECT area_id, count(*) AS n, round(avg(rps_2011), 6) AS mean
 FROM b JOIN c ON lon BETWEEN xmin AND xmax AND lat BETWEEN ymin AND ymax GROUP BY area_id"""
 
 
 def overlap_join(spark, d):
-    met = joins.overlapping_boxes(R.order_boxes(spark, d), _counties(spark, d), 1.0, "o", "c")
+    met = joins.overlapping_boxes(R.order_boxes(spark, d), T.areas(spark, d), 1.0, "o", "c")
     return met.groupBy("c_area_id").agg(F.count(F.lit(1)).alias("n"), F.min("o_box_id").alias("first"))
 
 
-OVERLAP_SQL = T.with_sql(o=R.BOXES, c=COUNTIES) + """ SELECT area_id AS c_area_id, count(*) AS n, min(box_id) AS first FROM o JOIN c
+OVERLAP_SQL = T.with_sql(o=R.BOXES, c=T.AREAS) + """ SELECT area_id AS c_area_id, count(*) AS n, min(box_id) AS first FROM o JOIN c
 ON o.xmin <= c.xmax AND o.xmax >= c.xmin AND o.ymin <= c.ymax AND o.ymax >= c.ymin GROUP BY area_id"""
 
 
-def _polygons(spark, d):
-    """Suppliers as triangles (WKB), from their corners' text."""
-    c = _counties(spark, d)
-    n = lambda col: F.format_string("%.17g", F.col(col))
-    ring = F.concat(F.lit("POLYGON(("), n("xmin"), F.lit(" "), n("ymin"), F.lit(", "), n("xmax"), F.lit(" "), n("ymin"), F.lit(", "), n("xmin"), F.lit(" "), n("ymax"), F.lit(", "), n("xmin"), F.lit(" "), n("ymin"), F.lit("))"))
-    return c.select("area_id", geo.from_wkt_udf(ring).alias("geometry"))
-
-
 def polygon_join(spark, d):
     """Points moved off the edges in triangles."""
     points = T.buildings(spark, d).select((F.col("lon") + 0.031).alias("lon"), (F.col("lat") + 0.017).alias("lat"), "rps_2011")
-    met = joins.spatial_join(points, _polygons(spark, d), "lon", "lat", "geometry", 1.5)
+    met = joins.spatial_join(points, T.triangles(spark, d), "lon", "lat", "geometry", 1.5)
     return met.groupBy("area_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("rps_2011"), 6).alias("mean"))
 
 
-POLYGON_SQL = T.with_sql(b=T.BUILDINGS, c=COUNTIES, q="SELECT lon + 0.031::DOUBLE AS x, lat + 0.017::DOUBLE AS y, rps_2011 FROM b") + """
+POLYGON_SQL = T.with_sql(b=T.BUILDINGS, c=T.AREAS, q="SELECT lon + 0.031::DOUBLE AS x, lat + 0.017::DOUBLE AS y, rps_2011 FROM b") + """
 SELECT area_id, count(*) AS n, round(avg(rps_2011), 6) AS mean FROM q JOIN c ON x >= xmin AND y >= ymin AND (xmax - xmin) * (y - ymin) + (ymax - ymin) * (x - xmin) <= (xmax - xmin) * (ymax - ymin)
 GROUP BY area_id"""
 
 
 def centroids(spark, d):
-    p = _polygons(spark, d).withColumn("c", geo.centroid_udf("geometry")).withColumn("box", geo.bbox_udf("geometry"))
+    p = T.triangles(spark, d).withColumn("c", geo.centroid_udf("geometry")).withColumn("box", geo.bbox_udf("geometry"))
     return p.select("area_id", F.round("c.x", 6).alias("x"), F.round("c.y", 6).alias("y"), F.round(geo.area_udf("geometry"), 6).alias("area"), F.round("box.xmax", 6).alias("xmax"), F.round("box.ymin", 6).alias("ymin"))
 
 
-CENTROIDS_SQL = T.with_sql(c=COUNTIES) + """ SELECT area_id, round((2 * xmin + xmax) / 3, 6) AS x, round((2 * ymin + ymax) / 3, 6) AS y,
+CENTROIDS_SQL = T.with_sql(c=T.AREAS) + """ SELECT area_id, round((2 * xmin + xmax) / 3, 6) AS x, round((2 * ymin + ymax) / 3, 6) AS y,
 round((xmax - xmin) * (ymax - ymin) / 2, 6) AS area, round(xmax, 6) AS xmax, round(ymin, 6) AS ymin FROM c"""
 
 
@@ -202,32 +183,32 @@ ASCENDING_SQL = T.with_sql(p=T.PIXELS, a="SELECT iy, max(lat) AS lat FROM p GROU
 def semi_join(spark, d):
     """Orders' boxes that any area touches: each once, whatever the number of areas."""
     boxes = R.order_boxes(spark, d)
-    met = joins.overlapping_boxes(boxes, _counties(spark, d), 1.0, "o", "c").select(F.col("o_box_id").alias("box_id"))
+    met = joins.overlapping_boxes(boxes, T.areas(spark, d), 1.0, "o", "c").select(F.col("o_box_id").alias("box_id"))
     kept = boxes.join(met, "box_id", "left_semi")
     return kept.select("box_id", F.round("xmin", 6).alias("xmin"), F.round("ymax", 6).alias("ymax"))
 
 
-SEMI_SQL = T.with_sql(o=R.BOXES, c=COUNTIES) + """ SELECT box_id, round(xmin, 6) AS xmin, round(ymax, 6) AS ymax FROM o
+SEMI_SQL = T.with_sql(o=R.BOXES, c=T.AREAS) + """ SELECT box_id, round(xmin, 6) AS xmin, round(ymax, 6) AS ymax FROM o
 WHERE EXISTS (FROM c WHERE o.xmin <= c.xmax AND o.xmax >= c.xmin AND o.ymin <= c.ymax AND o.ymax >= c.ymin)"""
 
 
 def polygon_overlap(spark, d):
     """Triangles against boxes (both WKB): candidates by cells, decided on the shapes."""
     wkb = lambda df: df.withColumn("shape", geo.from_wkt_udf(F.format_string("POLYGON((%1$.17g %2$.17g, %3$.17g %2$.17g, %3$.17g %4$.17g, %1$.17g %4$.17g, %1$.17g %2$.17g))", "xmin", "ymin", "xmax", "ymax")))
-    areas = _counties(spark, d).join(_polygons(spark, d), "area_id")
+    areas = T.areas(spark, d).join(T.triangles(spark, d), "area_id")
     met = joins.overlapping_boxes(wkb(R.order_boxes(spark, d)), areas, 1.0, "o", "c")
     return met.where(geo.intersects_udf("o_shape", "c_geometry")).groupBy("c_area_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 # A box meets a right triangle if it meets its box and its lower left corner, held to the triangle's box, is below the long side.
-POLYGON_OVERLAP_SQL = T.with_sql(o=R.BOXES, c=COUNTIES) + """ SELECT area_id AS c_area_id, count(*) AS n FROM o JOIN c
+POLYGON_OVERLAP_SQL = T.with_sql(o=R.BOXES, c=T.AREAS) + """ SELECT area_id AS c_area_id, count(*) AS n FROM o JOIN c
 ON o.xmin <= c.xmax AND o.xmax >= c.xmin AND o.ymin <= c.ymax AND o.ymax >= c.ymin
 AND (c.xmax - c.xmin) * (greatest(o.ymin, c.ymin) - c.ymin) + (c.ymax - c.ymin) * (greatest(o.xmin, c.xmin) - c.xmin) <= (c.xmax - c.xmin) * (c.ymax - c.ymin) GROUP BY area_id"""
 
 
 def feature_lines(spark, d):
     """Areas as the GeoJSON features that the writers make, read back field by field."""
-    made = sinks.features(_polygons(spark, d).withColumn("name", F.when(F.col("area_id") % 2 == 0, F.concat(F.lit("area "), F.col("area_id")))))
+    made = sinks.features(T.triangles(spark, d).withColumn("name", F.when(F.col("area_id") % 2 == 0, F.concat(F.lit("area "), F.col("area_id")))))
     field = lambda path: F.get_json_object("value", path)
     return made.select(
         field("$.properties.area_id").cast("long").alias("area_id"), field("$.properties.name").alias("name"), field("$.geometry.type").alias("kind"),
@@ -235,7 +216,7 @@ def feature_lines(spark, d):
     )
 
 
-FEATURES_SQL = T.with_sql(c=COUNTIES) + """ SELECT area_id, CASE WHEN area_id % 2 = 0 THEN 'area ' || area_id END AS name, 'Polygon' AS kind, round(xmax, 6) AS x1, area_id % 2 <> 0 AS null_kept FROM c"""
+FEATURES_SQL = T.with_sql(c=T.AREAS) + """ SELECT area_id, CASE WHEN area_id % 2 = 0 THEN 'area ' || area_id END AS name, 'Polygon' AS kind, round(xmax, 6) AS x1, area_id % 2 <> 0 AS null_kept FROM c"""
 
 
 def catalog_query(spark, d):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cinderspark.functions import scalar as S
-from cinderspark.operators import grid, raster
+from cinderspark.operators import grid, kernels, raster
 from cinderspark.plans import tables as T
 
 _P = T.with_sql(p=T.PIXELS, g="SELECT max(iy) + 1 AS ny, max(ix) + 1 AS nx FROM p")
@@ -221,6 +221,54 @@ def burn_probability(spark, d):
     return raster.wind_informed_burn_probability(p, "v", distribution, ny, nx, 35.0, -120.0, 0.00027, 0.00033, tile=64)
 
 
+#: A coarse step, at which the wind's ellipse covers a few pixels.
+COARSE, WINDOW = 0.0018, 5
+
+
+def small_burn_probability(spark, d):
+    """The whole surface on tiles of eight pixels, with kernels of five by five, in double precision."""
+    p = T.pixels(spark, d)
+    ny, nx = T.shape(p)
+    shares = F.array(*[(1.0 + (F.col("iy") + F.col("ix") * (k + 1)) % 5).cast("double") for k in range(8)])
+    distribution = p.select("iy", "ix", shares.alias("distribution"))
+    wind = kernels.wind_kernels(35.0, -120.0, COARSE, COARSE, WINDOW)
+    out = raster.wind_informed_burn_probability(p, "v", distribution, ny, nx, 35.0, -120.0, COARSE, COARSE, tile=8, kind="double", wind=wind)
+    return out.select("iy", "ix", _round("bp"))
+
+
+def _small_burn_probability_sql() -> str:
+    values = []
+    for direction, k in kernels.wind_kernels(35.0, -120.0, COARSE, COARSE, WINDOW).items():
+        at = S.DIRECTIONS.index(direction)
+        values += [f"({at}, {dy}, {dx}, CAST({w!r} AS DOUBLE))" for dy, dx, w in kernels.taps(k)]
+    gauss = kernels.gaussian(COARSE)
+    g = ", ".join(f"({k - len(gauss) // 2}, CAST({float(w)!r} AS DOUBLE))" for k, w in enumerate(gauss))
+    out = GAP_SQL.replace("SELECT k.iy, k.ix, round(CASE", ", f AS (SELECT k.iy, k.ix, CASE").replace("ELSE v END, 9) AS filled FROM k", "ELSE v END AS v FROM k") + ")"
+    out += f""", t AS (SELECT * FROM (VALUES {', '.join(values)}) AS t(dir, dy, dx, w)),
+a AS (SELECT dir, f.iy, f.ix, {_mirror('f.iy + dy', 'ny')} AS sy, {_mirror('f.ix + dx', 'nx')} AS sx, t.w FROM f, g, t), z AS (SELECT dir, iy, ix, v FROM f, (SELECT DISTINCT dir FROM t))"""
+    last = "z"
+    for n in range(3):
+        out += f""", c{n} AS (SELECT a.dir, a.iy, a.ix, sum(a.w * s.v) AS s, sum(a.w * CASE WHEN s.v > 0 THEN 1 ELSE 0 END) AS c FROM a JOIN {last} s ON s.dir = a.dir AND s.iy = sy AND s.ix = sx GROUP BY ALL),
+s{n} AS (SELECT dir, iy, ix, CASE WHEN c >= 10e-12 THEN CASE WHEN s < 10e-12 THEN 0 ELSE s END / c ELSE 0 END AS v FROM c{n})"""
+        last = f"s{n}"
+    share = "(1.0::DOUBLE + (iy + ix * (dir + 1)) % 5)"
+    return f"""{out}, h AS (SELECT iy, ix, sum(v * {share}) / sum({share}) AS v FROM {last} GROUP BY iy, ix),
+mm AS (SELECT f.iy, f.ix, CASE WHEN f.v = 0 THEN h.v ELSE f.v END AS v FROM f JOIN h ON h.iy = f.iy AND h.ix = f.ix), q AS (SELECT * FROM (VALUES {g}) AS q(o, w)),
+b AS (SELECT k.iy, k.ix, sum(k.w * s.v) AS v FROM (SELECT mm.iy, mm.ix, {_mirror('mm.iy + o', 'ny')} AS sy, q.w FROM mm, g, q) k JOIN mm s ON s.ix = k.ix AND s.iy = sy GROUP BY ALL)
+SELECT k.iy, k.ix, round(sum(k.w * s.v), 9) AS bp FROM (SELECT b.iy, b.ix, {_mirror('b.ix + o', 'nx')} AS sx, q.w FROM b, g, q) k JOIN b s ON s.iy = k.iy AND s.ix = sx GROUP BY ALL"""
+
+
+def polygon_counts(spark, d):
+    """How many triangles hold each pixel's centre; the raster is moved off their corners."""
+    p = T.pixels(spark, d)
+    ny, nx = T.shape(p)
+    return raster.rasterize_polygons(T.triangles(spark, d), "geometry", T.LON0 + 0.031, T.LAT0 + 0.017, T.STEP, T.STEP, nx, ny)
+
+
+POLYGON_COUNTS_SQL = f"""{_P}, c AS ({T.AREAS}), q AS (SELECT iy, ix, {T.LON0}::DOUBLE + 0.031::DOUBLE + ix * 0.1::DOUBLE AS x, {T.LAT0}::DOUBLE + 0.017::DOUBLE + iy * 0.1::DOUBLE AS y FROM p)
+SELECT iy, ix, count(*) AS n FROM q JOIN c ON x >= xmin AND y >= ymin AND (xmax - xmin) * (y - ymin) + (ymax - ymin) * (x - xmin) <= (xmax - xmin) * (ymax - ymin) GROUP BY iy, ix"""
+
+
 QUERIES = {
     "shift4": (shift4, SHIFT_SQL),
     "rolling3x3": (rolling, ROLLING_SQL),
@@ -240,5 +288,7 @@ QUERIES = {
     "point_select": (point_select, POINT_SQL),
     "extent": (extent, EXTENT_SQL),
     "mercator_inverse": (mercator, MERCATOR_SQL),
+    "rasterize_polygons": (polygon_counts, POLYGON_COUNTS_SQL),
+    "wind_informed_bp_small": (small_burn_probability, _small_burn_probability_sql()),
     "wind_informed_bp": (burn_probability, None),
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cinderspark.functions import geo
 from cinderspark.functions import scalar as S
 from cinderspark.operators import regional
 from cinderspark.plans import tables as T
@@ -161,7 +162,25 @@ def match_sql() -> str:
     return f"{_B} SELECT n_name, round(avg(CASE WHEN {score('rps_2011')} = {score('rps_2047')} THEN 1 ELSE 0 END), 9) AS match_rate, bool_and(bp_2011 = 0) AS all_zero FROM b GROUP BY n_name"
 
 
+def by_polygon(spark, d):
+    """Buildings by the triangles that hold them, with a name of each and its shape's centre."""
+    b = T.buildings(spark, d).select((F.col("lon") + 0.031).alias("lon"), (F.col("lat") + 0.017).alias("lat"), "rps_2011", "rps_2047")
+    named = T.triangles(spark, d).withColumn("NAME", F.concat(F.lit("area "), F.col("area_id")))
+    s = regional.polygon_statistics(b, named, "lon", "lat", 1.5, ["rps_2011", "rps_2047"], ["rps_2011"], key="area_id")
+    s = s.withColumn("c", geo.centroid_udf("geometry"))
+    rounded = [F.round(F.col(c).cast("double"), 6).alias(c) for c in ("rps_2011_mean", "rps_2047_mean", "rps_2011_median", "rps_2047_median")]
+    return s.select("area_id", "NAME", "building_count", *rounded, F.col("rps_2011_score_hist")[0].alias("zeros"), F.round("c.x", 6).alias("x"), F.round("c.y", 6).alias("y"))
+
+
+BY_POLYGON_SQL = T.with_sql(b=T.BUILDINGS, c=T.AREAS, q="SELECT lon + 0.031::DOUBLE AS x, lat + 0.017::DOUBLE AS y, rps_2011, rps_2047 FROM b") + """
+SELECT area_id, 'area ' || area_id AS NAME, count(*) AS building_count, round(avg(CAST(rps_2011 AS DOUBLE)), 6) AS rps_2011_mean, round(avg(CAST(rps_2047 AS DOUBLE)), 6) AS rps_2047_mean,
+round(CAST(CAST(median(CAST(rps_2011 AS DOUBLE)) AS FLOAT) AS DOUBLE), 6) AS rps_2011_median, round(CAST(CAST(median(CAST(rps_2047 AS DOUBLE)) AS FLOAT) AS DOUBLE), 6) AS rps_2047_median,
+count(*) FILTER (rps_2011 = 0) AS zeros, round((2 * min(xmin) + min(xmax)) / 3, 6) AS x, round((2 * min(ymin) + min(ymax)) / 3, 6) AS y
+FROM q JOIN c ON x >= xmin AND y >= ymin AND (xmax - xmin) * (y - ymin) + (ymax - ymin) * (x - xmin) <= (xmax - xmin) * (ymax - ymin) GROUP BY area_id"""
+
+
 QUERIES = {
+    "regional_stats_polygon": (by_polygon, BY_POLYGON_SQL),
     "regional_stats_nation": (by_nation, f"{_B} SELECT n_name AS GEOID, {_statistics_sql()} FROM b GROUP BY n_name"),
     "regional_stats_state": (by_prefix(2), prefix_sql(2)),
     "regional_stats_county": (by_prefix(5), prefix_sql(5)),

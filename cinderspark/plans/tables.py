@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cinderspark.functions import geo
+
 NX = 50
 LON0, LAT0, STEP = -125.0, 24.0, 0.1
 
@@ -69,6 +71,25 @@ def shape(pixels_: DataFrame) -> tuple[int, int]:
     return (row["y"] or 0) + 1, (row["x"] or 0) + 1
 
 
+def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as axis-aligned areas of a few degrees."""
+    s = table(spark, sf_dir, "supplier")
+    x, y = F.lit(-125.0) + (F.col("s_suppkey") * 7 % 560) / 10.0, F.lit(24.0) + (F.col("s_suppkey") * 3 % 240) / 10.0
+    return s.select(F.col("s_suppkey").alias("area_id"), x.alias("xmin"), y.alias("ymin"), (x + 1.5).alias("xmax"), (y + 0.8).alias("ymax"))
+
+
+AREAS = """SELECT area_id, x AS xmin, y AS ymin, x + 1.5 AS xmax, y + 0.8::DOUBLE AS ymax FROM (
+SELECT s_suppkey AS area_id, CAST(-125 AS DOUBLE) + (s_suppkey * 7 % 560) / 10::DOUBLE AS x, CAST(24 AS DOUBLE) + (s_suppkey * 3 % 240) / 10::DOUBLE AS y FROM supplier)"""
+
+
+def triangles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as triangles (WKB), from their corners' text."""
+    c = areas(spark, sf_dir)
+    n = lambda col: F.format_string("%.17g", F.col(col))
+    ring = F.concat(F.lit("POLYGON(("), n("xmin"), F.lit(" "), n("ymin"), F.lit(", "), n("xmax"), F.lit(" "), n("ymin"), F.lit(", "), n("xmin"), F.lit(" "), n("ymax"), F.lit(", "), n("xmin"), F.lit(" "), n("ymin"), F.lit("))"))
+    return c.select("area_id", geo.from_wkt_udf(ring).alias("geometry"))
+
+
 def hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as hourly weather: pixel, ts, degrees, rh, t_f, wind."""
     n = F.col("event_id")

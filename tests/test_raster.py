@@ -74,6 +74,34 @@ def test_tiles_equal_whole(spark):
     assert np.allclose(array(smooth, "smooth", a.shape), raster.blur_array(np.nan_to_num(a), kernels.gaussian(0.001)), rtol=1e-5, atol=1e-7)
 
 
+@pytest.mark.parametrize("gone", [slice(16, 51), slice(48, 64), slice(28, 37), slice(0, 64)])
+def test_tiles_of_sparse_rasters(spark, gone):
+    """Rows without pixels are gaps, whatever the tiles."""
+    rng = np.random.default_rng(8)
+    a = np.where(rng.random((64, 64)) < 0.3, 0, rng.random((64, 64)))
+    a[gone] = np.nan
+    there = frame(spark, a).where("v is not null")
+    k = {"N": kernels.wind_kernels(35.0, -120.0, 0.0018, 0.0018, window=5)["N"]}
+    want = raster.spread_array(a, k["N"], 2)
+    smooth = raster.blur_array(a, kernels.gaussian(0.001))
+    for tile in (8, 32, 64):
+        got = raster.directional_spread(there, "v", k, 64, 64, iterations=2, tile=tile)
+        assert got.count() == there.count()
+        assert np.allclose(array(got, "N", a.shape), want, rtol=1e-5, atol=1e-7, equal_nan=True)
+        blurred = raster.gaussian_smooth(there.withColumn("v", F.col("v")), "v", 64, 64, 0.001, tile=tile)
+        got = array(blurred, "smooth", a.shape)
+        known = ~np.isnan(a)
+        assert np.allclose(got[known], smooth[known], rtol=1e-5, atol=1e-7, equal_nan=True)
+
+
+def test_snapshots(spark):
+    a = np.where(np.random.default_rng(2).random((12, 14)) < 0.4, 0, 0.5)
+    k = {"W": kernels.wind_kernels(35.0, -120.0, 0.0018, 0.0018, window=5)["W"]}
+    got = raster.directional_spread(frame(spark, a), "v", k, 12, 14, iterations=2, tile=8, snapshots=True)
+    for n, want in enumerate(raster.spread_steps(a, k["W"], 2)):
+        assert np.allclose(array(got, f"W_{n}", a.shape), want, rtol=1e-6)
+
+
 def test_tiles_equal_tap_join(spark):
     rng = np.random.default_rng(1)
     a = np.where(rng.random((12, 14)) < 0.4, 0, rng.random((12, 14)))

@@ -1,3 +1,4 @@
+import csv
 import json
 
 import numpy as np
@@ -41,6 +42,56 @@ def test_whole_run(spark, tmp_path):
     assert sinks.processed(spark, s.path("ledger")).count() == 9
 
 
+def test_one_region_reads_its_pixels_only(spark, tmp_path):
+    """Pixels beyond the region's reach do not matter, and a filter on them reaches the scan."""
+    from dataclasses import replace
+
+    s = replace(inputs(spark, tmp_path), window=3)
+    whole = replace(s, output=str(tmp_path / "whole"))
+    risk.process_regions(spark, whole)
+    margin = risk.raster.reach(s.cell_degrees, s.window)
+    near = risk.near_regions(s, ["y0_x0"], margin)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = spark.read.parquet(s.pixels).where(near)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "PushedFilters: [" in plan and f"LessThanOrEqual(ix,{9 + margin})" in plan
+    spoilt = spark.read.parquet(s.pixels).withColumn("bp_2011_riley", F.when(near, F.col("bp_2011_riley")).otherwise(1e6))
+    assert spoilt.where("bp_2011_riley = 1e6").count() > 0
+    spoilt.write.parquet(str(tmp_path / "spoilt"))
+    one = replace(s, pixels=str(tmp_path / "spoilt"), output=str(tmp_path / "one"))
+    assert risk.process_regions(spark, one, ["y0_x0"]) == ["y0_x0"]
+    rows = lambda x: sorted((r["GEOID"], round(r["rps_2011"], 9)) for r in spark.read.parquet(x.path("regions")).where("region_id = 'y0_x0'").collect())
+    assert rows(one) == rows(whole) and len(rows(one)) > 5
+    assert spark.read.parquet(one.path("regions")).where("region_id <> 'y0_x0'").count() == 0
+
+
+def test_boxes_of_regions(spark):
+    s = risk.Settings(chunk=10)
+    condition = str(risk.near_regions(s, ["y0_x0", "y0_x1", "y1_x0", "y1_x1", "y2_x5", "y2_x7"], 2))
+    assert condition.count("iy") == 6  # three boxes, two bounds each
+
+
+def test_statistics_by_polygon(spark, tmp_path):
+    from dataclasses import replace
+
+    from cinderspark.functions import geo
+
+    s = replace(inputs(spark, tmp_path), polygons=str(tmp_path / "areas"), join_degrees=0.01)
+    west, east, all_ = geo.box(-121, 34, -119.9855, 36), geo.box(-119.9855, 34, -119, 36), geo.box(-121, 34, -119, 36)
+    rows = [("nation", "US", "Everything", None, all_), ("state", "01", "West", "WE", west), ("state", "02", "East", "EA", east), ("state", "03", "Nowhere", "NO", geo.box(0, 0, 1, 1))]
+    spark.createDataFrame(rows, "level string, GEOID string, NAME string, STUSPS string, geometry binary").write.parquet(s.polygons)
+    risk.process_regions(spark, s)
+    risk.aggregate(spark, s)
+    risk.write_analysis(spark, s, str(tmp_path / "files"), levels=("nation", "state"))
+    states = json.loads((tmp_path / "files" / "state.geojson").read_text())["features"]
+    assert [f["properties"]["NAME"] for f in states] == ["West", "East"] and {f["geometry"]["type"] for f in states} == {"Polygon"}
+    assert sum(f["properties"]["building_count"] for f in states) == 200
+    homes = spark.read.parquet(s.path("regions")).where("lon < -119.9855")
+    assert states[0]["properties"]["building_count"] == homes.count() and states[0]["properties"]["STUSPS"] == "WE"
+    row = next(csv.DictReader((tmp_path / "files" / "nation.csv").read_text().splitlines()[2:]))
+    assert row["NAME"] == "Everything" and float(row["longitude"]) == -120 and row["building_count"] == "200"
+
+
 def test_command_line(monkeypatch):
     monkeypatch.setenv("CINDERSPARK_NY", "12")
     monkeypatch.setenv("CINDERSPARK_OUTPUT", "/somewhere/")
