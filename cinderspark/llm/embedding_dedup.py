@@ -15,9 +15,10 @@ Components of the forests are found by ``shared.connected``. A vector is replica
 for each tile, packed in binary rows.
 
 Defined cases: null, empty and zero vectors, and those with null or non-finite components,
-link with nothing, nor do vectors of different lengths; rows with equal ``vec_id`` are one
-vector, the least by value; rows with null ``vec_id`` are one row that links with nothing
-and is kept; an empty table gives no rows; labels and other columns are ignored.
+link with nothing, nor do vectors of different lengths; rows with equal or null ``vec_id`` are
+vectors of their own (such tables are written once more, with a number for each row); a component
+without any ``vec_id`` has null and is kept; an empty table gives no rows; labels and other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -131,14 +132,25 @@ def _pair(table: pa.Table) -> pa.Table:
 
 
 def near_duplicates(vectors: DataFrame, tile_rows: int | None = None) -> DataFrame:
-    """vec_id, n_links, component_id, kept: one row for each vec_id."""
+    """vec_id, n_links, component_id, kept: one row for each vector."""
+    vectors = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
+    if (rows := shared.numbered(vectors, "vec_id", "vector-rows")) is None:
+        return _near_duplicates(vectors, tile_rows)
+    found = _near_duplicates(rows.select(F.col("_n").alias("vec_id"), "embedding"), tile_rows).toDF("_n", "n_links", "component", "kept")
+    named = shared.stored(rows.select("_n", "vec_id").join(found, "_n"), "vector-named")
+    least = named.groupBy("component").agg(F.min("vec_id").alias("component_id"))
+    kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.col("component_id").isNull())
+    return named.join(least, "component").select("vec_id", "n_links", "component_id", kept.alias("kept"))
+
+
+def _near_duplicates(vectors: DataFrame, tile_rows: int | None) -> DataFrame:
+    """The same for vectors with distinct ids."""
     spark = vectors.sparkSession
     kind = "<f8" if dict(vectors.dtypes)["embedding"] == "array<double>" else "<f4"
     element = "double" if kind == "<f8" else "float"
-    base = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{element}>").alias("embedding"))
-    base = shared.stored(base.groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "vectors")
+    base = vectors.select("vec_id", F.col("embedding").cast(f"array<{element}>").alias("embedding"))
     whole = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
-    sound = base.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & whole & F.exists("embedding", lambda x: x != 0))
+    sound = base.where(F.col("embedding").isNotNull() & whole & F.exists("embedding", lambda x: x != 0))
     sizes = sound.groupBy(F.size("embedding").alias("dims")).agg(F.count(F.lit(1)).alias("n"))
     # T tiles make T(T + 1) / 2 pairs and send each vector T times: no more of them than tasks need.
     spread = F.greatest(F.lit(TILE_ROWS), F.col("n") / (2 * math.sqrt(2 * shared.parallelism(spark))))

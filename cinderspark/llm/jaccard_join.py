@@ -30,10 +30,10 @@ Only pairs inside one component are ever left unverified, so no link between com
 is lost, and nothing is emitted for each pair of a group.
 
 Defined cases: null text and text without words give an empty set, linked with nothing;
-fewer words than a shingle make the whole sequence one shingle; rows with equal ``doc_id``
-are one document, the union of nothing: the one with the least text hash; a null ``doc_id``
-stands alone as its own component (null); an empty table gives no rows; other columns are
-ignored. Whole texts are read.
+fewer words than a shingle make the whole sequence one shingle; rows with equal or null ``doc_id``
+are documents of their own, each judged by its own text (such tables are written once more, with a
+number for each row), and a component without any ``doc_id`` has null; of linked rows the stage keeps one,
+the first of equal ``doc_id``; an empty table gives no rows; other columns are ignored. Whole texts are read.
 """
 
 from __future__ import annotations
@@ -401,11 +401,12 @@ def _contents(documents: DataFrame, members: DataFrame, rule: Rule, label: str)
     return shared.stored(sets.dropDuplicates(["doc_id"]).select("doc_id", "set"), f"{label}-sets")
 
 
-def _cells(state: DataFrame, hot: DataFrame) -> DataFrame:
-    """Rows of families in more than one part, as the tasks need them: cell, l, r, side, and state's columns.
+def _cells(state: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of families in more than one part, as the tasks need them: cell, l, r, side, and state's columns; and a table to discard.
 
     Small families are dealt whole to cells of some thousand rows (side 0); the rows of a hot one go to
-    each pair of its chunks that they are in, on the left (1) or the right (2).
+    each pair of its chunks that they are in, on the left (1) or the right (2). The few families with more than an eighth of a
+    partition's share of the rows (at most 8 a partition, whatever the input) are broadcast: their rows stay where they are.
     """
     parts = state.groupBy("family", "part").agg(F.count(F.lit(1)).alias("n"))
     families = parts.groupBy("family").agg(F.sum("n").alias("n"), F.max(F.struct("n", "part")).alias("main"), F.count(F.lit(1)).alias("parts"))
@@ -413,14 +414,17 @@ def _cells(state: DataFrame, hot: DataFrame) -> DataFrame:
         "family", F.col("main.part").alias("main"), F.coalesce("hot", F.lit(False)).alias("hot"),
         F.ceil((F.col("n") - F.col("main.n")) / CHUNK).cast("int").alias("lefts"), F.ceil(F.col("n") / CHUNK).cast("int").alias("rights"),
     )
-    rows = state.join(families, "family")
-    number = -(-state.count() // CELL_ROWS) or 1
+    families, n = shared.stored(families, "jaccard-cells"), state.count()
+    large = F.greatest("rights", F.lit(1)) * CHUNK > max(CHUNK, n // (8 * shared.parallelism(state.sparkSession)))
+    few = F.broadcast(families.where(large))
+    rows = state.join(few, "family").unionByName(state.join(few.select("family"), "family", "left_anti").join(families.where(~large), "family"))
+    number = -(-n // CELL_ROWS) or 1
     zero = F.lit(0)
     small = rows.where(~F.col("hot")).withColumns({"cell": F.pmod(F.xxhash64("family"), F.lit(number)), "l": zero, "r": zero, "side": zero})
     hashed, large = F.xxhash64("node"), rows.where("hot").withColumn("cell", -1 - F.pmod(F.xxhash64("family"), F.lit(1 << 40)))
     right = large.withColumn("r", F.pmod(hashed, "rights").cast("int")).withColumn("l", F.explode(F.sequence(zero, F.col("lefts") - 1))).withColumn("side", F.lit(2))
     left = large.where("part <> main").withColumn("l", F.pmod(hashed, "lefts").cast("int")).withColumn("r", F.explode(F.sequence(zero, F.col("rights") - 1))).withColumn("side", F.lit(1))
-    return small.unionByName(right).unionByName(left).drop("main", "hot", "lefts", "rights")
+    return small.unionByName(right).unionByName(left).drop("main", "hot", "lefts", "rights"), families
 
 
 def _chunks(table: pa.Table):
@@ -441,8 +445,24 @@ def _chunks(table: pa.Table):
             yield sides[1], sides[2]
 
 
+def _named(rows: DataFrame, rule: Rule) -> DataFrame:
+    """_n, doc_id, n_shingles, component (least _n of it) of the numbered rows."""
+    found = _components(rows.select(F.col("_n").alias("doc_id"), "text"), rule).toDF("_n", "n_shingles", "component")
+    return rows.select("_n", "doc_id").join(found, "_n")
+
+
 def components(documents: DataFrame, rule: Rule) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document."""
+    """doc_id, n_shingles, component_id: one row for each of ``documents``."""
+    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    if (rows := shared.numbered(documents, "doc_id", "jaccard-rows")) is None:
+        return _components(documents, rule)
+    named = shared.stored(_named(rows, rule), "jaccard-named")
+    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return named.join(least, "component").select("doc_id", "n_shingles", "component_id")
+
+
+def _components(documents: DataFrame, rule: Rule) -> DataFrame:
+    """doc_id, n_shingles, component_id of documents with distinct ids."""
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     spark = documents.sparkSession
     # A bucket takes the keys of about three shuffle partitions: sets that meet do so once in each bucket.
@@ -499,11 +519,15 @@ def components(documents: DataFrame, rule: Rule) -> DataFrame:
         found = [link for left, right in _chunks(table) for link in tree_links(left, right, rule)]
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
-    open_ = shared.stored(_cells(state, hot).groupBy("cell", "l", "r").applyInArrow(search, "node long").distinct(), "jaccard-open")
+    cells, dealt = _cells(state, hot)
+    open_ = shared.stored(cells.groupBy("cell", "l", "r").applyInArrow(search, "node long").distinct(), "jaccard-open")
+    shared.discard(dealt)
     sets = _contents(documents, open_.join(ids.withColumnRenamed("doc_id", "node"), "node").select(F.col("node").alias("doc_id"), "set_id"), rule, "jaccard-open")
     # Cells are dealt again for what is left of the families, with the contents.
     rest = state.join(sets.withColumnRenamed("doc_id", "node"), "node")
-    more = shared.stored(_cells(rest, hot).groupBy("cell", "l", "r").applyInArrow(join, "a long, b long"), "jaccard-tree")
+    cells, dealt = _cells(rest, hot)
+    more = shared.stored(cells.groupBy("cell", "l", "r").applyInArrow(join, "a long, b long"), "jaccard-tree")
+    shared.discard(dealt)
     final = shared.connected(star.unionByName(more), "jaccard-final")
     shared.discard(more, state, open_, sets, vectors, hot)
     heads = heads.join(final, heads["head"] == final["node"], "left").select("set_id", F.coalesce("component", "head").alias("component_id"))
@@ -514,8 +538,12 @@ def components(documents: DataFrame, rule: Rule) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str, rule: Rule = Rule()) -> DataFrame:
     """Pipeline stage: of linked documents the one with the least doc_id stays."""
-    found = components(docs, rule).where("component_id is null or doc_id = component_id").select("doc_id")
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_semi").select(*docs.columns)
+    keyed = shared.packed(docs, "text").select(F.col("_row.doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "_row")
+    if (rows := shared.numbered(keyed, "doc_id", "jaccard-rows")) is None:
+        found = _components(docs, rule).where("doc_id = component_id").select("doc_id")
+        return docs.join(found, "doc_id", "left_semi").select(*docs.columns)
+    first = _named(rows, rule).groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_n")).alias("first"))
+    return rows.join(first.select(F.col("first._n").alias("_n")), "_n", "left_semi").select("_row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -89,6 +89,13 @@ def packed(docs: DataFrame, *beside: str) -> DataFrame:
     return docs.select(*beside, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
 
 
+def numbered(rows: DataFrame, key: str, label: str) -> DataFrame | None:
+    """``rows`` written with a number ``_n`` for each, if the key repeats or is null somewhere; else None: the key will do."""
+    if rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col(key).isNull() | (F.col("n") > 1)).isEmpty():
+        return None
+    return stored(rows.withColumn("_n", F.monotonically_increasing_id()), label)
+
+
 def parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -5,11 +5,14 @@ import random
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import Row as SparkRow
+from pyspark.sql import functions as F
 
 from cinderspark.llm import decontaminate, embedding_dedup, jaccard_join, line_dedup, oracles, shared
 from tests.llm import brute
 
 SMALL = "/root/testdata/sf0.001"
+Row = SparkRow("vec_id", "n_links", "component_id", "kept")
 
 
 def rows_of(name, columns):
@@ -53,12 +56,16 @@ def test_jaccard_on_documents(spark):
 
 
 def test_jaccard_odd_rows(spark):
-    docs = spark.createDataFrame([(1, "a b c d e"), (1, "a b c d e"), (None, "a b c d e"), (2, None), (3, "A B c d E")], "doc_id long, text string")
+    """Rows of equal or null doc_id are judged each by its own text."""
+    docs = spark.createDataFrame(
+        [(1, "a b c d e"), (1, "a b c d e"), (None, "a b c d e"), (2, None), (3, "A B c d E"), (3, "v w x y z"), (None, "q r s t u"), (4, "v w x y z"), (None, None)], "doc_id long, text string"
+    ).withColumn("component", F.lit("x"))
     got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.components(docs, jaccard_join.Rule()).collect()), key=str)
-    assert got == [(1, 1, 1), (2, 0, 2), (3, 1, 1), (None, 1, None)]
+    assert got == sorted([(1, 1, 1), (1, 1, 1), (None, 1, 1), (2, 0, 2), (3, 1, 1), (3, 1, 3), (None, 1, None), (4, 1, 3), (None, 0, None)], key=str)
     assert jaccard_join.components(docs.limit(0), jaccard_join.Rule()).count() == 0
     kept = jaccard_join.stage(spark, docs, SMALL)
-    assert kept.columns == docs.columns and sorted(map(str, (r["doc_id"] for r in kept.collect()))) == ["1", "1", "2", "None"]
+    assert kept.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted([(1, "a b c d e"), (2, None), (3, "v w x y z"), (None, "q r s t u"), (None, None)], key=str)
 
 
 def test_group_keys_meet():
@@ -98,7 +105,7 @@ def test_embedding_links(spark, kind):
     x = np.vstack([base, base + rnd.normal(size=base.shape) * rnd.uniform(0, 0.6, (60, 1)), base[:9], 3 * base[:4]])
     x = x.astype(np.float32 if kind == "float" else np.float64)
     rows = [(int(i * 2 + 1), [float(v) for v in r], 0) for i, r in enumerate(x)]
-    odd = [(1000, None, 1), (1001, [0.0] * 16, 1), (1002, [float("nan")] * 16, 1), (1003, [None] * 16, 1), (1004, [1.0, 2.0], 1), (1005, [], 1), (None, [1.0] * 16, 1), (1, rows[0][1], 2)]
+    odd = [(1000, None, 1), (1001, [0.0] * 16, 1), (1002, [float("nan")] * 16, 1), (1003, [None] * 16, 1), (1004, [1.0, 2.0], 1), (1005, [], 1), (1006, [1.0] * 16, 1)]
     table = spark.createDataFrame(rows + odd, f"vec_id long, embedding array<{kind}>, label int")
     got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embedding_dedup.near_duplicates(table, tile_rows=20).collect()}
     y = x.astype(np.float64)
@@ -108,8 +115,12 @@ def test_embedding_links(spark, kind):
     linked = [(ids[i], ids[j]) for i, j in zip(*np.nonzero(near)) if i < j]
     group = brute.components(ids, linked)
     want = {d: (int(near[i].sum()) - 1, group[d], group[d] == d) for i, d in enumerate(ids)}
-    want |= {d: (0, d, True) for d in range(1000, 1006)} | {None: (0, None, True)}
+    want |= {d: (0, d, True) for d in range(1000, 1007)}
     assert got == want
+    # Rows of equal or null ids are vectors of their own.
+    twice = table.where("vec_id in (1, 1000)").unionByName(table.where("vec_id = 1").select(F.lit(None).cast("long").alias("vec_id"), "embedding", "label"))
+    found = embedding_dedup.near_duplicates(twice.unionByName(table.where("vec_id = 1"))).collect()
+    assert sorted(map(str, found)) == sorted(map(str, [Row(1, 2, 1, True), Row(1, 2, 1, True), Row(None, 2, 1, False), Row(1000, 0, 1000, True)]))
     assert embedding_dedup.near_duplicates(table.limit(0)).count() == 0
 
 
