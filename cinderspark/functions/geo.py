@@ -293,6 +293,26 @@ def from_albers(x, y) -> tuple[np.ndarray, np.ndarray]:
     return np.degrees(_LON0 + np.arctan2(x, _RHO0 - y) / _N), np.degrees(lat)
 
 
+#: Sphere of the web map's projection, in metres (fixed value).
+_WEB = 6378137.0
+
+
+def to_mercator(lon, lat) -> tuple[np.ndarray, np.ndarray]:
+    lon, lat = np.radians(np.asarray(lon, float)), np.radians(np.asarray(lat, float))
+    return _WEB * lon, _WEB * np.arctanh(np.sin(lat))
+
+
+def from_mercator(x, y) -> tuple[np.ndarray, np.ndarray]:
+    return np.degrees(np.asarray(x, float) / _WEB), np.degrees(np.arctan(np.sinh(np.asarray(y, float) / _WEB)))
+
+
+def _same(x, y):
+    return x, y
+
+
+TO_DEGREES = {4326: _same, 4269: _same, 5070: from_albers, 3857: from_mercator}
+FROM_DEGREES = {4326: _same, 4269: _same, 5070: to_albers, 3857: to_mercator}
+
 # ---------------------------------------------------------------------- UDFs
 
 
@@ -359,10 +379,42 @@ def clip_udf(xmin: float, ymin: float, xmax: float, ymax: float):
     return clip
 
 
-def point_wkb(x, y):
-    """WKB of a point as a Column: order byte and type, then the two doubles, low byte first."""
+def reproject(raw: bytes, source: int, target: int) -> bytes:
+    """Coordinates of a shape from one reference system (EPSG code) to another, by way of degrees."""
+    name, coordinates = read_wkb(raw)
+
+    def move(c):
+        if isinstance(c, list):
+            return [move(x) for x in c]
+        a = np.atleast_2d(np.asarray(c, float))
+        x, y = TO_DEGREES[source](a[:, 0], a[:, 1])
+        x, y = FROM_DEGREES[target](x, y)
+        moved = np.stack([x, y], axis=1)
+        return moved if np.ndim(c) == 2 else moved[0]
+
+    return write_wkb(name, move(coordinates))
+
+
+def reproject_udf(source: int, target: int):
+    if source not in TO_DEGREES or target not in FROM_DEGREES:
+        raise ValueError(f"no way from EPSG:{source} to EPSG:{target}")
+
     @F.pandas_udf(BinaryType())
-    def make(px: pd.Series, py: pd.Series) -> pd.Series:
-        return pd.Series([write_wkb("Point", p) for p in zip(px, py, strict=True)])
+    def run(wkb: pd.Series) -> pd.Series:
+        return wkb.map(lambda g: reproject(g, source, target), na_action="ignore")
+
+    return run
 
-    return make(x, y)
+
+@F.pandas_udf(BinaryType())
+def _point_wkb_udf(px: pd.Series, py: pd.Series) -> pd.Series:
+    head = np.frombuffer(struct.pack("<BI", 1, 1), np.uint8)
+    raw = np.empty((len(px), 21), np.uint8)
+    raw[:, :5] = head
+    raw[:, 5:] = np.stack([px.to_numpy("<f8"), py.to_numpy("<f8")], axis=1).view(np.uint8).reshape(-1, 16)
+    return pd.Series(raw.reshape(-1).view("V21").tolist(), dtype=object)
+
+
+def point_wkb(x, y):
+    """WKB of a point as a Column: order byte and type, then the two doubles, low byte first; filled for a whole batch at once."""
+    return _point_wkb_udf(x, y)

@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cinderspark.functions import geo
 from cinderspark.functions import scalar as S
 
 
@@ -27,6 +28,11 @@ class Grid(NamedTuple):
     def shape(self) -> tuple[int, int]:
         return -(-self.ny // self.cy), -(-self.nx // self.cx)
 
+    @property
+    def transform(self) -> tuple[float, float, float, float, float, float]:
+        """(a, b, c, d, e, f): lon = a * ix + b * iy + c and lat = d * ix + e * iy + f at a cell's lower corner."""
+        return self.dlon, 0.0, self.lon0 - self.dlon / 2, 0.0, self.dlat, self.lat0 - self.dlat / 2
+
     def corner(self, ix: int, iy: int) -> tuple[float, float]:
         """(lon, lat) of a cell's lower corner."""
         return self.lon0 + (ix - 0.5) * self.dlon, self.lat0 + (iy - 0.5) * self.dlat
@@ -78,6 +84,24 @@ def extent(pixels: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
     return pixels.agg(F.min(lon).alias("xmin"), F.min(lat).alias("ymin"), F.max(lon).alias("xmax"), F.max(lat).alias("ymax"))
 
 
+def extent_albers(pixels: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """The extent's lower left and upper right corners in equal-area metres: xmin, xmax, ymin, ymax."""
+    low, high = (geo.to_albers_udf(F.col(x), F.col(y)) for x, y in (("xmin", "ymin"), ("xmax", "ymax")))
+    corners = extent(pixels, lon, lat).select(low.alias("low"), high.alias("high"))
+    return corners.select(F.col("low.x").alias("xmin"), F.col("high.x").alias("xmax"), F.col("low.y").alias("ymin"), F.col("high.y").alias("ymax"))
+
+
+def template(spark: SparkSession, grid: Grid, variables: Sequence[str], region_ids: DataFrame | None = None) -> DataFrame:
+    """Every cell (region_id, iy, ix, lon, lat) of the grid, or of some regions, with empty variables: what a sparse raster is filled into."""
+    chosen = regions(spark, grid)
+    if region_ids is not None:
+        chosen = chosen.join(F.broadcast(region_ids.select("region_id").distinct()), "region_id", "left_semi")  # at most the grid's regions
+    chosen = chosen.select("region_id", F.explode(F.sequence("y_start", F.col("y_stop") - 1)).alias("iy"), "x_start", "x_stop")
+    chosen = chosen.select("region_id", "iy", F.explode(F.sequence("x_start", F.col("x_stop") - 1)).alias("ix"))
+    place = [(F.lit(grid.lon0) + F.col("ix") * F.lit(grid.dlon)).alias("lon"), (F.lit(grid.lat0) + F.col("iy") * F.lit(grid.dlat)).alias("lat")]
+    return chosen.select("region_id", "iy", "ix", *place, *[F.lit(None).cast("float").alias(v) for v in variables])
+
+
 def region_status(provided: DataFrame, valid: DataFrame, processed: DataFrame) -> DataFrame:
     """region_id with a flag for each kind: provided, valid, invalid, processed, unprocessed_valid."""
     tagged = [df.select("region_id").distinct().withColumn(name, F.lit(True)) for name, df in (("p", provided), ("v", valid), ("d", processed))]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -17,54 +18,73 @@ from cinderspark.operators.quantiles import exact_quantiles
 BLOCK = 64
 
 
-def _inversions(y: np.ndarray) -> int:
-    """Pairs i < j with y[i] > y[j]: whole blocks compared at once, then bottom-up merging with vector searches."""
+def _inversions(y: np.ndarray, w: np.ndarray) -> int:
+    """Weight of the pairs i < j with y[i] > y[j]: whole blocks compared at once, then bottom-up merging with vector searches."""
     n, total = len(y), 0
-    blocks = np.full(-(-n // BLOCK) * BLOCK, np.inf)
-    blocks[:n] = y
-    blocks = blocks.reshape(-1, BLOCK)
+    size = -(-n // BLOCK) * BLOCK
+    blocks, weights = np.full(size, np.inf), np.zeros(size, np.int64)
+    blocks[:n], weights[:n] = y, w
+    blocks, weights = blocks.reshape(-1, BLOCK), weights.reshape(-1, BLOCK)
     before = np.triu(np.ones((BLOCK, BLOCK), bool), 1)
-    for start in range(0, len(blocks), 1024):
-        part = blocks[start : start + 1024]
-        total += int(((part[:, :, None] > part[:, None, :]) & before).sum())
-    y, width = np.sort(blocks, axis=1).ravel()[:n], BLOCK
+    for start in range(0, len(blocks), 256):
+        part, own = blocks[start : start + 256], weights[start : start + 256]
+        beaten = ((part[:, :, None] > part[:, None, :]) & before) * own[:, None, :]
+        total += int((beaten.sum(axis=2) * own).sum())
+    order = np.argsort(blocks, axis=1, kind="stable")
+    y, w = (np.take_along_axis(a, order, axis=1).ravel()[:n] for a in (blocks, weights))
+    width = BLOCK
     while width < n:
         for start in range(0, n - width, 2 * width):
-            left, right = y[start : start + width], y[start + width : start + 2 * width]
-            total += int((len(left) - np.searchsorted(left, right, side="right")).sum())
-            y[start : start + 2 * width] = np.sort(y[start : start + 2 * width], kind="stable")
+            both, middle = slice(start, start + 2 * width), start + width
+            left, right = y[start:middle], y[middle : start + 2 * width]
+            up_to = np.concatenate([[0], np.cumsum(w[start:middle])])
+            total += int((w[middle : start + 2 * width] * (up_to[-1] - up_to[np.searchsorted(left, right, side="right")])).sum())
+            order = np.argsort(y[both], kind="stable")
+            y[both], w[both] = y[both][order], w[both][order]
         width *= 2
     return total
 
 
-def _tied(*keys: np.ndarray) -> int:
-    counts = np.unique(np.stack(keys, axis=1), axis=0, return_counts=True)[1].astype(np.int64)
+def _tallies(w: np.ndarray, *keys: np.ndarray) -> np.ndarray:
+    """Weights of the distinct keys."""
+    order = np.lexsort(keys)
+    new = np.zeros(len(w), bool)
+    new[:1] = True
+    for key in keys:
+        new[1:] |= key[order][1:] != key[order][:-1]
+    return np.add.reduceat(w[order], np.flatnonzero(new)) if len(w) else w
+
+
+def _tied(w: np.ndarray, *keys: np.ndarray) -> int:
+    counts = _tallies(w, *keys)
     return int((counts * (counts - 1) // 2).sum())
 
 
-def tau_c(x: np.ndarray, y: np.ndarray) -> tuple[float, int]:
-    """(Stuart's tau-c, concordant less discordant pairs) in O(n log n)."""
+def tau_c(x: np.ndarray, y: np.ndarray, w: np.ndarray | None = None) -> tuple[float, int]:
+    """(Stuart's tau-c, concordant less discordant pairs) in O(n log n); ``w`` counts each point's rows."""
+    w = np.ones(len(x), np.int64) if w is None else w
     keep = ~(np.isnan(x) | np.isnan(y))
-    x, y = x[keep], y[keep]
-    n = len(x)
+    x, y, w = x[keep], y[keep], w[keep].astype(np.int64)
+    n = int(w.sum())
     m = min(len(np.unique(x)), len(np.unique(y)))
     if m < 2:
         return float("nan"), 0
     order = np.lexsort((y, x))
-    discordant = _inversions(y[order])
-    untied = n * (n - 1) // 2 - _tied(x) - _tied(y) + _tied(x, y)
+    discordant = _inversions(y[order], w[order])
+    untied = n * (n - 1) // 2 - _tied(w, x) - _tied(w, y) + _tied(w, x, y)
     s = untied - 2 * discordant
     return 2 * s / (n * n * (m - 1) / m), s
 
 
-def tau_c_p_value(x: np.ndarray, y: np.ndarray, s: int) -> float:
+def tau_c_p_value(x: np.ndarray, y: np.ndarray, s: int, w: np.ndarray | None = None) -> float:
     """Two-sided p of no association by the normal approximation with ties."""
     from math import erfc, sqrt
 
-    n = len(x)
+    w = np.ones(len(x), np.int64) if w is None else w
+    n = int(w.sum())
 
     def moments(v):
-        c = np.unique(v, return_counts=True)[1].astype(float)
+        c = _tallies(w, v).astype(float)
         return (c * (c - 1)).sum() / 2, (c * (c - 1) * (c - 2)).sum(), (c * (c - 1) * (2 * c + 5)).sum()
 
     x1, x0, x2 = moments(x)
@@ -77,21 +97,27 @@ def tau_c_p_value(x: np.ndarray, y: np.ndarray, s: int) -> float:
 def grouped_tau_c(pairs: DataFrame, key: str, x: str, y: str) -> DataFrame:
     """tau-c, S and p by group, by sorting in Arrow batches: no pair of rows is ever formed.
 
-    A group is one task's work; equal (x, y) points are counted before the shuffle, so a group
-    is bounded by its distinct points, not by its rows.
+    A group is one task's work; equal (x, y) points are counted before the shuffle and stay counted,
+    so a group takes the memory of its distinct points, not of its rows.
     """
     points = pairs.where(F.col(x).isNotNull() & F.col(y).isNotNull())
     points = points.groupBy(F.col(key).alias("key"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).agg(F.count(F.lit(1)).alias("n"))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        xs, ys = (np.repeat(group[c].to_numpy(), group["n"].to_numpy()) for c in ("x", "y"))
-        tau, s = tau_c(xs, ys)
-        return pd.DataFrame({"key": [group["key"].iloc[0]], "tau": [tau], "s": [s], "p_value": [tau_c_p_value(xs, ys, s)], "n": [len(xs)]})
+        x_, y_, w = (group[c].to_numpy() for c in ("x", "y", "n"))
+        tau, s = tau_c(x_, y_, w)
+        return pd.DataFrame({"key": [group["key"].iloc[0]], "tau": [tau], "s": [s], "p_value": [tau_c_p_value(x_, y_, s, w)], "n": [int(w.sum())]})
 
     kind = dict(pairs.dtypes)[key]
     return points.groupBy("key").applyInPandas(run, f"key {kind}, tau double, s long, p_value double, n long").withColumnRenamed("key", key)
 
 
+def pairwise_corr(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """a, b, corr, n for every two of the columns, from one aggregation; rows with a null in either do not count."""
+    pairs = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("corr"), F.count_if(F.col(a).isNotNull() & F.col(b).isNotNull()).alias("n")) for a, b in combinations(names, 2)]
+    return df.agg(F.array(*pairs).alias("pairs")).select(F.inline("pairs"))
+
+
 def skill(x: Column | str, y: Column | str) -> list[Column]:
     """Aggregates comparing two scores: corr, bias, means, medians, shares of zero, normalised bias."""
     x, y = S.col(x).cast("double"), S.col(y).cast("double")

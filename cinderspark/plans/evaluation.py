@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from cinderspark.operators import stats
@@ -115,6 +117,17 @@ def summary(spark, d):
 
 SUMMARY_SQL = f"{_B} SELECT count(*) AS n, round(min(lon), 6) AS xmin, round(max(lat), 6) AS ymax, round(avg(rps_2011), 6) AS mean FROM b"
 
+PAIRED = ("rps_2011", "rps_2047", "lon")
+
+
+def pairwise(spark, d):
+    return stats.pairwise_corr(T.buildings(spark, d), PAIRED).select("a", "b", F.round("corr", 6).alias("corr"), "n")
+
+
+PAIRWISE_SQL = _B + " UNION ALL ".join(
+    f" SELECT '{a}' AS a, '{b}' AS b, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS corr, count(CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN 1 END) AS n FROM b" for a, b in combinations(PAIRED, 2)
+)
+
 QUERIES = {
     "kendall_tau_c": (tau, TAU_SQL),
     "score_skill": (skill, SKILL_SQL),
@@ -126,4 +139,5 @@ QUERIES = {
     "weighted_cdf_median": (weighted, WEIGHTED_SQL),
     "bottom_k_corr": (bottom, BOTTOM_SQL),
     "global_summary": (summary, SUMMARY_SQL),
+    "pairwise_corr": (pairwise, PAIRWISE_SQL),
 }

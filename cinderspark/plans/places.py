@@ -9,7 +9,7 @@ from cinderspark.functions import scalar as S
 from cinderspark.operators import grid, joins
 from cinderspark.plans import raster as R
 from cinderspark.plans import tables as T
-from cinderspark.sources import sinks
+from cinderspark.sources import files, sinks
 from cinderspark.sources.catalog import Catalog, Dataset
 
 _B = T.with_sql(b=T.BUILDINGS)
@@ -228,6 +228,29 @@ def catalog_query(spark, d):
 CATALOG_SQL = "SELECT s_nationkey AS nation, count(*) AS n, round(max(s_acctbal), 2) AS most FROM supplier GROUP BY s_nationkey"
 
 
+def template_counts(spark, d):
+    """An empty raster for the regions that hold values, counted by region."""
+    small = grid.Grid(ny=40, nx=50, cy=12, cx=20, lat0=24.0, lon0=-125.0, dlat=0.5, dlon=0.5)
+    empty = grid.template(spark, small, ["v"], grid.valid_regions(T.pixels(spark, d), small, "v"))
+    return empty.groupBy("region_id").agg(F.count(F.lit(1)).alias("n"), F.count("v").alias("n_values"), F.round(F.max("lat"), 6).alias("north"))
+
+
+TEMPLATE_SQL = T.with_sql(
+    p=T.PIXELS, c="SELECT y.i AS iy, x.i AS ix FROM range(40) y(i), range(50) x(i)", k="SELECT iy // 12 AS cy, ix // 20 AS cx FROM p WHERE v IS NOT NULL AND NOT isnan(v) GROUP BY ALL",
+) + """ SELECT 'y' || cy || '_x' || cx AS region_id, count(*) AS n, 0::BIGINT AS n_values, round(max(24::DOUBLE + iy * 0.5::DOUBLE), 6) AS north
+FROM c JOIN k ON c.iy // 12 = k.cy AND c.ix // 20 = k.cx GROUP BY cy, cx"""
+
+
+def versioned_paths(spark, d):
+    path = F.concat_ws("/", F.lit("output"), "p_brand", F.when(F.col("p_partkey") % 3 == 0, F.lit("v2")), "p_name")
+    return T.table(spark, d, "part").select("p_partkey", files.versioned(path, "2", "qa").alias("path"), files.versioned("p_name", "1").alias("name"))
+
+
+VERSIONED_SQL = """WITH q AS (SELECT *, concat_ws('/', 'output', p_brand, CASE WHEN p_partkey % 3 = 0 THEN 'v2' END, p_name) AS path FROM part)
+SELECT p_partkey, CASE WHEN contains(path, 'v2') THEN path ELSE regexp_replace(path, '^(.*/)?([^/]*)$', '\\1qa/v2/\\2') END AS path,
+CASE WHEN contains(p_name, 'v1') THEN p_name ELSE 'v1/' || p_name END AS name FROM q"""
+
+
 QUERIES = {
     "spatial_join_boxes": (box_join, BOX_SQL),
     "bbox_overlap_join": (overlap_join, OVERLAP_SQL),
@@ -247,6 +270,8 @@ QUERIES = {
     "spatial_semi_join": (semi_join, SEMI_SQL),
     "polygon_overlap": (polygon_overlap, POLYGON_OVERLAP_SQL),
     "feature_lines": (feature_lines, FEATURES_SQL),
+    "template_counts": (template_counts, TEMPLATE_SQL),
+    "versioned_paths": (versioned_paths, VERSIONED_SQL),
     "catalog_query": (catalog_query, CATALOG_SQL),
     "ascending_check": (ascending, ASCENDING_SQL),
 }

@@ -44,11 +44,15 @@ class Dataset:
             raise ValueError(f"{self.name} is not a table of features")
         return spark.sql(sql, source=self.read(spark))
 
-    def features(self, spark: SparkSession, sql: str = "SELECT * FROM {source}", geometry: str = "geometry") -> DataFrame:
-        """The query's rows with the WKB column as text besides."""
+    def features(
+        self, spark: SparkSession, sql: str = "SELECT * FROM {source}", geometry: str = "geometry", crs: int = 4326, target_crs: int | None = None
+    ) -> DataFrame:
+        """The query's rows with the WKB column as text besides, moved from ``crs`` to ``target_crs`` (EPSG codes) if one is given."""
         found = self.query(spark, sql)
         if geometry not in found.columns:
             raise ValueError(f"the query returns no {geometry}")
+        if target_crs is not None and target_crs != crs:
+            found = found.withColumn(geometry, geo.reproject_udf(crs, target_crs)(F.col(geometry)))
         return found.withColumn(f"{geometry}_wkt", geo.wkt_udf(F.col(geometry)))
 
 

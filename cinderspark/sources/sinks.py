@@ -79,6 +79,68 @@ def write_common_metadata(df: DataFrame, path: str, without: Sequence[str], extr
     pq.write_metadata(schema, f"{path}/_common_metadata")
 
 
+def geo_metadata(geometry: str = "geometry", crs: object = None, bbox: bool = True) -> dict[str, object]:
+    """The ``geo`` entry of a Parquet footer (version 1.1.0); without a crs, longitude and latitude are meant."""
+    column: dict[str, object] = {"encoding": "WKB", "geometry_types": []}
+    if crs is not None:
+        column["crs"] = crs
+    if bbox:
+        column["covering"] = {"bbox": {c: ["bbox", c] for c in ("xmin", "ymin", "xmax", "ymax")}}
+    return {"version": "1.1.0", "primary_column": geometry, "columns": {geometry: column}}
+
+
+def write_region_files(df: DataFrame, folder: str, region: str = "region_id", geometry: str = "geometry", crs: object = None) -> DataFrame:
+    """One GeoParquet file for each region (``<region>.parquet``: zstd, WKB, covering box, ``geo`` footer); region, path, n.
+
+    Rows come sorted by region and are written batch by batch, so a region of any size is never held in
+    memory. A file is moved into place when it is whole: repeated tasks leave the same files.
+    Null regions are an error.
+    """
+    import uuid
+    from collections.abc import Iterator
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    from cinderspark.sources.files import open_fs
+
+    whole = (df if "bbox" in df.columns else with_covering(df, geometry)).withColumn(region, F.coalesce(F.col(region).cast("string"), F.raise_error(F.lit("a row has no region"))))
+    schema = to_arrow_schema(whole.schema)
+    schema = schema.with_metadata({"geo": json.dumps(geo_metadata(geometry, crs))})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = open_fs(folder)
+        fs.create_dir(base)
+        name, part, writer, n = None, "", None, 0
+
+        def close() -> pa.RecordBatch:
+            writer.close()
+            path = f"{base}/{name}.parquet"
+            fs.move(part, path)
+            return pa.RecordBatch.from_pydict({"region": [name], "path": [path], "n": [n]})
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch]).cast(schema)
+            names = table.column(region).to_pylist()
+            start = 0
+            for k in range(1, len(names) + 1):
+                if k < len(names) and names[k] == names[start]:
+                    continue
+                if names[start] != name:
+                    if writer is not None:
+                        yield close()
+                    name, part, n = names[start], f"{base}/.{names[start]}-{uuid.uuid4().hex}", 0
+                    writer = pq.ParquetWriter(part, schema, filesystem=fs, compression="zstd")
+                writer.write_table(table.slice(start, k - start))
+                n, start = n + k - start, k
+        if writer is not None:
+            yield close()
+
+    dealt = whole.repartition(region).sortWithinPartitions(region)
+    return dealt.mapInArrow(run, "region string, path string, n long").withColumnRenamed("region", region)
+
+
 # ------------------------------------------------------------------------ ledger
 
 
