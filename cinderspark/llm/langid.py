@@ -31,6 +31,8 @@ from cinderspark.llm import shared
 
 DIM = 4096
 SAMPLE_ROWS = 1200
+#: Bytes of a text whose n-grams are hashed at once.
+BLOCK = 1 << 20
 UNKNOWN = "und"
 #: The pipeline's stage lets go what is ``und`` or scored below this.
 LEAST_SCORE = 0.25
@@ -40,15 +42,19 @@ _OTHER = regex.compile(r"[^\p{L}]+")
 
 
 def features(text: str | None) -> np.ndarray | None:
-    """Hashed counts as a unit vector; None if the text has no letter."""
+    """Hashed counts as a unit vector; None if the text has no letter. Hashes of a very long text are made block by block."""
     if text is None or not _LETTER.search(text):
         return None
-    raw = np.frombuffer((" " + _OTHER.sub(" ", text).lower() + " ").encode("utf-8", "replace"), np.uint8).astype(np.uint32)
-    two = raw[:-1] * np.uint32(2654435761) + raw[1:] * np.uint32(40503)
-    three = two[:-1] * np.uint32(2246822519) + raw[2:] * np.uint32(3266489917)
-    grams = np.concatenate([raw * np.uint32(374761393) >> np.uint32(20), two >> np.uint32(20), (three ^ (three >> np.uint32(13))) * np.uint32(668265263) >> np.uint32(20)])
-    counts = np.sqrt(np.bincount(grams, minlength=DIM).astype(np.float32))
-    return counts / np.linalg.norm(counts)
+    whole = np.frombuffer((" " + _OTHER.sub(" ", text).lower() + " ").encode("utf-8", "replace"), np.uint8)
+    counts = np.zeros(DIM, np.int64)
+    for start in range(0, len(whole), BLOCK):
+        raw = whole[start : start + BLOCK + 2].astype(np.uint32)  # n-grams that start in the block
+        two = raw[:-1] * np.uint32(2654435761) + raw[1:] * np.uint32(40503)
+        three = two[:-1] * np.uint32(2246822519) + raw[2:] * np.uint32(3266489917)
+        grams = (raw[:BLOCK] * np.uint32(374761393) >> np.uint32(20), two[:BLOCK] >> np.uint32(20), (three ^ (three >> np.uint32(13))) * np.uint32(668265263) >> np.uint32(20))
+        counts += np.bincount(np.concatenate(grams), minlength=DIM)
+    found = np.sqrt(counts.astype(np.float32))
+    return found / np.linalg.norm(found)
 
 
 def svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 30, seed: int = 7) -> np.ndarray:

@@ -472,3 +472,55 @@ def test_matches_sql(spark, name):
     assert sorted(names) == sorted(found.columns)
     want = Counter(tuple(map(str, (row[names.index(c)] for c in sorted(names)))) for row in result.fetchall())
     assert Counter(tuple(str(r[c]) for c in sorted(names)) for r in found.collect()) == want
+
+
+def test_language_features_are_counted_grams(monkeypatch):
+    """Against plain counting, and the same whatever the block."""
+    random_ = random.Random(3)
+    texts = ["a", "Ab", "abc", "Ärger, 12 straße!", "".join(random_.choice("abcdé .\n") for _ in range(500))]
+
+    def plain(text):
+        raw = (" " + "".join(c if c.isalpha() else "\0" for c in text) + " ").lower()
+        raw = " ".join(p for p in raw.replace("\0", " ").split(" ") if p)
+        raw = f" {raw} " if text[-1:].isalpha() else f" {raw}  "
+        if not text[:1].isalpha():
+            raw = " " + raw
+        raw, counts = raw.encode(), [0] * langid.DIM
+        for k in range(len(raw)):
+            counts[(raw[k] * 374761393 & 0xFFFFFFFF) >> 20] += 1
+            two = lambda at: (raw[at] * 2654435761 + raw[at + 1] * 40503) & 0xFFFFFFFF
+            if k + 1 < len(raw):
+                counts[two(k) >> 20] += 1
+            if k + 2 < len(raw):
+                three = (two(k) * 2246822519 + raw[k + 2] * 3266489917) & 0xFFFFFFFF
+                counts[((three ^ three >> 13) * 668265263 & 0xFFFFFFFF) >> 20] += 1
+        roots = np.sqrt(np.array(counts, float))
+        return roots / np.linalg.norm(roots)
+
+    whole = [langid.features(t) for t in texts]
+    for text, found in zip(texts, whole, strict=True):
+        assert np.allclose(found, plain(text), atol=1e-6)
+    for block in (1, 2, 3, 7):
+        monkeypatch.setattr(langid, "BLOCK", block)
+        assert all(np.array_equal(langid.features(t), w) for t, w in zip(texts, whole, strict=True))
+
+
+def test_sharding_against_a_plain_order(spark):
+    """Ranks, fractions and cuts found by sorting everything in one list."""
+    docs = shared.read(spark, SMALL, "documents")
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", "source", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("crc"))
+    rows = rows.withColumn("stratum", F.concat(F.when(F.col("source").isNull(), "0").otherwise("1"), F.coalesce("source", F.lit(""))))
+    seed = F.lit(sharding.SEED)
+    rows = rows.select("*", F.shiftrightunsigned(F.xxhash64(seed, "doc_id", "crc", "size"), 1).alias("h"), F.xxhash64(seed, "stratum").alias("tie")).collect()
+    placed = []
+    for _, group in itertools.groupby(sorted(rows, key=lambda r: (r["stratum"], r["h"], r["doc_id"])), key=lambda r: r["stratum"]):
+        group = list(group)
+        placed += [((k + 0.5) / len(group), r["tie"], r["stratum"], r["h"], r["doc_id"]) for k, r in enumerate(group)]
+    want, slots = {}, Counter()
+    for position, (*_, doc) in enumerate(sorted(placed)):
+        shard = position * 40 // len(placed)
+        want[doc] = (shard, slots[shard])
+        slots[shard] += 1
+    got = {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.query(spark, SMALL).collect()}
+    assert len(want) == len(rows) and got == want
