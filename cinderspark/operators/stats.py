@@ -18,8 +18,9 @@ from cinderspark.operators.quantiles import exact_quantiles
 BLOCK = 64
 
 
-def _inversions(y: np.ndarray, w: np.ndarray) -> int:
-    """Weight of the pairs i < j with y[i] > y[j]: whole blocks compared at once, then bottom-up merging with vector searches."""
+def _inversions(y: np.ndarray, w: np.ndarray | None = None) -> int:
+    """Weight of the pairs i < j with y[i] > y[j] (one each without weights): whole blocks compared at once, then bottom-up merging with vector searches."""
+    w = np.ones(len(y), np.int64) if w is None else w
     n, total = len(y), 0
     size = -(-n // BLOCK) * BLOCK
     blocks, weights = np.full(size, np.inf), np.zeros(size, np.int64)
