@@ -3,77 +3,78 @@
 ``percentile`` keeps every distinct value of a group in one task's memory. Here a first pass takes
 a bounded sketch of each group, whose rank error is known, and so a bracket of values that must
 hold the quantile. A second pass counts what is below the bracket and, value by value, what is in
-it: some ten-thousandths of a large group's values. Both passes aggregate before the shuffle.
+it: some thousandths of a large group's values. Rows stay wide until then, and every pass
+aggregates before the shuffle, so only the values within brackets are moved; they are ranked by a
+running count over sorted rows, which spills, not in a list.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: One over the sketch's rank error; groups of no more values are counted whole.
 ACCURACY = 10_000
+#: Brackets of so many groups are broadcast, a few numbers each; those of more meet their rows by a shuffle.
+FEW_GROUPS = 50_000
 
 
-def _long(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """keys, _k (place of the column in ``values``), _v: a row for each known value."""
-    pairs = F.array(*[F.struct(F.lit(k).alias("_k"), F.col(v).cast("double").alias("_v")) for k, v in enumerate(values)])
-    return df.select(*keys, F.explode(pairs).alias("_p")).select(*keys, "_p._k", "_p._v").where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+def _few(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether there are few groups; counting stops once there are not."""
+    return not keys or df.select(*keys).distinct().limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], values: Sequence[str], quantiles: Sequence[float], accuracy: int = ACCURACY) -> DataFrame:
     """keys and an array ``{value}_q`` of the quantiles (linear interpolation), for each value column.
 
-    Missing values are skipped; a group without any has null. Without keys the whole is one group.
+    Missing values are skipped; a group without any has nulls. Without keys the whole is one group. The groups
+    are counted at once, to know whether their brackets may be broadcast.
     """
-    rows = _long(df, keys, values)
+    m, places = len(quantiles), [(k, i) for k in range(len(values)) for i in range(len(quantiles))]
+    known = [F.col(v).cast("double") for v in values]
+    rows = df.select(*[F.col(c).alias(f"_g{j}") for j, c in enumerate(keys)], *[F.when(~F.isnan(v), v).alias(f"_v{k}") for k, v in enumerate(known)])
+    groups = [f"_g{j}" for j in range(len(keys))]
     edges = [max(0.0, q - 5 / accuracy) for q in quantiles] + [min(1.0, q + 5 / accuracy) for q in quantiles]
-    m = len(quantiles)
-    sketch = rows.groupBy(*keys, "_k").agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", edges, accuracy).alias("_e"))
-    infinite = F.lit(float("inf"))
-    bracket = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("i"),
-                F.when(F.col("_n") > accuracy, F.col("_e")[i]).otherwise(-infinite).alias("lo"),
-                F.when(F.col("_n") > accuracy, F.col("_e")[m + i]).otherwise(infinite).alias("hi"),
-            )
-            for i in range(m)
-        ]
+    sizes = [f"_n{k}" for k in range(len(values))]
+    sketch = rows.groupBy(*groups).agg(
+        *[F.count(f"_v{k}").alias(n) for k, n in enumerate(sizes)],
+        *[F.percentile_approx(f"_v{k}", edges, accuracy).alias(f"_e{k}") for k in range(len(values))],
     )
-    sketch = sketch.select(*[F.col(k).alias(f"_key{j}") for j, k in enumerate(keys)], F.col("_k").alias("_place"), "_n", bracket.alias("_b"))
-    same = F.col("_k") == F.col("_place")
-    for j, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_key{j}"))
-    # Below the bracket all values count as one; above it none do.
-    asked = rows.join(sketch, same).select(*keys, "_k", "_v", "_n", F.explode("_b").alias("_b"))
-    asked = asked.where(F.col("_v") <= F.col("_b.hi"))
-    value = F.when(F.col("_v") >= F.col("_b.lo"), F.col("_v"))
-    counts = asked.groupBy(*keys, "_k", "_n", F.col("_b.i").alias("_i"), value.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    lists = counts.groupBy(*keys, "_k", "_n", "_i").agg(
-        F.sum(F.when(F.col("_v").isNull(), F.col("_c")).otherwise(0)).alias("_below"),
-        F.sort_array(F.collect_list(F.when(F.col("_v").isNotNull(), F.struct("_v", "_c")))).alias("_l"),
+    infinite = F.lit(float("inf"))
+    brackets = sketch.select(
+        *[F.col(g).alias(f"{g}s") for g in groups],
+        *sizes,
+        *[F.when(F.col(f"_n{k}") > accuracy, F.col(f"_e{k}")[i]).otherwise(-infinite).alias(f"_lo{k}_{i}") for k, i in places],
+        *[F.when(F.col(f"_n{k}") > accuracy, F.col(f"_e{k}")[m + i]).otherwise(infinite).alias(f"_hi{k}_{i}") for k, i in places],
     )
-    q = F.element_at(F.array(*[F.lit(float(x)) for x in quantiles]), F.col("_i") + 1)
-    position = q * (F.col("_n") - 1)
-    low, high = F.floor(position), F.ceil(position)
+    same = F.lit(True)
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col(f"{g}s"))
+    asked = rows.join(F.broadcast(brackets) if _few(df, keys) else brackets, same)
 
-    def at(rank: Column) -> Column:
-        """The value of 0-based rank: the first whose running count goes beyond it."""
-        start = F.struct(F.col("_below").alias("seen"), F.lit(None).cast("double").alias("v"))
-        found = F.aggregate(
-            "_l", start,
-            lambda a, x: F.struct((a["seen"] + x["_c"]).alias("seen"), F.when(a["v"].isNull() & (a["seen"] + x["_c"] > rank), x["_v"]).otherwise(a["v"]).alias("v")),
-        )
-        return found["v"]
+    def entry(k: int, i: int, **more) -> F.Column:
+        return F.struct(F.lit(k).alias("_k"), F.lit(i).alias("_i"), F.col(f"_n{k}").alias("_n"), *[c.alias(name) for name, c in more.items()])
 
-    lists = lists.select(*keys, "_k", "_i", at(low).alias("_lo"), at(high).alias("_hi"), (position - low).alias("_f"))
+    below = asked.groupBy(*groups, *sizes).agg(*[F.count_if(F.col(f"_v{k}") < F.col(f"_lo{k}_{i}")).alias(f"_b{k}_{i}") for k, i in places])
+    below = below.select(*groups, F.inline(F.array(*[entry(k, i, _v=F.lit(None).cast("double"), _c=F.col(f"_b{k}_{i}")) for k, i in places])))
+    # A row gives a value only to the brackets it lies in.
+    within = [F.when(F.col(f"_v{k}").between(F.col(f"_lo{k}_{i}"), F.col(f"_hi{k}_{i}")), entry(k, i, _v=F.col(f"_v{k}"))) for k, i in places]
+    inside = asked.select(*groups, F.inline(F.array_compact(F.array(*within))))
+    inside = inside.groupBy(*groups, "_k", "_i", "_n", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    # What is below the bracket comes first.
+    upward = Window.partitionBy(*groups, "_k", "_i").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = below.unionByName(inside).withColumn("_run", F.sum("_c").over(upward))
+    q = F.element_at(F.array(*[F.lit(float(x)) for x in quantiles]), F.col("_i") + 1)
+    position = q * (F.col("_n") - 1)
+    # The value of a 0-based rank is the least whose running count goes beyond it.
+    low, high = (F.min(F.when(F.col("_run") > rank, F.col("_v"))).alias(name) for name, rank in (("_lo", F.floor(position)), ("_hi", F.ceil(position))))
+    found = ranked.groupBy(*groups, "_k", "_i").agg(low, high, F.max(position - F.floor(position)).alias("_f"))
     result = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise((1 - F.col("_f")) * F.col("_lo") + F.col("_f") * F.col("_hi"))
-    out = lists.select(*keys, "_k", "_i", result.alias("_q"))
+    found = found.withColumn("_q", result)
     columns = []
     for k, v in enumerate(values):
         picks = [F.max(F.when((F.col("_k") == k) & (F.col("_i") == i), F.col("_q"))) for i in range(m)]
         columns.append(F.array(*picks).alias(f"{v}_q"))
-    return out.groupBy(*keys).agg(*columns)
+    return found.groupBy(*[F.col(g).alias(c) for g, c in zip(groups, keys)]).agg(*columns)

@@ -12,6 +12,7 @@ def test_exact_quantiles(spark, accuracy):
     df = spark.createDataFrame(rows, "g string, a double, b double").repartition(5)
     qs = [0.0, 0.01, 0.25, 0.5, 0.9, 0.99, 1.0]
     got = {r["g"]: (r["a_q"], r["b_q"]) for r in exact_quantiles(df, ["g"], ["a", "b"], qs, accuracy).collect()}
+    assert got.pop("nan") == ([None] * len(qs), [None] * len(qs))
     assert set(got) == set(groups)
     for k, vs in groups.items():
         other = [-v for i, v in enumerate(vs) if i % 3]
