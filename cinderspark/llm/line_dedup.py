@@ -1,10 +1,10 @@
 """Near-duplicate lines by a deletion-neighbourhood join; DataFrame functions only.
 
-A line is one ``\\n``-separated part of a text, its words are what single spaces separate,
+A line is one ``\\n``-separated part of a text, its words are what white space of any length separates,
 and an edit inserts, deletes or replaces one word. A line goes if an earlier line (in
 ``(doc_id, line number)`` order) equals it or, both having ``MIN_WORDS`` words or more, is at most one
-edit apart: one edit then always leaves a similarity of 0.8 or more. Shorter lines, and lines without
-single spaces, go as equal ones only. Lines of nothing but white space stay.
+edit apart: one edit then always leaves a similarity of 0.8 or more. Lines that differ in white space
+alone are no edit apart. Shorter lines go as equal ones only. Lines of nothing but white space stay.
 
 1. Equal lines meet by hash; only the first place of each distinct line goes on.
 2. A line one edit away shares the first or the last half of its words with it. Lines
@@ -25,6 +25,9 @@ are replaced.
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,14 +43,22 @@ def _blank(line) -> F.Column:
     return F.btrim(line, F.lit(WHITE)) == ""
 
 
+def _plain(line) -> F.Column:
+    """The words with one space between; lines that are so already are only searched for other white space."""
+    rare = functools.reduce(operator.or_, (F.contains(line, F.lit(c)) for c in WHITE[1:]))
+    spaced = F.when(rare, F.translate(line, WHITE[1:], " " * len(WHITE[1:]))).otherwise(line)
+    spaced = F.btrim(spaced)
+    return F.when(F.contains(spaced, F.lit("  ")), F.regexp_replace(spaced, " +", " ")).otherwise(spaced)
+
+
 def _lines(documents: DataFrame) -> DataFrame:
-    """doc, line_no, line, n (words) of all lines that are not blank; doc tells rows of equal ids and different texts apart."""
+    """doc, line_no, line, plain (its words), n (words) of all lines that are not blank; doc tells rows of equal ids and different texts apart."""
     split = documents.select(
         F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("t")).alias("doc"),
         F.posexplode(F.split("text", "\n")).alias("line_no", "line"),
     )
-    words = F.length("line") - F.length(F.replace(F.col("line"), F.lit(" "), F.lit(""))) + 1
-    return split.withColumn("n", words).where(~_blank(F.col("line")))
+    plain = split.where(~_blank(F.col("line"))).withColumn("plain", _plain(F.col("line")))
+    return plain.withColumn("n", F.length("plain") - F.length(F.replace(F.col("plain"), F.lit(" "), F.lit(""))) + 1)
 
 
 def _halves(first: DataFrame) -> DataFrame:
@@ -55,8 +66,8 @@ def _halves(first: DataFrame) -> DataFrame:
     keys = []
     for less in (1, 2):
         k = ((F.col("n") - less) / 2).cast("int")
-        keys.append(F.xxhash64(F.lit("p"), k, F.call_function("substring_index", F.col("line"), F.lit(" "), k)))
-        keys.append(F.xxhash64(F.lit("s"), k, F.call_function("substring_index", F.col("line"), F.lit(" "), -k)))
+        keys.append(F.xxhash64(F.lit("p"), k, F.call_function("substring_index", F.col("plain"), F.lit(" "), k)))
+        keys.append(F.xxhash64(F.lit("s"), k, F.call_function("substring_index", F.col("plain"), F.lit(" "), -k)))
     return F.when(F.col("n") >= MIN_WORDS, F.array_distinct(F.array(*keys))).otherwise(F.array().cast("array<bigint>"))
 
 
@@ -91,7 +102,7 @@ def near_copies(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     first = shared.stored(
         places.join(small, "lid", "left_semi").groupBy("lid").agg(F.min(F.struct("doc", "line_no")).alias("at")), "line-first"
     )
-    text = lines.select(F.xxhash64("line").alias("lid"), "line").join(small, "lid", "left_semi")
+    text = lines.select(F.xxhash64("line").alias("lid"), F.col("plain").alias("line")).join(small, "lid", "left_semi")
     text = shared.stored(text.groupBy("lid").agg(F.min("line").alias("line")), "line-text")
 
     keys = shared.stored(_variants(text), "line-keys")

@@ -46,7 +46,7 @@ FROM documents LEFT JOIN n ON n.doc_id = documents.doc_id LEFT JOIN c ON node =
 _BLANK = "' ' || chr(9) || chr(11) || chr(12) || chr(13)"
 LINES = f"""WITH d AS (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id NULLS FIRST, text) AS r FROM documents),
 l AS (SELECT r, unnest(string_split(text, chr(10))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS i FROM d WHERE text IS NOT NULL),
-f AS (SELECT *, string_split(line, ' ') AS w, row_number() OVER (ORDER BY r, i) AS place FROM l WHERE trim(line, {_BLANK}) <> ''),
+f AS (SELECT *, string_split(trim(regexp_replace(line, '[\\x09\\x0B-\\x0D ]+', ' ', 'g')), ' ') AS w, row_number() OVER (ORDER BY r, i) AS place FROM l WHERE trim(line, {_BLANK}) <> ''),
 u AS (SELECT line, any_value(w) AS w, min(place) AS first FROM f GROUP BY line),
 v AS (SELECT first, w FROM u WHERE len(w) >= 5),
 k AS (SELECT first, unnest(range(1, len(w) + 1)) AS pos, len(w) - 1 AS m, w FROM v UNION ALL SELECT first, unnest(range(1, len(w) + 2)) AS pos, len(w) AS m, w FROM v),

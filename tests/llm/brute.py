@@ -60,8 +60,12 @@ def leaks(rows, items, width=5, share=0.8):
     return out
 
 
+def line_words(x):
+    return [w for w in re.split("[ \t\x0b\x0c\r]+", x) if w]
+
+
 def one_edit(a, b):
-    a, b = sorted((a.split(" "), b.split(" ")), key=len)
+    a, b = sorted((line_words(a), line_words(b)), key=len)
     if len(b) - len(a) > 1:
         return False
     if len(a) == len(b):
@@ -81,7 +85,7 @@ def line_dedup_rows(rows, least=5):
     fit = [(r, i, x) for r, i, x in lines if x.strip(" \t\x0b\x0c\r")]
     for place, x in enumerate(x for _, _, x in fit):
         first.setdefault(x, place)
-    distinct = [x for x in sorted(first, key=first.get) if len(x.split(" ")) >= least]
+    distinct = [x for x in sorted(first, key=first.get) if len(line_words(x)) >= least]
     near = {x for k, x in enumerate(distinct) if any(one_edit(x, y) for y in distinct[:k])}
     gone = {}
     for place, (r, i, x) in enumerate(fit):

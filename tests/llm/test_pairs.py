@@ -194,6 +194,7 @@ def lines(seed, n):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_line_dedup(spark, seed, monkeypatch):
     rows = lines(seed, 60) + [(900, None), (901, ""), (902, "\n\n"), (903, "     "), (904, "a  b  c  d"), (905, "a  b  c  e\nx")]
+    rows += [(906, "k l\tm n  o\n\tk l m n o p "), (907, "k l m n o\n    one two\none two"), (908, "\x0bq r s t u\r\nq\x0cr s t u w\r\nq\tr")]
     docs = spark.createDataFrame([(d, t, "k") for d, t in rows], "doc_id long, text string, lid string").repartition(3)
     want = brute.line_dedup(rows)
     for limit in (1_000_000, 0):
