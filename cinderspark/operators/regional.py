@@ -88,13 +88,14 @@ def polygon_statistics(
     """Statistics of the buildings in each polygon, with the polygons' attributes and shapes.
 
     A building is in every polygon that its place is in or on. Cells of ``size`` degrees find the candidates; only
-    keys and values go through the aggregation, attributes and shapes join its few rows. Polygons without buildings are absent.
+    keys and values go through the aggregation, attributes and shapes join its few rows. Polygons of equal shapes
+    are one geography until then. Polygons without buildings are absent.
     """
-    shapes = polygons.select(F.col(key).alias("_key"), F.col(geometry).alias("_shape"))
+    shapes, members = joins.shape_classes(polygons, key, geometry)
     columns = list(dict.fromkeys([x, y, *values, *histograms]))
     met = joins.spatial_join(buildings.select(*columns), shapes, x, y, "_shape", size).drop("_shape")
-    found = regional_statistics(met.drop(*[c for c in (x, y) if c not in (*values, *histograms)]), "_key", values, histograms, large)
-    return found.withColumnRenamed("GEOID", key).join(polygons, key)
+    found = regional_statistics(met.drop(*[c for c in (x, y) if c not in (*values, *histograms)]), "_class", values, histograms, large)
+    return members.join(found.withColumnRenamed("GEOID", "_class"), "_class").drop("_class").join(polygons, key)
 
 
 def with_names(statistics_: DataFrame, names: DataFrame, on: str = "GEOID") -> DataFrame:

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cinderspark.functions import geo
+from cinderspark.operators import regional
 from cinderspark.plans import registry
 from tests.test_oracle import SMALL, plain
 
@@ -45,7 +46,7 @@ def rows_and_pairs(spark, monkeypatch, name, d, udf):
     return rows, seen.value
 
 
-@pytest.mark.parametrize(("name", "udf"), [("polygon_overlap", "intersects_udf"), ("point_in_polygon", "contains_udf")])
+@pytest.mark.parametrize(("name", "udf"), [("polygon_overlap", "intersects_udf"), ("point_in_polygon", "contains_udf"), ("regional_stats_polygon", "contains_udf")])
 def test_copies_meet_once(spark, copied, monkeypatch, name, udf):
     con = duckdb.connect()
     for file in os.listdir(copied):
@@ -57,3 +58,15 @@ def test_copies_meet_once(spark, copied, monkeypatch, name, udf):
     once = rows_and_pairs(spark, monkeypatch, name, SMALL, udf)
     assert rows == want and len(rows) == COPIES * len(once[0])
     assert 0 < pairs == once[1]
+
+
+def test_statistics_of_copies(spark):
+    """Keys with equal shapes, one of several shapes, repeated rows, and rows without key or shape."""
+    near, far = geo.box(0, 0, 2, 2), geo.box(6, 6, 8, 8)
+    rows = [(1, near, "a"), (2, near, "b"), (3, far, "c"), (4, near, "d"), (4, far, "d"), (5, near, "e"), (5, near, "e"), (6, None, "f"), (None, far, "g"), (7, geo.box(3, 3, 4, 4), "h")]
+    polygons = spark.createDataFrame(rows, "GEOID int, geometry binary, NAME string")
+    buildings = spark.createDataFrame([(1.0, 1.0, 2.0), (0.5, 2.0, 4.0), (7.0, 7.0, 9.0), (5.0, 5.0, 1.0)], "x double, y double, v double")
+    found = regional.polygon_statistics(buildings, polygons, "x", "y", 1.0, ["v"])
+    got = sorted((r["GEOID"], r["NAME"], r["building_count"], r["v_mean"], r["v_median"]) for r in found.collect())
+    once, both = (2, 3.0, 3.0), (3, 5.0, 4.0)
+    assert got == [(1, "a", *once), (2, "b", *once), (3, "c", 1, 9.0, 9.0), (4, "d", *both), (4, "d", *both), (5, "e", 4, 3.0, 3.0), (5, "e", 4, 3.0, 3.0)]
