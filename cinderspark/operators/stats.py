@@ -113,9 +113,22 @@ def grouped_tau_c(pairs: DataFrame, key: str, x: str, y: str) -> DataFrame:
     return points.groupBy("key").applyInPandas(run, f"key {kind}, tau double, s long, p_value double, n long").withColumnRenamed("key", key)
 
 
+def corr(x: Column | str, y: Column | str) -> Column:
+    """Pearson's correlation over the pairs without a null; null without pairs, NaN where one side is constant.
+
+    Spark's own divides by zero there, which fails in ANSI mode. A side is constant if its least and greatest values
+    are equal: sums merged from several tasks need not come to exactly zero.
+    """
+    x, y = S.col(x).cast("double"), S.col(y).cast("double")
+    px, py = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    constant = (F.min(px) == F.max(px)) | (F.min(py) == F.max(py))
+    value = F.try_divide(F.covar_pop(x, y), F.stddev_pop(px) * F.stddev_pop(py))
+    return F.when(F.count(px) > 0, F.when(constant, F.lit(float("nan"))).otherwise(F.coalesce(value, F.lit(float("nan")))))
+
+
 def pairwise_corr(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """a, b, corr, n for every two of the columns, from one aggregation; rows with a null in either do not count."""
-    pairs = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("corr"), F.count_if(F.col(a).isNotNull() & F.col(b).isNotNull()).alias("n")) for a, b in combinations(names, 2)]
+    pairs = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), corr(a, b).alias("corr"), F.count_if(F.col(a).isNotNull() & F.col(b).isNotNull()).alias("n")) for a, b in combinations(names, 2)]
     return df.agg(F.array(*pairs).alias("pairs")).select(F.inline("pairs"))
 
 
@@ -123,7 +136,7 @@ def skill(x: Column | str, y: Column | str) -> list[Column]:
     """Aggregates comparing two scores: corr, bias, means, medians, shares of zero, normalised bias."""
     x, y = S.col(x).cast("double"), S.col(y).cast("double")
     return [
-        F.corr(x, y).alias("corr"),
+        corr(x, y).alias("corr"),
         F.avg(x - y).alias("bias"),
         F.avg(x).alias("mean_x"),
         F.avg(y).alias("mean_y"),

@@ -101,7 +101,7 @@ SELECT round(sum(center * density), 9) AS mean, round(max(CASE WHEN cdf >= 0.5 A
 
 def bottom(spark, d):
     """The ten customers' areas of least correlation (a top-k report)."""
-    b = T.buildings(spark, d).groupBy("GEOID").agg(F.round(F.corr(F.col("rps_2011").cast("double"), F.col("rps_2047").cast("double")), 6).alias("corr"), F.count(F.lit(1)).alias("n"))
+    b = T.buildings(spark, d).groupBy("GEOID").agg(F.round(stats.corr("rps_2011", "rps_2047"), 6).alias("corr"), F.count(F.lit(1)).alias("n"))
     return stats.bottom_k(b.where(F.col("corr").isNotNull() & ~F.isnan("corr") & (F.col("n") > 5)), "corr", 10, "GEOID")
 
 
