@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cinderspark.functions import geo
-from cinderspark.operators import regional
+from cinderspark.operators import joins, regional
 from cinderspark.plans import registry
 from tests.test_oracle import SMALL, plain
 
@@ -70,3 +70,15 @@ def test_statistics_of_copies(spark):
     got = sorted((r["GEOID"], r["NAME"], r["building_count"], r["v_mean"], r["v_median"]) for r in found.collect())
     once, both = (2, 3.0, 3.0), (3, 5.0, 4.0)
     assert got == [(1, "a", *once), (2, "b", *once), (3, "c", 1, 9.0, 9.0), (4, "d", *both), (4, "d", *both), (5, "e", 4, 3.0, 3.0), (5, "e", 4, 3.0, 3.0)]
+
+
+@pytest.mark.parametrize("limit", ["SMALL_CELLS", "SMALL_BYTES"])
+def test_many_shapes_are_not_broadcast(spark, monkeypatch, limit):
+    polygons = spark.createDataFrame([(1, geo.box(0, 0, 4, 4)), (2, geo.box(4, 0, 8, 4)), (3, None)], "id int, geometry binary")
+    points = spark.createDataFrame([(1, 2.0, 2.0), (2, 4.0, 2.0), (3, 9.0, 9.0)], "p int, x double, y double")
+    for most, hinted in ((None, True), (1, False)):
+        if most:
+            monkeypatch.setattr(joins, limit, most)
+        met = joins.spatial_join(points, polygons, "x", "y", "geometry", 3.0)
+        assert ("strategy=broadcast" in met._jdf.queryExecution().optimizedPlan().toString()) == hinted
+        assert sorted((r["p"], r["id"]) for r in met.collect()) == [(1, 1), (2, 1), (2, 2)]
